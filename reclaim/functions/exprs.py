@@ -81,3 +81,18 @@ def attach(df, one_row):
     left = df.withColumn("_one", F.lit(1))
     right = F.broadcast(one_row.withColumn("_one", F.lit(1)))
     return left.join(right, "_one").drop("_one")
+
+
+PRECISE = "decimal(38,12)"
+
+
+def precise_sum(c: str | Column) -> Column:
+    """Order-independent sum of an arbitrary double: each value is taken
+    at 12 decimals and added exactly.  Empty -> 0.
+    DuckDB: ``CAST(sum(CAST(x AS DECIMAL(38,12))) AS DOUBLE)``."""
+    return F.coalesce(F.sum(col(c).cast(PRECISE)).cast("double"), F.lit(0.0))
+
+
+def precise_avg(c: str | Column) -> Column:
+    """Order-independent mean of an arbitrary double (see precise_sum)."""
+    return F.sum(col(c).cast(PRECISE)).cast("double") / F.count(col(c))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
-from ..functions.exprs import attach, exact_avg, exact_sum, max0, rnd, safe_div
+from ..functions.exprs import exact_avg, exact_sum, max0, precise_avg, precise_sum, rnd, safe_div
 from .summaries import campaign_roi
 
 DEFAULT_MARGIN = 0.48
@@ -83,7 +83,7 @@ def channel_quality(enriched: DataFrame) -> DataFrame:
         .agg(
             F.count("customer_id").alias("acquired_customers"),
             exact_avg("churn_risk_score").alias("avg_churn_risk"),
-            F.avg("monthly_revenue").alias("avg_monthly_revenue"),
+            precise_avg("monthly_revenue").alias("avg_monthly_revenue"),
         )
     )
 
@@ -135,7 +135,7 @@ def leakage_report(open_failed: DataFrame, late: DataFrame, discount: DataFrame,
     spark = open_failed.sparkSession
 
     def area(df: DataFrame, key: str, value: str, exact: bool = False) -> DataFrame:
-        total = exact_sum(value) if exact else F.coalesce(F.sum(value), F.lit(0.0))
+        total = exact_sum(value) if exact else precise_sum(value)
         return df.agg(F.count(F.lit(1)).alias("affected_count"), rnd(total, 2).alias("revenue_at_risk")).select(
             F.lit(key).alias("area_key"), "affected_count", "revenue_at_risk"
         )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
-from ..functions.exprs import exact_sum, rnd
+from ..functions.exprs import exact_sum, precise_avg, precise_sum, rnd
 from .actions import issue_list
 
 # Decision and sizing thresholds.
@@ -55,8 +55,8 @@ def playbook_roi(queue: DataFrame) -> DataFrame:
         .groupBy("issue_type")
         .agg(
             F.count_distinct("customer_id").alias("eligible_customers"),
-            F.sum("allocated_value").alias("gross_value"),
-            F.avg("allocated_value").alias("avg_customer_value"),
+            precise_sum("allocated_value").alias("gross_value"),
+            precise_avg("allocated_value").alias("avg_customer_value"),
             F.array_join(F.array_sort(F.collect_set("brand")), ", ").alias("brands"),
         )
     )

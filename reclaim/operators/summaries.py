@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import exact_avg, rnd, safe_div
+from ..functions.exprs import exact_avg, precise_sum, rnd, safe_div
 
 FORECAST_PERIODS = 6
 BAND_WIDTH = 1.15
@@ -18,7 +18,7 @@ def brand_summary(scored: DataFrame) -> DataFrame:
         .groupBy("brand")
         .agg(
             F.count("customer_id").alias("customers"),
-            rnd(F.sum("monthly_revenue"), 2).alias("monthly_revenue"),
+            rnd(precise_sum("monthly_revenue"), 2).alias("monthly_revenue"),
             rnd(F.avg("churned"), 4).alias("churn_rate"),
             rnd(exact_avg("churn_risk_score"), 4).alias("avg_risk_score"),
             F.sum("support_tickets_90d").alias("support_tickets_90d"),
@@ -90,7 +90,7 @@ def run_kpis(customers: DataFrame, gates: DataFrame, brief: DataFrame, queue: Da
         customers.agg(
             F.count(F.lit(1)).alias("rows_processed"),
             rnd(F.avg("churned"), 4).alias("overall_churn_rate"),
-            rnd(F.sum("monthly_revenue"), 2).alias("total_monthly_revenue"),
+            rnd(precise_sum("monthly_revenue"), 2).alias("total_monthly_revenue"),
         ),
         gates.agg(F.count_if("passed").alias("validation_checks_passed")),
         brief.select("total_revenue_at_risk"),

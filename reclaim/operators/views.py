@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dims
-from ..functions.exprs import attach, rnd
+from ..functions.exprs import attach, exact_avg, exact_sum, precise_sum, rnd
 from .actions import issue_list
 
 ALL = "All"
@@ -78,12 +78,12 @@ def issue_mix(queue: DataFrame, owner: str | None = None, urgency: str | None =
 def headline_kpis(payment_summary: DataFrame, skus: DataFrame, playbooks: DataFrame, queue: DataFrame) -> DataFrame:
     """K5-K6: one row of headline numbers; blended ROI = saved / cost."""
     p = payment_summary.agg(F.coalesce(F.sum("open_failed"), F.lit(0)).alias("open_failed_payments"))
-    s = skus.agg(rnd(F.coalesce(F.sum("margin_at_risk"), F.lit(0.0)), 2).alias("sku_exposure"))
+    s = skus.agg(rnd(precise_sum("margin_at_risk"), 2).alias("sku_exposure"))
     b = playbooks.agg(
         F.count(F.lit(1)).alias("playbooks"),
-        F.coalesce(F.sum("net_impact"), F.lit(0.0)).alias("net"),
-        F.coalesce(F.sum("expected_saved_value"), F.lit(0.0)).alias("saved"),
-        F.coalesce(F.sum("total_cost"), F.lit(0.0)).alias("cost"),
+        exact_sum("net_impact").alias("net"),
+        exact_sum("expected_saved_value").alias("saved"),
+        exact_sum("total_cost").alias("cost"),
     )
     q = queue.agg(F.count(F.lit(1)).alias("queue_items"))
     one = attach(attach(attach(p, s), b), q)
@@ -114,7 +114,7 @@ def segment_headline(segments: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("priority_segments"),
         F.coalesce(F.max("expected_value"), F.lit(0.0)).alias("top_segment_value"),
         F.coalesce(F.max("action_rate"), F.lit(0.0)).alias("top_action_rate"),
-        F.coalesce(rnd(F.avg("priority_score"), 1), F.lit(0.0)).alias("avg_priority_score"),
+        F.coalesce(rnd(exact_avg("priority_score"), 1), F.lit(0.0)).alias("avg_priority_score"),
     )
 
 
