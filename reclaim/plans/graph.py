@@ -44,10 +44,13 @@ def model_scorer(customers: DataFrame) -> DataFrame:
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
                  queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame], DataFrame] | None = None):
+        """``pin`` materializes the shared intermediates (the enriched
+        customer table, which also serves as the scored table, and the
+        action queue); ``None`` leaves every node lazy."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
-        self._pin = pin or (lambda df: df)
+        self._pin = pin
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -78,10 +81,18 @@ class Graph:
     def skus(self) -> DataFrame:
         return self.inputs["sku_inventory"]
 
+    @cached_property
+    def customers_shared(self) -> DataFrame:
+        """The customer table, read from the pinned enriched table when
+        there is one (same rows, no second pass over the warehouse)."""
+        if self._pin is None:
+            return self.customers
+        return self.enriched.select(*self.customers.columns)
+
     # -- A ------------------------------------------------------------------
     @cached_property
     def quality_gates(self) -> DataFrame:
-        return quality.quality_gates(self.customers)
+        return quality.quality_gates(self.customers_shared)
 
     @cached_property
     def quality_scorecard(self) -> DataFrame:
@@ -90,15 +101,22 @@ class Graph:
         )
 
     # -- B ------------------------------------------------------------------
+    @cached_property
+    def _scored_lazy(self) -> DataFrame:
+        return self.scorer(self.customers)
+
     @cached_property
     def scored(self) -> DataFrame:
-        return self._pin(self.scorer(self.customers))
+        if self._pin is None:
+            return self._scored_lazy
+        # The pinned enriched table holds every scored column.
+        return self.enriched.select(*self._scored_lazy.columns)
 
     @cached_property
     def holdout(self) -> DataFrame:
         """Hold-out customers with the unrounded fixed-coefficient
         probability (the scored table keeps only the 4-digit score)."""
-        c = self.customers
+        c = self.customers_shared
         p = churn.sigmoid(tpch.fixed_score(c))
         h = c.where(churn.is_holdout(c)).withColumn("probability", p)
         return h.withColumn("churn_risk_score", churn.rnd(p, churn.SCORE_DIGITS))
@@ -119,7 +137,8 @@ class Graph:
     # -- D ------------------------------------------------------------------
     @cached_property
     def enriched(self) -> DataFrame:
-        return leakage.margin_at_risk(self.scored, self.skus)
+        out = leakage.margin_at_risk(self._scored_lazy, self.skus)
+        return self._pin(out) if self._pin else out
 
     @cached_property
     def open_failed(self) -> DataFrame:
@@ -175,7 +194,8 @@ class Graph:
 
     @cached_property
     def queue(self) -> DataFrame:
-        return self._pin(actions.action_queue(self.action_items, self.queue_limit))
+        out = actions.action_queue(self.action_items, self.queue_limit)
+        return self._pin(out) if self._pin else out
 
     @property
     def queue_bounded(self) -> bool:

@@ -14,54 +14,72 @@ from .graph import Graph
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _graph(spark: SparkSession, sf_dir: str, **kw) -> Graph:
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialize a shared intermediate in the session's checkpoint
+    folder (reliable: survives executor loss, cuts the lineage)."""
+    return df.checkpoint(eager=True)
+
+
+def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, **kw) -> Graph:
+    """The operator graph over one warehouse folder.  With ``shared``,
+    intermediates used by several operators are checkpointed once instead
+    of being re-derived from the warehouse at every use."""
     configure(spark)
-    return Graph.from_warehouse(spark, sf_dir, **kw)
+    return Graph.from_warehouse(spark, sf_dir, pin=checkpoint if shared else None, **kw)
 
 
 def _attr(name: str, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(_graph(spark, sf_dir, **kw), name)
+        return getattr(_graph(spark, sf_dir, shared=name not in SINGLE_USE, **kw), name)
 
     run.__name__ = name
     return run
 
 
+# Queries whose plan uses each intermediate once: nothing to share.
+SINGLE_USE = {
+    "scored", "brand_summary", "channel_summary", "revenue_forecast", "enriched", "open_failed", "late_orders",
+    "discount_leak", "channel_quality", "weak_campaigns", "sku_risk", "support_leak", "payment_recovery",
+    "base_segments", "metric_changes", "revenue_alerts", "churn_alerts", "campaign_alerts", "payment_alerts",
+    "fulfillment_alerts", "inventory_alerts", "quality_gates",
+}
+
+
 def _input(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _graph(spark, sf_dir).inputs[table]
+        return _graph(spark, sf_dir, shared=False).inputs[table]
 
     return run
 
 
 def _f1(spark, sf_dir):
-    return churn.best_threshold(_graph(spark, sf_dir).holdout)
+    return churn.best_threshold(_graph(spark, sf_dir, shared=False).holdout)
 
 
 def _metrics(spark, sf_dir):
-    return churn.classification_metrics(_graph(spark, sf_dir).holdout)
+    return churn.classification_metrics(_graph(spark, sf_dir, shared=False).holdout)
 
 
 def _auc(spark, sf_dir):
-    return churn.roc_auc(_graph(spark, sf_dir).holdout)
+    return churn.roc_auc(_graph(spark, sf_dir, shared=False).holdout)
 
 
 def _top_risk(spark, sf_dir):
-    return churn.top_risk(_graph(spark, sf_dir).scored)
+    return churn.top_risk(_graph(spark, sf_dir, shared=False).scored)
 
 
 def _train_score(spark, sf_dir):
-    return churn.churn_train_score(_graph(spark, sf_dir).customers)
+    return churn.churn_train_score(_graph(spark, sf_dir, shared=False).customers)
 
 
 def _drivers(spark, sf_dir):
-    return churn.model_drivers(_graph(spark, sf_dir).customers)
+    return churn.model_drivers(_graph(spark, sf_dir, shared=False).customers)
 
 
 def _run_kpis(spark, sf_dir):
     g = _graph(spark, sf_dir)
     return summaries.run_kpis(
-        g.customers, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
+        g.customers_shared, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
         g.experiment_backlog, g.segment_opportunity, g.monitoring_summary, g.scenario_summary,
         churn.roc_auc(g.holdout),
     )
@@ -106,7 +124,7 @@ def _leak_share(spark, sf_dir):
 
 
 def _top_skus(spark, sf_dir):
-    return views.top_skus(_graph(spark, sf_dir).sku_risk)
+    return views.top_skus(_graph(spark, sf_dir, shared=False).sku_risk)
 
 
 def _top_issue_segments(spark, sf_dir):

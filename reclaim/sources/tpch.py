@@ -65,9 +65,13 @@ class Warehouse:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        # One handle per table: the file listing and footer read happen once.
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     # -- shared building blocks -------------------------------------------
     def orders_before(self) -> DataFrame:
@@ -260,13 +264,28 @@ def fixed_score(customers_df: DataFrame) -> Column:
     return z
 
 
+BUILDERS = {
+    "customers": customers,
+    "monthly_revenue": monthly_revenue,
+    "campaigns": campaigns,
+    "payment_events": payment_events,
+    "fulfillment_events": fulfillment_events,
+    "sku_inventory": sku_inventory,
+}
+
+
+class Inputs(dict):
+    """The six input tables, each built on first access."""
+
+    def __init__(self, wh: Warehouse):
+        super().__init__()
+        self.wh = wh
+
+    def __missing__(self, key: str) -> DataFrame:
+        df = BUILDERS[key](self.wh)
+        self[key] = df
+        return df
+
+
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    wh = Warehouse(spark, sf_dir)
-    return {
-        "customers": customers(wh),
-        "monthly_revenue": monthly_revenue(wh),
-        "campaigns": campaigns(wh),
-        "payment_events": payment_events(wh),
-        "fulfillment_events": fulfillment_events(wh),
-        "sku_inventory": sku_inventory(wh),
-    }
+    return Inputs(Warehouse(spark, sf_dir))
