@@ -73,14 +73,12 @@ def exact_avg(c: str | Column) -> Column:
 
 
 def attach(df, one_row):
-    """Attach the columns of a one-row aggregate to every row of ``df``.
-
-    ``one_row`` must come from a global ``agg`` (exactly one row), so the
-    broadcast is bounded by construction.
+    """Attach the columns of a one-row aggregate to every row of ``df`` as
+    scalar subqueries: the aggregate runs once (Spark merges the per-column
+    subqueries into one) and its values reach the tasks as literals, with
+    no join in the plan.  ``one_row`` must be a global ``agg`` (one row).
     """
-    left = df.withColumn("_one", F.lit(1))
-    right = F.broadcast(one_row.withColumn("_one", F.lit(1)))
-    return left.join(right, "_one").drop("_one")
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 PRECISE = "decimal(38,12)"

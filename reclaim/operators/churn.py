@@ -47,8 +47,8 @@ def sigmoid(z: Column) -> Column:
 
 def risk_segment(score: Column) -> Column:
     """Right-closed bins with the lowest edge included; outside -> NULL."""
-    out = F.when((score >= 0) & (score <= RISK_BINS[0][0]), RISK_BINS[0][1])
-    for upper, label in RISK_BINS[1:]:
+    out = F.when((score < 0) | (score > RISK_BINS[-1][0]), F.lit(None).cast("string"))
+    for upper, label in RISK_BINS:
         out = out.when(score <= upper, label)
     return out
 
@@ -181,33 +181,33 @@ def top_risk(scored: DataFrame, n: int = 100) -> DataFrame:
 # Model training with MLlib
 # ---------------------------------------------------------------------------
 
-def _feature_pipeline(numeric: list[str], categorical: list[str]):
+def _feature_stages(numeric: list[str], categorical: list[str]):
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 
     # Descending alphabetical index + dropLast makes the alphabetically first
     # level the all-zero reference level (drop-first dummy coding).
-    idx = [
-        StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetDesc", handleInvalid="keep")
-        for c in categorical
-    ]
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetDesc") for c in categorical]
     ohe = OneHotEncoder(
         inputCols=[f"{c}__idx" for c in categorical],
         outputCols=[f"{c}__ohe" for c in categorical],
         dropLast=True,
-        handleInvalid="keep",
     )
     asm = VectorAssembler(inputCols=numeric + [f"{c}__ohe" for c in categorical], outputCol="features")
     return idx + [ohe, asm]
 
 
 def train_churn_model(customers: DataFrame, reg: float = 0.01, max_iter: int = 200):
-    """Fit on the training split; returns (pipeline model, features).
+    """Dummy coding is fitted on all customers (every level known,
+    as when dummies are built before the split); the regression is fitted
+    on the training split only.  Returns a PipelineModel.
 
-    Training data is persisted for the L-BFGS passes and released after.
+    Training rows are persisted for the L-BFGS passes and released after.
     """
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
 
+    data = customers.withColumn("label", F.col("churned").cast("double"))
+    features = Pipeline(stages=_feature_stages(NUMERIC_FEATURES, CATEGORICAL_FEATURES)).fit(data)
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -218,13 +218,12 @@ def train_churn_model(customers: DataFrame, reg: float = 0.01, max_iter: int = 2
         maxIter=max_iter,
         tol=1e-10,
     )
-    data = customers.withColumn("label", F.col("churned").cast("double"))
-    train = data.where(~is_holdout(data)).persist()
+    train = features.transform(data.where(~is_holdout(data))).select("features", "label").persist()
     try:
-        model = Pipeline(stages=_feature_pipeline(NUMERIC_FEATURES, CATEGORICAL_FEATURES) + [lr]).fit(train)
+        fitted = lr.fit(train)
     finally:
         train.unpersist()
-    return model
+    return PipelineModel(stages=[*features.stages, fitted])
 
 
 def feature_names(model) -> list[str]:
@@ -232,7 +231,7 @@ def feature_names(model) -> list[str]:
     ``<column>_<level>`` for each kept dummy."""
     stages = model.stages
     names = list(NUMERIC_FEATURES)
-    indexers = [s for s in stages if hasattr(s, "labelsArray") or hasattr(s, "labels")][: len(CATEGORICAL_FEATURES)]
+    indexers = [s for s in stages if type(s).__name__ == "StringIndexerModel"]
     for c, ix in zip(CATEGORICAL_FEATURES, indexers):
         labels = list(ix.labels)  # descending order; last one is dropped
         names.extend(f"{c}_{lvl}" for lvl in labels[:-1])

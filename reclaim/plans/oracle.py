@@ -96,7 +96,7 @@ GRID = "[" + ", ".join(D(t) for t in churn.thresholds()) + "]"
 def _risk_segment(col: str) -> str:
     (u0, l0), (u1, l1), (u2, l2), (u3, l3) = dims.RISK_BINS
     return (
-        f"(CASE WHEN {col} >= 0 AND {col} <= {D(u0)} THEN {S(l0)} WHEN {col} <= {D(u1)} THEN {S(l1)} "
+        f"(CASE WHEN {col} < 0 OR {col} > {D(u3)} THEN NULL WHEN {col} <= {D(u0)} THEN {S(l0)} WHEN {col} <= {D(u1)} THEN {S(l1)} "
         f"WHEN {col} <= {D(u2)} THEN {S(l2)} WHEN {col} <= {D(u3)} THEN {S(l3)} END)"
     )
 
