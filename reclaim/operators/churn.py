@@ -271,3 +271,14 @@ def model_drivers(customers: DataFrame, model=None, top: int = 12) -> DataFrame:
         .orderBy(F.abs("coefficient").desc(), F.col("feature").asc())
         .limit(top)
     )
+
+
+def model_holdout(customers: DataFrame, model) -> DataFrame:
+    """Hold-out customers with the model's unrounded probability (for the
+    threshold sweep) and the 4-digit score (for AUC)."""
+    from pyspark.ml.functions import vector_to_array
+
+    data = customers.where(is_holdout(customers)).withColumn("label", F.col("churned").cast("double"))
+    prob = vector_to_array(F.col("probability")).getItem(1)
+    out = model.transform(data).select(*customers.columns, prob.alias("probability"))
+    return out.withColumn("churn_risk_score", rnd("probability", SCORE_DIGITS))

@@ -36,9 +36,26 @@ def fixed_scorer(customers: DataFrame) -> DataFrame:
     return churn.score_customers(customers, tpch.fixed_score(customers))
 
 
+class ModelScorer:
+    """Score with a logistic model trained on the customers themselves; the
+    fitted model is kept for the hold-out metrics."""
+
+    def __init__(self):
+        self.model = None
+
+    def __call__(self, customers: DataFrame) -> DataFrame:
+        self.model = churn.train_churn_model(customers)
+        return churn.churn_train_score(customers, self.model)
+
+    def holdout(self, customers: DataFrame) -> DataFrame:
+        if self.model is None:
+            self.model = churn.train_churn_model(customers)
+        return churn.model_holdout(customers, self.model)
+
+
 def model_scorer(customers: DataFrame) -> DataFrame:
-    """Score with a logistic model trained on the customers themselves."""
-    return churn.churn_train_score(customers)
+    """Convenience: train and score in one call (see ``ModelScorer``)."""
+    return ModelScorer()(customers)
 
 
 class Graph:
@@ -117,6 +134,8 @@ class Graph:
         """Hold-out customers with the unrounded fixed-coefficient
         probability (the scored table keeps only the 4-digit score)."""
         c = self.customers_shared
+        if hasattr(self.scorer, "holdout"):
+            return self.scorer.holdout(c)
         p = churn.sigmoid(tpch.fixed_score(c))
         h = c.where(churn.is_holdout(c)).withColumn("probability", p)
         return h.withColumn("churn_risk_score", churn.rnd(p, churn.SCORE_DIGITS))

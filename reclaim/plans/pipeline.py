@@ -50,6 +50,11 @@ REPORTS: dict[str, Callable[[Graph], DataFrame]] = {
 ONE_ROW = {"weekly_action_brief", "monitoring_summary", "scenario_summary", "headline_kpis", "model_metrics"}
 
 
+def read_reports(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Every report of a finished run, read back from ``out_dir``."""
+    return io.read_outputs(spark, out_dir, list(REPORTS) + ["model_metrics"], ONE_ROW)
+
+
 def _pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 

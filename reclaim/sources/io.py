@@ -53,3 +53,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_report(df: DataFrame, path: str) -> None:
     """A small report (already limited / one row): one JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_outputs(spark: SparkSession, out_dir: str, names: list[str], one_row: set[str]) -> dict[str, DataFrame]:
+    """Reports written by a batch run, read back for the read-side views:
+    tables as Parquet, one-row reports as JSON."""
+    base = out_dir.rstrip("/")
+    return {
+        n: (spark.read.json(f"{base}/{n}") if n in one_row else spark.read.parquet(f"{base}/{n}"))
+        for n in names
+    }
