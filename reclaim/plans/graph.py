@@ -60,14 +60,22 @@ def model_scorer(customers: DataFrame) -> DataFrame:
 
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
-                 queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame], DataFrame] | None = None):
+                 queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame], DataFrame] | None = None,
+                 pin_inputs: bool = False):
         """``pin`` materializes the shared intermediates (the enriched
         customer table, which also serves as the scored table, and the
-        action queue); ``None`` leaves every node lazy."""
+        action queue); ``None`` leaves every node lazy.  ``pin_inputs``
+        also materializes each input table on first use (for runs where
+        every input feeds several reports)."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
         self._pin = pin
+        self._pin_inputs = pin_inputs and pin is not None
+
+    def _input(self, name: str) -> DataFrame:
+        df = self.inputs[name]
+        return self._pin(df) if self._pin_inputs else df
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -76,27 +84,27 @@ class Graph:
     # -- inputs -------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
-        return self.inputs["customers"]
+        return self._input("customers")
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return self.inputs["monthly_revenue"]
+        return self._input("monthly_revenue")
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return self.inputs["campaigns"]
+        return self._input("campaigns")
 
     @cached_property
     def payments(self) -> DataFrame:
-        return self.inputs["payment_events"]
+        return self._input("payment_events")
 
     @cached_property
     def fulfillment(self) -> DataFrame:
-        return self.inputs["fulfillment_events"]
+        return self._input("fulfillment_events")
 
     @cached_property
     def skus(self) -> DataFrame:
-        return self.inputs["sku_inventory"]
+        return self._input("sku_inventory")
 
     @cached_property
     def customers_shared(self) -> DataFrame:

@@ -66,11 +66,11 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str | None =
     Returns seconds per step."""
     configure(spark)
     timings: dict[str, float] = {}
+    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=_pin, pin_inputs=True)
     t = time.time()
     if validate:
-        quality.validate_customers(inputs["customers"])
+        quality.validate_customers(g.customers)
         timings["validate"] = time.time() - t
-    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=_pin)
     t = time.time()
     _ = g.scored
     timings["scored"] = time.time() - t

@@ -77,7 +77,7 @@ def _drivers(spark, sf_dir):
 
 
 def _run_kpis(spark, sf_dir):
-    g = _graph(spark, sf_dir)
+    g = _graph(spark, sf_dir, pin_inputs=True)
     return summaries.run_kpis(
         g.customers_shared, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
         g.experiment_backlog, g.segment_opportunity, g.monitoring_summary, g.scenario_summary,
