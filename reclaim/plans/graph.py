@@ -10,7 +10,7 @@ their consumers do not recompute them.
 from __future__ import annotations
 
 from functools import cached_property
-from typing import Callable
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,22 +60,22 @@ def model_scorer(customers: DataFrame) -> DataFrame:
 
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
-                 queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame], DataFrame] | None = None,
-                 pin_inputs: bool = False):
-        """``pin`` materializes the shared intermediates (the enriched
-        customer table, which also serves as the scored table, and the
-        action queue); ``None`` leaves every node lazy.  ``pin_inputs``
-        also materializes each input table on first use (for runs where
-        every input feeds several reports)."""
+                 queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame, str], DataFrame] | None = None,
+                 pin_inputs: Iterable[str] = ()):
+        """``pin(df, name)`` materializes the shared intermediates (the
+        enriched customer table, which also serves as the scored table, and
+        the action queue); ``None`` leaves every node lazy.  ``pin_inputs``
+        names the input tables to materialize on first use (those the
+        requested outputs read more than once)."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
         self._pin = pin
-        self._pin_inputs = pin_inputs and pin is not None
+        self._pin_inputs = set(pin_inputs) if pin is not None else set()
 
     def _input(self, name: str) -> DataFrame:
         df = self.inputs[name]
-        return self._pin(df) if self._pin_inputs else df
+        return self._pin(df, name) if name in self._pin_inputs else df
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -110,7 +110,7 @@ class Graph:
     def customers_shared(self) -> DataFrame:
         """The customer table, read from the pinned enriched table when
         there is one (same rows, no second pass over the warehouse)."""
-        if self._pin is None:
+        if self._pin is None or "customers" in self._pin_inputs:
             return self.customers
         return self.enriched.select(*self.customers.columns)
 
@@ -165,7 +165,7 @@ class Graph:
     @cached_property
     def enriched(self) -> DataFrame:
         out = leakage.margin_at_risk(self._scored_lazy, self.skus)
-        return self._pin(out) if self._pin else out
+        return self._pin(out, "enriched") if self._pin else out
 
     @cached_property
     def open_failed(self) -> DataFrame:
@@ -222,7 +222,7 @@ class Graph:
     @cached_property
     def queue(self) -> DataFrame:
         out = actions.action_queue(self.action_items, self.queue_limit)
-        return self._pin(out) if self._pin else out
+        return self._pin(out, "queue") if self._pin else out
 
     @property
     def queue_bounded(self) -> bool:

@@ -1,10 +1,10 @@
 """Batch run: every report of the engine from one set of inputs.
 
-Scored customers and the action queue feed many reports, so they are
-materialized once.  ``checkpoint()`` writes them to the session's
-checkpoint folder (``spark.checkpoint.dir``, a shared folder on a cluster):
-the lineage is cut and a lost executor costs a re-read, not a recompute
-of the warehouse adapters.
+The six inputs, the scored customers and the action queue each feed many
+reports, so they are materialized once: written as Parquet tables under
+the session's checkpoint folder (``spark.checkpoint.dir``, a shared folder
+on a cluster).  The lineage is cut and a lost executor costs a re-read,
+not a recompute of the warehouse adapters.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, quality, summaries, views
-from ..session import configure
+from ..session import configure, materialize
 from ..sources import io
 from .graph import Graph, Scorer, fixed_scorer
+from .registry import ALL_INPUTS
 
 # Report name -> how to get it from the graph.
 REPORTS: dict[str, Callable[[Graph], DataFrame]] = {
@@ -55,8 +56,6 @@ def read_reports(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return io.read_outputs(spark, out_dir, list(REPORTS) + ["model_metrics"], ONE_ROW)
 
 
-def _pin(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
 
 
 def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str | None = None,
@@ -66,7 +65,7 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str | None =
     Returns seconds per step."""
     configure(spark)
     timings: dict[str, float] = {}
-    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=_pin, pin_inputs=True)
+    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=materialize, pin_inputs=ALL_INPUTS)
     t = time.time()
     if validate:
         quality.validate_customers(g.customers)

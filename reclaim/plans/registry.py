@@ -8,29 +8,43 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, summaries, views
-from ..session import configure
+from ..session import configure, materialize
 from .graph import Graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialize a shared intermediate in the session's checkpoint
-    folder (reliable: survives executor loss, cuts the lineage)."""
-    return df.checkpoint(eager=True)
+ALL_INPUTS = ("customers", "monthly_revenue", "campaigns", "payment_events", "fulfillment_events", "sku_inventory")
+
+# Inputs a query's plan reads more than once (materialized once instead).
+REUSED_INPUTS = {
+    "run_kpis": ALL_INPUTS,
+    "monitoring_summary": ALL_INPUTS,
+    "alert_headline": ALL_INPUTS,
+    "metric_changes": ("monthly_revenue",),
+    "revenue_alerts": ("monthly_revenue",),
+    "churn_alerts": ("monthly_revenue",),
+    "leakage_report": ("sku_inventory",),
+    "weekly_brief": ("sku_inventory",),
+    "leak_share": ("sku_inventory",),
+    "headline_kpis": ("sku_inventory", "payment_events"),
+    "classification_metrics": ("customers",),
+}
 
 
-def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, **kw) -> Graph:
-    """The operator graph over one warehouse folder.  With ``shared``,
-    intermediates used by several operators are checkpointed once instead
-    of being re-derived from the warehouse at every use."""
+def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, name: str = "", **kw) -> Graph:
+    """The operator graph over one warehouse folder.  With ``shared``, the
+    intermediates used by several operators (and the inputs listed in
+    ``REUSED_INPUTS`` for this query) are written once to the checkpoint
+    folder instead of being re-derived from the warehouse at every use."""
     configure(spark)
-    return Graph.from_warehouse(spark, sf_dir, pin=checkpoint if shared else None, **kw)
+    kw.setdefault("pin_inputs", REUSED_INPUTS.get(name, ()))
+    return Graph.from_warehouse(spark, sf_dir, pin=materialize if shared else None, **kw)
 
 
-def _attr(name: str, **kw) -> Query:
+def _attr(name: str, qname: str = "", **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(_graph(spark, sf_dir, shared=name not in SINGLE_USE, **kw), name)
+        return getattr(_graph(spark, sf_dir, shared=name not in SINGLE_USE, name=qname, **kw), name)
 
     run.__name__ = name
     return run
@@ -40,8 +54,8 @@ def _attr(name: str, **kw) -> Query:
 SINGLE_USE = {
     "scored", "brand_summary", "channel_summary", "revenue_forecast", "enriched", "open_failed", "late_orders",
     "discount_leak", "channel_quality", "weak_campaigns", "sku_risk", "support_leak", "payment_recovery",
-    "base_segments", "metric_changes", "revenue_alerts", "churn_alerts", "campaign_alerts", "payment_alerts",
-    "fulfillment_alerts", "inventory_alerts", "quality_gates",
+    "base_segments", "campaign_alerts", "payment_alerts",
+    "fulfillment_alerts", "inventory_alerts", "quality_gates", "quality_scorecard",
 }
 
 
@@ -57,7 +71,8 @@ def _f1(spark, sf_dir):
 
 
 def _metrics(spark, sf_dir):
-    return churn.classification_metrics(_graph(spark, sf_dir, shared=False).holdout)
+    # The hold-out feeds both the sweep and the AUC: share it.
+    return churn.classification_metrics(_graph(spark, sf_dir, name="classification_metrics").holdout)
 
 
 def _auc(spark, sf_dir):
@@ -77,7 +92,7 @@ def _drivers(spark, sf_dir):
 
 
 def _run_kpis(spark, sf_dir):
-    g = _graph(spark, sf_dir, pin_inputs=True)
+    g = _graph(spark, sf_dir, name="run_kpis")
     return summaries.run_kpis(
         g.customers_shared, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
         g.experiment_backlog, g.segment_opportunity, g.monitoring_summary, g.scenario_summary,
@@ -102,7 +117,7 @@ def _issue_mix(spark, sf_dir):
 
 
 def _headline(spark, sf_dir):
-    g = _graph(spark, sf_dir)
+    g = _graph(spark, sf_dir, name="headline_kpis")
     return views.headline_kpis(g.payment_recovery, g.sku_risk, g.playbook_roi, g.queue)
 
 
@@ -116,11 +131,11 @@ def _segment_headline(spark, sf_dir):
 
 
 def _alert_headline(spark, sf_dir):
-    return views.alert_headline(_graph(spark, sf_dir).monitoring_summary)
+    return views.alert_headline(_graph(spark, sf_dir, name="alert_headline").monitoring_summary)
 
 
 def _leak_share(spark, sf_dir):
-    return views.share_of_max(_graph(spark, sf_dir).leakage_report, "revenue_at_risk")
+    return views.share_of_max(_graph(spark, sf_dir, name="leak_share").leakage_report, "revenue_at_risk")
 
 
 def _top_skus(spark, sf_dir):
@@ -165,9 +180,9 @@ def queries() -> dict[str, Query]:
         "weak_campaigns": _attr("weak_campaigns"),
         "sku_risk": _attr("sku_risk"),
         "support_escalation": _attr("support_leak"),
-        "leakage_report": _attr("leakage_report"),
+        "leakage_report": _attr("leakage_report", "leakage_report"),
         "payment_recovery": _attr("payment_recovery"),
-        "weekly_brief": _attr("weekly_brief"),
+        "weekly_brief": _attr("weekly_brief", "weekly_brief"),
         # E
         "action_items": _attr("action_items"),
         "action_queue": _attr("queue"),
@@ -184,15 +199,15 @@ def queries() -> dict[str, Query]:
         "segment_opportunity": _attr("segment_opportunity"),
         "issue_matrix": _attr("issue_matrix"),
         # H
-        "metric_changes": _attr("metric_changes"),
-        "revenue_alerts": _attr("revenue_alerts"),
-        "churn_alerts": _attr("churn_alerts"),
+        "metric_changes": _attr("metric_changes", "metric_changes"),
+        "revenue_alerts": _attr("revenue_alerts", "revenue_alerts"),
+        "churn_alerts": _attr("churn_alerts", "churn_alerts"),
         "campaign_alerts": _attr("campaign_alerts"),
         "payment_alerts": _attr("payment_alerts"),
         "fulfillment_alerts": _attr("fulfillment_alerts"),
         "inventory_alerts": _attr("inventory_alerts"),
         "alert_list": _attr("alert_list"),
-        "monitoring_summary": _attr("monitoring_summary"),
+        "monitoring_summary": _attr("monitoring_summary", "monitoring_summary"),
         # J
         "scored_actions": _attr("scored_actions"),
         "scenario_actions": _attr("scenario_actions"),

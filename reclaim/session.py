@@ -52,6 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a Parquet table under the session's checkpoint folder
+    and read it back: the lineage is cut, a lost executor costs a re-read
+    rather than a recompute, and readers get column pruning and filter
+    pushdown on the written table."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reclaim-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "reclaim") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
