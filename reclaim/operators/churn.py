@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dims import RISK_BINS
-from ..functions.exprs import rnd
+from ..functions.exprs import attach, rnd
 
 LOGIT_CLIP = 35.0
 TRAIN_SHARE = 78  # percent of customers in the training split
@@ -68,6 +68,9 @@ def split_bucket(customer_id: Column, id_is_numeric: bool = True) -> Column:
 
 
 def is_holdout(df: DataFrame, id_col: str = "customer_id") -> Column:
+    """The 22 % evaluation split (B2).  Every customer is still scored; the
+    split only decides which customers the quality metrics are measured
+    on, and it grows with the data."""
     numeric = dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
     return split_bucket(F.col(id_col), numeric) >= TRAIN_SHARE
 
@@ -167,8 +170,6 @@ def classification_metrics(holdout: DataFrame, prob: str = "probability", label:
         F.col("fn").alias("false_negatives"),
     )
     auc = roc_auc(holdout, score, label).select(rnd("roc_auc", 4).alias("roc_auc"))
-    from ..functions.exprs import attach
-
     return attach(metrics, auc)
 
 
