@@ -133,3 +133,45 @@ def test_quality_gates_detect_each_failure(spark):
         quality.validate_customers(df)
     with pytest.raises(ValueError):
         quality.validate_customers(df.drop("plan"))
+
+
+def test_campaign_without_customers_is_not_weak(spark):
+    from reclaim.operators import leakage
+
+    camps = spark.createDataFrame([("A", "email", 100.0, 1, 10.0), ("A", "display", 100.0, 1, 10.0),
+                                   ("A", "organic", 0.0, 0, 50.0)],
+                                  "brand string, acquisition_channel string, spend double, conversions int, "
+                                  "attributed_revenue double")
+    quality = spark.createDataFrame([("A", "email", 3, 0.5, 20.0)],
+                                    "brand string, acquisition_channel string, acquired_customers long, "
+                                    "avg_churn_risk double, avg_monthly_revenue double")
+    weak = leakage.weak_campaigns(camps, quality).collect()
+    # display has no customers and organic no spend: neither has a defined budget at risk
+    assert [r["acquisition_channel"] for r in weak] == ["email"]
+    assert abs(weak[0]["budget_at_risk"] - (100 * 1.9 + 100 * 0.28)) < 1e-9
+
+
+def test_brand_without_inventory_gets_default_margin(spark):
+    from reclaim.operators import leakage
+
+    scored = spark.createDataFrame([(1, "A", 100.0, 0.5), (2, "Z", 100.0, 0.5)],
+                                   "customer_id long, brand string, monthly_revenue double, churn_risk_score double")
+    skus = spark.createDataFrame([("s1", "A", 0.30), ("s2", "A", 0.40)],
+                                 "sku string, brand string, gross_margin_rate double")
+    got = {r["brand"]: r for r in leakage.margin_at_risk(scored, skus).collect()}
+    assert abs(got["A"]["gross_margin_rate"] - 0.35) < 1e-12
+    assert got["Z"]["gross_margin_rate"] == 0.48
+    assert abs(got["Z"]["six_month_margin_at_risk"] - 100 * 6 * 0.48 * 0.5) < 1e-9
+
+
+def test_metric_changes_missing_latest_and_missing_baseline(spark):
+    rows = [(dt.date(2025, m, 1), "full", 10, 100.0 + m, 0.05) for m in range(1, 7)]
+    rows += [(dt.date(2025, m, 1), "stale", 10, 50.0, 0.05) for m in range(1, 5)]  # no latest month
+    rows += [(dt.date(2025, 6, 1), "new", 10, 70.0, 0.05)]  # latest month only: no baseline
+    monthly = spark.createDataFrame(rows, "month date, brand string, active_customers int, "
+                                          "subscription_revenue double, monthly_churn_rate double")
+    ch = {r["brand"]: r for r in monitoring.metric_changes(monthly).collect()}
+    assert set(ch) == {"full", "new"}
+    assert ch["full"]["baseline_revenue"] == 104.0 and ch["full"]["latest_month"] == "2025-06-01"
+    assert ch["new"]["baseline_revenue"] is None and ch["new"]["revenue_change_pct"] is None
+    assert monitoring.revenue_alerts(monitoring.metric_changes(monthly)).count() == 0
