@@ -37,7 +37,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from reclaim.plans import pipeline
     from reclaim.plans.registry import queries
-    from reclaim.session import local_session
+    from reclaim.session import local_session, materialize
     from reclaim.sources import tpch
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="reclaim-bench")
@@ -51,7 +51,7 @@ def main() -> None:
         registry[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t, 3)
     t = time.time()
-    steps = pipeline.run(spark, tpch.load(spark, sf_dir))
+    steps = pipeline.run(spark, tpch.load(spark, sf_dir, share=materialize))
     timings["pipeline_all_reports"] = round(time.time() - t, 3)
     total = round(sum(timings.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")

@@ -62,10 +62,14 @@ def _pick(labels: list[str], key: Column) -> Column:
 class Warehouse:
     """Lazy handles on the warehouse tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, share=None):
+        """``share(df, name)``, when given, materializes the recent-window
+        join, which two inputs (customers, fulfillment events) read."""
         self.spark = spark
         self.path = path.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._share = share
+        self._recent: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         # One handle per table: the file listing and footer read happen once.
@@ -85,9 +89,14 @@ class Warehouse:
 
     def recent_lines(self) -> DataFrame:
         """Window lineitems with the customer of their order."""
-        lines = self.window_lines()
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        if self._recent is None:
+            lines = self.window_lines().select(
+                "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
+            )
+            orders = self.table("orders").select("o_orderkey", "o_custkey")
+            joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+            self._recent = self._share(joined, "recent_lines") if self._share else joined
+        return self._recent
 
     def customer_brand(self) -> DataFrame:
         return self.table("customer").select(F.col("c_custkey"), F.col("c_mktsegment").alias("brand"))
@@ -293,5 +302,8 @@ class Inputs(dict):
         return df
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return Inputs(Warehouse(spark, sf_dir))
+def load(spark: SparkSession, sf_dir: str, share=None) -> dict[str, DataFrame]:
+    """The six inputs of a warehouse folder, built lazily.  ``share`` (e.g.
+    ``session.materialize``) writes the recent-window join once for runs
+    that build both inputs reading it."""
+    return Inputs(Warehouse(spark, sf_dir, share))
