@@ -61,7 +61,7 @@ def model_scorer(customers: DataFrame) -> DataFrame:
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
                  queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame, str], DataFrame] | None = None,
-                 pin_inputs: Iterable[str] = ()):
+                 pin_inputs: Iterable[str] = (), pin_queue: bool = True):
         """``pin(df, name)`` materializes the shared intermediates (the
         enriched customer table, which also serves as the scored table, and
         the action queue); ``None`` leaves every node lazy.  ``pin_inputs``
@@ -72,6 +72,7 @@ class Graph:
         self.queue_limit = queue_limit
         self._pin = pin
         self._pin_inputs = set(pin_inputs) if pin is not None else set()
+        self._pin_queue = pin_queue
 
     def _input(self, name: str) -> DataFrame:
         df = self.inputs[name]
@@ -222,7 +223,7 @@ class Graph:
     @cached_property
     def queue(self) -> DataFrame:
         out = actions.action_queue(self.action_items, self.queue_limit)
-        return self._pin(out, "queue") if self._pin else out
+        return self._pin(out, "queue") if self._pin and self._pin_queue else out
 
     @property
     def queue_bounded(self) -> bool:

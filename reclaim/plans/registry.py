@@ -44,6 +44,8 @@ def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, name: str = ""
 
 def _attr(name: str, qname: str = "", **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # A query whose result is the queue itself has nothing to share it with.
+        kw.setdefault("pin_queue", name != "queue")
         return getattr(_graph(spark, sf_dir, shared=name not in SINGLE_USE, name=qname, **kw), name)
 
     run.__name__ = name
