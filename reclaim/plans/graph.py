@@ -220,9 +220,16 @@ class Graph:
     def action_items(self) -> DataFrame:
         return actions.action_items(self.open_failed, self.late_orders, self.discount_leak, self.support_leak)
 
+    @cached_property
+    def reduced_items(self) -> DataFrame:
+        """Items reduced per (customer, brand, issue, reason); the queue's
+        four roll-up branches read it, so it is materialized when pinning."""
+        out = actions.reduce_items(self.action_items)
+        return self._pin(out, "reduced_items") if self._pin else out
+
     @cached_property
     def queue(self) -> DataFrame:
-        out = actions.action_queue(self.action_items, self.queue_limit)
+        out = actions.roll_up(self.reduced_items, self.queue_limit)
         return self._pin(out, "queue") if self._pin and self._pin_queue else out
 
     @property
