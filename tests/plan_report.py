@@ -4,9 +4,9 @@
 
 Each query is executed (so adaptive execution has settled the final plan)
 and its executed plan is scanned for the operators that matter at scale.
-Shared intermediates that a compound query checkpoints appear as scans of
-an existing RDD (``Scan ExistingRDD``); their own plans are listed under
-the queries that build them (``margin_at_risk``, ``action_queue``).
+Shared intermediates that a compound query materializes (Parquet tables
+under the checkpoint folder) appear as materialized-table reads; the plans
+that build them are listed under ``margin_at_risk`` and ``action_items``.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ COLUMNS = [
     ("windows", r"\bWindow \["),
     ("unpartitioned windows", r"\bWindow \[.*windowspecdefinition\(([^,()]* (ASC|DESC)|specifiedwindowframe)"),
     ("map-side window limit", r"WindowGroupLimit .*Partial"),
-    ("scans", r"FileScan parquet"),
-    ("scans with pushed filters", r"FileScan parquet.*PushedFilters: \[[^\]]"),
-    ("checkpoint reads", r"Scan ExistingRDD"),
+    ("warehouse scans", r"FileScan parquet(?!.*reclaim-tables)"),
+    ("warehouse scans with pushed filters", r"FileScan parquet(?!.*reclaim-tables).*PushedFilters: \[[^\]]"),
+    ("materialized-table reads", r"FileScan parquet.*reclaim-tables"),
     ("Python", r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)"),
     ("cartesian", r"(CartesianProduct|BroadcastNestedLoopJoin)"),
 ]
@@ -43,6 +43,8 @@ def main(argv: list[str]) -> None:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session(8)
+    # Show full file locations so reads of materialized tables can be told apart.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tests/plan_report.py` on `{sf_dir}` (local[8], AQE on, final adaptive plans).")
     print("Counts are plan nodes. Unpartitioned windows only appear over bounded row sets (see README);")
