@@ -127,11 +127,17 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int, classes: i
 
 
 def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Temperature of least log loss, by golden section over its logarithm."""
+    """Temperature of least log loss, by golden section over its logarithm.
+    Targets are smoothed as by one more example of every label, so a sample
+    without errors does not push all probabilities to 1."""
+    n, classes = logits.shape
+    target = np.full(logits.shape, 1.0 / (n + classes))
+    target[np.arange(n), labels] = (n + 1.0) / (n + classes)
 
     def loss(t: float) -> float:
-        p = softmax(logits / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-15)).mean()
+        x = logits / np.exp(t)
+        x = x - x.max(1, keepdims=True)
+        return float((target * (np.log(np.exp(x).sum(1, keepdims=True)) - x)).sum())
 
     low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(60):

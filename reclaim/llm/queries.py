@@ -27,6 +27,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), f.read())
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_array
+    from .common import table
+
+    return suffix_array.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -43,6 +50,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import minhash_hamming
+    from .common import table
+
+    return minhash_hamming.components(table(spark, sf_dir, "documents"))
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import order_minhash
     from .common import table
@@ -50,6 +64,13 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edited(table(spark, sf_dir, "documents"))
 
 
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_templates
+    from .common import table
+
+    return line_templates.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import best_fit_packing
     from .common import table
@@ -105,8 +126,10 @@ FROM p LEFT JOIN k USING (payload_digest)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_exact_topk, op4_language_id, op6_order_minhash, op8_best_fit_packing, op9_html_extraction, op10_warc)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": TOPK_SQL, "op10_warc": WARC_SQL}
+    from . import line_templates
+
+    return {"op3_exact_topk": TOPK_SQL, "op7_line_templates": line_templates.SQL, "op10_warc": WARC_SQL}
