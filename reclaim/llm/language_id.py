@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 1 << 14
 SAMPLE = 800  # learning documents of a label, at most
@@ -270,3 +271,22 @@ def identify(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> D
     """doc_id, held_out, lang_pred, score: train on ``docs`` and predict them."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     return predict(base, train(base, buckets, sample), buckets).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def scored(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` with lang_pred and lang_score (clashing columns are replaced):
+    rows keep their other columns, without a join."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = train(base, buckets, sample)
+    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams(buckets)
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS):
+                part = batch.slice(at, DOCS)
+                label, score = model.predict(grams, [t or "" for t in part.column(names.index("text")).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(label, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "lang_score"])
+
+    return docs.select(*names).mapInArrow(run, schema)

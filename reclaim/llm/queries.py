@@ -93,6 +93,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 # Exact integer scores of every pair, for the small tables of the SQL check.
 TOPK_SQL = """
 WITH v AS (
@@ -126,7 +132,7 @@ FROM p LEFT JOIN k USING (payload_digest)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import MB, total_bytes, written
 
@@ -388,12 +389,14 @@ def joined(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text (bytes), starts, sizes: every document with the byte
-    spans to remove (null: none)."""
+    """``docs`` with the byte spans to remove: starts, sizes (null: none)."""
     rows = base(docs)
     spans = repeated_spans(rows).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     spans = written(spans.select("doc_id", "h", F.col("spans.start").alias("starts"), F.col("spans.size").alias("sizes")), "spans")
-    return rows.join(spans, ["doc_id", "h"], "left").select(F.nullif(F.col("doc_id"), F.lit(MISSING)).alias("doc_id"), "text", "starts", "sizes")
+    spans = spans.toDF("span_doc", "span_h", "starts", "sizes")
+    names = [c for c in docs.columns if c not in spans.columns]
+    doc, h = F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return docs.select(*names).join(spans, (doc == F.col("span_doc")) & (h == F.col("span_h")), "left").select(*names, "starts", "sizes")
 
 
 def kept_bytes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -419,7 +422,45 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                     rows.append({"doc_id": doc, "kept": kept, "n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(a)})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return with_spans(docs).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    return with_spans(rows).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+
+
+def whole_characters(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans without the bytes of characters that they hold in part only."""
+    raw = np.frombuffer(text + b"  ", np.uint8)
+    inner = (raw & 0xC0) == 0x80  # continuation bytes
+    for _ in range(3):
+        starts = starts + (inner[starts] & (starts < ends))
+        ends = ends - (inner[ends] & (ends > starts))
+    return starts, ends
+
+
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated strings cut out of text, to whole
+    characters, and the column n_removed (bytes); null texts stay null."""
+    names = [c for c in docs.columns if c not in ("starts", "sizes", "n_removed")]
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("n_removed", T.LongType())])
+    at_text = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts, removed = [], []
+                for text, starts, sizes in zip(*(part.column(i).to_pylist() for i in (at_text, len(names), len(names) + 1))):
+                    removed.append(0)
+                    if starts:
+                        raw = text.encode()
+                        a, b = whole_characters(raw, *span_arrays(starts, sizes))
+                        text = kept_bytes(raw, a, b).decode()
+                        removed[-1] = int((b - a).sum())
+                    texts.append(text)
+                columns = list(part.columns[: len(names)])
+                columns[at_text] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], [*names, "n_removed"])
+
+    return with_spans(docs.select(*names)).mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:
