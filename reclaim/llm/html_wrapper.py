@@ -38,6 +38,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 MARK = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp".split())
+END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -89,16 +90,14 @@ class Node:
 def parse(html: str) -> Node:
     """The element tree of a page."""
     root = Node("", "")
-    stack, raw = [root], ""
-    for m in TOKEN.finditer(html):
+    stack, at = [root], 0
+    while at < len(html):
+        m = TOKEN.match(html, at)
+        at = m.end()
         closing, name, rest, text, lone = m.groups()
         if name:
             name = name.lower()
-            if raw and not (closing and name == raw):
-                stack[-1].children.append(Node("#", "#", text=m.group()))
-                continue
             if closing:
-                raw = ""
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].name == name:
                         del stack[i:]
@@ -119,8 +118,13 @@ def parse(html: str) -> Node:
             node = Node(f"{name} {marks}".strip(), name, name in SKIP or not NOISE.isdisjoint(words))
             stack[-1].children.append(node)
             if name not in VOID and not rest.rstrip().endswith("/"):
-                stack.append(node)
-                raw = name if name in RAW else ""
+                if name in RAW:  # its content is text up to its end tag
+                    end = END[name].search(html, at)
+                    stop = end.start() if end else len(html)
+                    node.children.append(Node("#", "#", text=html[at:stop]))
+                    at = end.end() if end else stop
+                else:
+                    stack.append(node)
         elif text or lone:
             stack[-1].children.append(Node("#", "#", text=text or lone))
         elif m.group().startswith("<![CDATA["):
