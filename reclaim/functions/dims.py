@@ -13,58 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 # Fixed values.  These numbers and labels must equal the original engine's
 # for results to agree: issue types, owners, unit costs, save rates,
 # speed labels, scenario names and capacities, severities, urgencies,
-# thresholds.  Descriptive prose is our own wording.
+# thresholds.  Descriptive texts are composed from the rules.
 # ---------------------------------------------------------------------------
 
 ISSUES = ["failed_payment", "late_fulfillment", "discount_margin_leak", "support_escalation"]
 
 # issue_type, playbook, owner, cost_per_action, expected_save_rate,
-# speed_to_value, primary_metric, hypothesis, decision_rule
+# speed_to_value, primary_metric, points the metric must gain, guardrail
+_PLAYBOOK_RULES = [
+    ("failed_payment", "Smart dunning and payment-link recovery", "Billing Ops", 1.25, 0.42, "0-7 days",
+     "Recovered invoice rate", 8, "refund complaints <= control"),
+    ("late_fulfillment", "Late-shipment rescue workflow", "Operations", 9.00, 0.24, "7-21 days",
+     "Next renewal retained", 5, "margin > 0"),
+    ("discount_margin_leak", "Offer ladder instead of blanket discounts", "Growth", 3.50, 0.16, "14-30 days",
+     "Gross margin retained", 4, "churn <= control"),
+    ("support_escalation", "Priority callback for high-value subscribers", "Customer Success", 14.00, 0.20, "7-14 days",
+     "Escalation retention rate", 6, "callback SLA met"),
+]
+
+# The last two columns are texts made from the rule: what the experiment
+# compares, and the condition for scaling.
 PLAYBOOK_ROWS = [
-    (
-        "failed_payment",
-        "Smart dunning and payment-link recovery",
-        "Billing Ops",
-        1.25,
-        0.42,
-        "0-7 days",
-        "Recovered invoice rate",
-        "Retrying at better times and sending a payment link wins back failed invoices before the subscription lapses.",
-        "Scale when the recovered-invoice rate rises 8 points with no rise in refund complaints.",
-    ),
-    (
-        "late_fulfillment",
-        "Late-shipment rescue workflow",
-        "Operations",
-        9.00,
-        0.24,
-        "7-21 days",
-        "Next renewal retained",
-        "Following up on late parcels with a make-good credit keeps the next renewal.",
-        "Scale when next-renewal retention rises 5 points and margin stays positive.",
-    ),
-    (
-        "discount_margin_leak",
-        "Offer ladder instead of blanket discounts",
-        "Growth",
-        3.50,
-        0.16,
-        "14-30 days",
-        "Gross margin retained",
-        "Tiered offers keep as many customers as blanket discounts while giving away less margin.",
-        "Scale when retained gross margin rises 4 points and churn holds steady.",
-    ),
-    (
-        "support_escalation",
-        "Priority callback for high-value subscribers",
-        "Customer Success",
-        14.00,
-        0.20,
-        "7-14 days",
-        "Escalation retention rate",
-        "A personal callback after repeated tickets prevents cancellations that were avoidable.",
-        "Scale when escalation retention rises 6 points and callbacks meet the SLA.",
-    ),
+    (*fields, f"{fields[6]}: treated > control ({fields[0]})", f"{fields[6]} >= control + {points} pt; {guard}")
+    for *fields, points, guard in _PLAYBOOK_RULES
 ]
 
 PLAYBOOK_COLUMNS = [
@@ -95,12 +66,6 @@ ISSUE_META_ROWS = [
     ("support_escalation", "Customer Success", "Today", "Support escalation"),
 ]
 
-# Scenarios: name, display order, description (own wording).
-SCENARIO_ROWS = [
-    ("Lean sprint", 1, "Only the best-returning work, for a week with little spare capacity."),
-    ("Balanced week", 2, "A cross-team plan that covers most of the high-value work."),
-    ("Full recovery push", 3, "Uses every team's full capacity on the ranked queue."),
-]
 # Capacities per scenario and owner, in the order
 # Billing Ops, Operations, Customer Success, Growth.
 SCENARIO_CAPACITY = {
@@ -108,60 +73,36 @@ SCENARIO_CAPACITY = {
     "Balanced week": {"Billing Ops": 12, "Operations": 18, "Customer Success": 12, "Growth": 8},
     "Full recovery push": {"Billing Ops": 30, "Operations": 45, "Customer Success": 30, "Growth": 20},
 }
+# Scenarios: name, display order, description (its capacities).
+SCENARIO_ROWS = [
+    (name, place, f"up to {sum(caps.values())} actions: " + ", ".join(f"{owner} {n}" for owner, n in caps.items()))
+    for place, (name, caps) in enumerate(SCENARIO_CAPACITY.items(), 1)
+]
 BALANCED_SCENARIO = "Balanced week"
 
-# Leak areas: key, leak_area, owner, urgency, problem, recommended_action.
+# Leak areas: key, leak_area, owner, urgency, rule, column that ranks the work.
+_LEAK_RULES = [
+    ("payment", "Failed payment recovery", "Billing Ops", "Today", "payment_status = failed", "invoice_amount"),
+    ("late", "Fulfillment-driven churn", "Operations", "This week", "late_flag = 1", "six_month_margin_at_risk"),
+    ("discount", "Discount margin leakage", "Growth", "This week", "discount_rate >= 0.35, churn_risk_score >= 0.30", "discount_margin_leak"),
+    ("campaign", "Campaign quality leakage", "Marketing", "Next budget cycle", "roi < 1 or avg_churn_risk > 0.22", "budget_at_risk"),
+    ("inventory", "SKU stockout exposure", "Inventory", "This week", "forecast_30d_units > on_hand_units", "margin_at_risk"),
+    ("support", "Support escalation risk", "Customer Success", "Today", "support_tickets_90d >= 3, churn_risk_score >= 0.35", "six_month_margin_at_risk"),
+]
+# key, leak_area, owner, urgency, problem, recommended_action.
 LEAK_AREA_ROWS = [
-    (
-        "payment",
-        "Failed payment recovery",
-        "Billing Ops",
-        "Today",
-        "Unpaid failed invoices put subscribers at risk of involuntary churn.",
-        "Send payment-update links and retime retries, largest failed invoices first.",
-    ),
-    (
-        "late",
-        "Fulfillment-driven churn",
-        "Operations",
-        "This week",
-        "Late deliveries reach subscribers who are already likely to cancel.",
-        "Escalate late orders of high-margin subscribers ahead of their renewal.",
-    ),
-    (
-        "discount",
-        "Discount margin leakage",
-        "Growth",
-        "This week",
-        "Deep discounts sit with customers whose retention signals are weak.",
-        "Swap blanket discounts for targeted win-back or plan-change offers.",
-    ),
-    (
-        "campaign",
-        "Campaign quality leakage",
-        "Marketing",
-        "Next budget cycle",
-        "Some channels bring in subscribers with poor payback or high churn risk.",
-        "Cap or pause low-payback channels and move budget to better-retaining ones.",
-    ),
-    (
-        "inventory",
-        "SKU stockout exposure",
-        "Inventory",
-        "This week",
-        "Forecast demand is larger than the units on hand for subscription SKUs.",
-        "Pull purchase orders forward for high-margin SKUs with long supplier lead times.",
-    ),
-    (
-        "support",
-        "Support escalation risk",
-        "Customer Success",
-        "Today",
-        "Subscribers with repeated support contacts are predicted to cancel.",
-        "Put high-value subscribers with repeated tickets on a callback list.",
-    ),
+    (key, area, owner, urgency, f"Rule: {rule}", f"{owner}: work the rows by {value}, descending")
+    for key, area, owner, urgency, rule, value in _LEAK_RULES
 ]
 
+# Queue actions per issue type; a failed payment adds its decline reason.
+QUEUE_ACTIONS = {
+    "failed_payment": "Billing Ops: payment link, decline code ",
+    "late_fulfillment": "Operations: rescue workflow",
+    "discount_margin_leak": "Growth: offer ladder",
+    "support_escalation": "Customer Success: callback",
+}
+
 # Risk bins on the rounded score: right-closed, lowest edge included.
 RISK_BINS = [(0.25, "low"), (0.45, "watch"), (0.65, "high"), (1.0, "critical")]
 

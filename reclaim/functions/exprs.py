@@ -33,11 +33,6 @@ def cents(c: str | Column) -> Column:
     return F.rint(col(c) * F.lit(100.0)).cast("long")
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of a 2-decimal money column, as a double."""
-    return F.coalesce(F.sum(cents(c)), F.lit(0)).cast("double") / F.lit(100.0)
-
-
 def safe_div(num: str | Column, den: str | Column) -> Column:
     """Division that yields NULL for a zero (or NULL) divisor instead of an
     error; the reference turns those into NaN."""
@@ -55,21 +50,20 @@ def pct_text(c: str | Column) -> Column:
     return F.concat(F.rint(col(c) * F.lit(100.0)).cast("long").cast("string"), F.lit("%"))
 
 
-def zsum(c: str | Column) -> Column:
-    """Sum where an empty or all-NULL input gives 0."""
-    return F.coalesce(F.sum(col(c)), F.lit(0))
+MONEY = "decimal(28,6)"
 
 
 def exact_sum(c: str | Column) -> Column:
     """Sum of a money-like column (at most 6 decimals) in fixed point, so
     the result does not depend on the order rows arrive in.  Empty -> 0.
-    DuckDB: ``CAST(sum(CAST(x AS DECIMAL(18,6))) AS DOUBLE)``."""
-    return F.coalesce(F.sum(col(c).cast("decimal(18,6)")).cast("double"), F.lit(0.0))
+    Values up to 1e22, sums up to 1e32.
+    DuckDB: ``CAST(sum(CAST(x AS DECIMAL(28,6))) AS DOUBLE)``."""
+    return F.coalesce(F.sum(col(c).cast(MONEY)).cast("double"), F.lit(0.0))
 
 
 def exact_avg(c: str | Column) -> Column:
     """Mean of a fixed-decimal column (rounded scores, money), order-free."""
-    return F.sum(col(c).cast("decimal(18,6)")).cast("double") / F.count(col(c))
+    return F.sum(col(c).cast(MONEY)).cast("double") / F.count(col(c))
 
 
 def attach(df, one_row):

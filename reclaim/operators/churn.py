@@ -2,8 +2,8 @@
 
 Scoring is a projection.  Evaluation never sorts the data globally: the
 threshold sweep and the confusion counts come from a histogram of at most
-62 threshold buckets, and AUC from a histogram of the 4-digit score (at most
-10,001 rows), so both stay bounded however many customers are scored.
+62 threshold buckets, AUC from a range-partitioned rank sum of the unrounded
+score.  A histogram variant of AUC works on the 4-digit score.
 Training is MLlib logistic regression (distributed L-BFGS).
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dims import RISK_BINS
-from ..functions.exprs import attach, rnd
+from ..functions.exprs import attach, precise_sum, rnd
 
 LOGIT_CLIP = 35.0
 TRAIN_SHARE = 78  # percent of customers in the training split
@@ -59,20 +59,19 @@ def score_customers(customers: DataFrame, logit: Column) -> DataFrame:
     return scored.withColumn("risk_segment", risk_segment(F.col("churn_risk_score")))
 
 
-def split_bucket(customer_id: Column, id_is_numeric: bool = True) -> Column:
-    """Deterministic 0..99 bucket per customer: reproducible and computed
-    row by row (no sort, no driver-side permutation)."""
-    if id_is_numeric:
-        return F.pmod(customer_id * F.lit(37) + F.lit(SPLIT_SALT), F.lit(100))
-    return F.pmod(F.xxhash64(customer_id, F.lit(SPLIT_SALT)), F.lit(100))
+def split_bucket(customer_id: Column) -> Column:
+    """Deterministic 0..99 bucket per customer of any id type, from the md5
+    of the id's text: reproducible and computed row by row (no sort, no
+    driver-side permutation), even for ids that step by a fixed amount."""
+    digest = F.md5(F.concat(customer_id.cast("string"), F.lit(f"|{SPLIT_SALT}")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100))
 
 
 def is_holdout(df: DataFrame, id_col: str = "customer_id") -> Column:
     """The 22 % evaluation split (B2).  Every customer is still scored; the
     split only decides which customers the quality metrics are measured
     on, and it grows with the data."""
-    numeric = dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
-    return split_bucket(F.col(id_col), numeric) >= TRAIN_SHARE
+    return split_bucket(F.col(id_col)) >= TRAIN_SHARE
 
 
 def _threshold_buckets(df: DataFrame, prob: str, label: str, grid: list[float]) -> DataFrame:
@@ -128,22 +127,48 @@ def best_threshold(df: DataFrame, prob: str = "probability", label: str = "churn
     )
 
 
-def roc_auc(df: DataFrame, score: str = "churn_risk_score", label: str = "churned") -> DataFrame:
-    """B10 on the published 4-digit score: Mann-Whitney with tied scores
-    sharing their average rank.  The histogram has at most 10,001 rows, so
-    the running sum over it is bounded."""
-    hist = df.groupBy(score).agg(
+def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Positives and negatives of every different score."""
+    return df.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
     )
+
+
+def roc_auc(df: DataFrame, score: str = "logit", label: str = "churned") -> DataFrame:
+    """B10 on the unrounded score: Mann-Whitney with tied scores sharing
+    their average rank.  The different scores are sorted by range
+    partitions; a running sum inside each partition plus the partitions'
+    totals (one row per partition) gives the negatives below each score."""
+    from ..session import materialize
+
+    counts = _score_counts(df, score, label).orderBy(score)
+    counts = materialize(counts.withColumn("part", F.spark_partition_id()), "auc_scores")
+    totals = counts.groupBy("part").agg(F.sum("neg").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("part").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(F.broadcast(offsets), "part")
+    return _auc(ranked.withColumn("neg_below", F.col("below") + F.col("offset")))
+
+
+def roc_auc_histogram(df: DataFrame, score: str = "churn_risk_score", label: str = "churned") -> DataFrame:
+    """AUC of the published 4-digit score: its histogram has at most 10,001
+    rows, so the running sum over it is bounded."""
     w = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = hist.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    return _auc(_score_counts(df, score, label).withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0))))
+
+
+def _auc(ranked: DataFrame) -> DataFrame:
+    """AUC from (pos, neg, neg_below) per different score; products of counts
+    are decimals, so that billions of customers do not overflow."""
+    big = lambda c: F.col(c).cast("decimal(18,0)")
     totals = ranked.agg(
-        F.sum(F.lit(2) * F.col("pos") * F.col("neg_below") + F.col("pos") * F.col("neg")).alias("twice_wins"),
+        F.sum(F.lit(2) * big("pos") * big("neg_below") + big("pos") * big("neg")).alias("twice_wins"),
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
     )
-    pairs = F.col("n_pos") * F.col("n_neg")
+    pairs = big("n_pos") * big("n_neg")
     return totals.select(
         F.when(F.coalesce(pairs, F.lit(0)) == 0, F.lit(0.5))
         .otherwise(F.col("twice_wins").cast("double") / F.lit(2.0) / pairs.cast("double"))
@@ -154,7 +179,7 @@ def roc_auc(df: DataFrame, score: str = "churn_risk_score", label: str = "churne
 
 
 def classification_metrics(holdout: DataFrame, prob: str = "probability", label: str = "churned",
-                           score: str = "churn_risk_score") -> DataFrame:
+                           score: str = "logit") -> DataFrame:
     """One row of hold-out metrics at the best-F1 threshold."""
     best = threshold_sweep(holdout, prob, label).orderBy(F.col("f1").desc(), F.col("i").asc()).limit(1)
     n = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
@@ -187,14 +212,16 @@ def _feature_stages(numeric: list[str], categorical: list[str]):
 
     # Descending alphabetical index + dropLast makes the alphabetically first
     # level the all-zero reference level (drop-first dummy coding).
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetDesc") for c in categorical]
+    idx = StringIndexer(
+        inputCols=categorical, outputCols=[f"{c}__idx" for c in categorical], stringOrderType="alphabetDesc"
+    )
     ohe = OneHotEncoder(
         inputCols=[f"{c}__idx" for c in categorical],
         outputCols=[f"{c}__ohe" for c in categorical],
         dropLast=True,
     )
     asm = VectorAssembler(inputCols=numeric + [f"{c}__ohe" for c in categorical], outputCol="features")
-    return idx + [ohe, asm]
+    return [idx, ohe, asm]
 
 
 def train_churn_model(customers: DataFrame, reg: float = 0.01, max_iter: int = 200):
@@ -232,10 +259,9 @@ def feature_names(model) -> list[str]:
     ``<column>_<level>`` for each kept dummy."""
     stages = model.stages
     names = list(NUMERIC_FEATURES)
-    indexers = [s for s in stages if type(s).__name__ == "StringIndexerModel"]
-    for c, ix in zip(CATEGORICAL_FEATURES, indexers):
-        labels = list(ix.labels)  # descending order; last one is dropped
-        names.extend(f"{c}_{lvl}" for lvl in labels[:-1])
+    indexer = next(s for s in stages if type(s).__name__ == "StringIndexerModel")
+    for c, labels in zip(CATEGORICAL_FEATURES, indexer.labelsArray):
+        names.extend(f"{c}_{lvl}" for lvl in list(labels)[:-1])  # descending order; the last one is dropped
     return names
 
 
@@ -274,6 +300,59 @@ def model_drivers(customers: DataFrame, model=None, top: int = 12) -> DataFrame:
     )
 
 
+def dummy_table(customers: DataFrame) -> DataFrame:
+    """customer_id, churned, is_train and the feature values by name, as one
+    map per customer: numeric features and a 0/1 value for each level of a
+    categorical one but the alphabetically first (B1)."""
+    levels = customers.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in CATEGORICAL_FEATURES]).first()
+    pairs = [(c, F.col(c).cast("double")) for c in NUMERIC_FEATURES]
+    for c in CATEGORICAL_FEATURES:
+        pairs += [(f"{c}_{v}", (F.col(c) == v).cast("double")) for v in levels[c][1:]]
+    features = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in pairs]), F.array(*[x for _, x in pairs]))
+    return customers.select("customer_id", F.col("churned").cast("double").alias("churned"), (~is_holdout(customers)).alias("is_train"), features.alias("features"))
+
+
+def feature_table(customers: DataFrame) -> DataFrame:
+    """Every feature with its mean and population std over the
+    training customers."""
+    long = dummy_table(customers).where("is_train").select(F.explode("features").alias("feature", "value"))
+    n, value = F.count("value"), F.col("value")
+    mean = precise_sum(value) / n
+    # Exact sums of the values and their squares do not depend on row order.
+    spread = F.sqrt(F.greatest(F.lit(0.0), precise_sum(value * value) / n - mean * mean))
+    return long.groupBy("feature").agg(n.alias("customers"), rnd(mean, 6).alias("train_mean"), rnd(spread, 4).alias("train_std"))
+
+
+def stationarity(customers: DataFrame, reg: float = 0.01, digits: int = 3) -> DataFrame:
+    """Gradient of the penalized loss at the fitted weights, per
+    standardized feature and for the intercept; a fitted model has none, so
+    every rounded value is 0."""
+    from pyspark.ml.functions import vector_to_array
+
+    model = train_churn_model(customers, reg)
+    names = feature_names(model)
+    weights = [float(w) for w in model.stages[-1].coefficients.toArray()]
+    data = customers.where(~is_holdout(customers)).withColumn("label", F.col("churned").cast("double"))
+    rows = model.transform(data).select(
+        vector_to_array("features").alias("x"), (vector_to_array("probability").getItem(1) - F.col("label")).alias("error")
+    )
+    n = len(names)
+    stats = rows.agg(
+        F.avg("error").alias("g"),
+        *[F.avg(F.col("error") * F.col("x")[i]).alias(f"g{i}") for i in range(n)],
+        *[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(n)],
+    ).first()  # one row
+
+    def slope(i: int) -> float:
+        s = stats[f"s{i}"]
+        return stats[f"g{i}"] / s + reg * weights[i] * s if s else 0.0
+
+    values = [("intercept", stats["g"])] + [(names[i], slope(i)) for i in range(n)]
+    return customers.sparkSession.createDataFrame(
+        [(name, round(v, digits) + 0.0) for name, v in values], "feature string, gradient double"
+    )
+
+
 def model_holdout(customers: DataFrame, model) -> DataFrame:
     """Hold-out customers with the model's unrounded probability (for the
     threshold sweep) and the 4-digit score (for AUC)."""
@@ -281,5 +360,6 @@ def model_holdout(customers: DataFrame, model) -> DataFrame:
 
     data = customers.where(is_holdout(customers)).withColumn("label", F.col("churned").cast("double"))
     prob = vector_to_array(F.col("probability")).getItem(1)
-    out = model.transform(data).select(*customers.columns, prob.alias("probability"))
+    logit = vector_to_array(F.col("rawPrediction")).getItem(1)
+    out = model.transform(data).select(*customers.columns, prob.alias("probability"), logit.alias("logit"))
     return out.withColumn("churn_risk_score", rnd("probability", SCORE_DIGITS))

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
-from ..functions.exprs import exact_avg, exact_sum, max0, precise_avg, precise_sum, rnd, safe_div
+from ..functions.exprs import attach, exact_avg, exact_sum, max0, precise_avg, precise_sum, rnd, safe_div
+from ..session import broadcast_if_small, materialize
 from .summaries import campaign_roi
 
 DEFAULT_MARGIN = 0.48
@@ -42,8 +43,13 @@ def brand_margins(skus: DataFrame) -> DataFrame:
 def margin_at_risk(scored: DataFrame, skus: DataFrame, default_margin: float = DEFAULT_MARGIN,
                    months: int = MARGIN_MONTHS) -> DataFrame:
     """Customers + brand margin (default when unknown) + the
-    six-month margin at risk = revenue x months x margin x score."""
-    enriched = scored.join(brand_margins(skus), "brand", "left").withColumn(
+    six-month margin at risk = revenue x months x margin x score.
+
+    The margins are one row per brand: they are written once and broadcast
+    when their row count allows it, so customers are not shuffled onto a
+    handful of brand keys."""
+    margins = broadcast_if_small(materialize(brand_margins(skus), "brand_margins"))
+    enriched = scored.join(margins, "brand", "left").withColumn(
         "gross_margin_rate", F.coalesce(F.col("brand_margin"), F.lit(default_margin))
     )
     risk = F.col("monthly_revenue") * F.lit(months) * F.col("gross_margin_rate") * F.col("churn_risk_score")
@@ -184,6 +190,19 @@ def payment_recovery(payments: DataFrame) -> DataFrame:
     )
 
 
+def brief_items(report: DataFrame, items: int = 3) -> DataFrame:
+    """The first ``items`` report rows, whole (part of D12)."""
+    return report.where(F.col("rank") <= items).orderBy("rank")
+
+
+def brief_record(report: DataFrame, items: int = 3) -> DataFrame:
+    """D12 as it is written: the brief with its first areas as records."""
+    record = F.struct(*[F.col(c) for c in report.columns])
+    first = F.sort_array(F.collect_list(F.when(F.col("rank") <= items, record)))
+    flat = weekly_brief(report, items).drop("leakage_items")
+    return attach(flat, report.agg(first.alias("leakage_items")))
+
+
 def weekly_brief(report: DataFrame, items: int = 3) -> DataFrame:
     """One row: total at risk, top area and action, number of "Today"
     areas, and the first ``items`` areas in rank order."""

@@ -22,8 +22,10 @@ def brand_summary(scored: DataFrame) -> DataFrame:
             rnd(F.avg("churned"), 4).alias("churn_rate"),
             rnd(exact_avg("churn_risk_score"), 4).alias("avg_risk_score"),
             F.sum("support_tickets_90d").alias("support_tickets_90d"),
+            exact_avg("churn_risk_score").alias("raw_risk"),
         )
-        .orderBy(F.col("avg_risk_score").desc(), F.col("brand"))
+        .orderBy(F.col("raw_risk").desc(), F.col("brand"))
+        .drop("raw_risk")
     )
 
 
@@ -81,9 +83,10 @@ def revenue_forecast(monthly: DataFrame, periods: int = FORECAST_PERIODS, band:
 
 def run_kpis(customers: DataFrame, gates: DataFrame, brief: DataFrame, queue: DataFrame, report: DataFrame,
              playbooks: DataFrame, experiments: DataFrame, opportunities: DataFrame, monitor: DataFrame,
-             scenario_summary: DataFrame, auc: DataFrame) -> DataFrame:
-    """C4: the run's headline numbers in one row (every input reduces to a
-    one-row aggregate first)."""
+             scenario_summary: DataFrame, metrics: DataFrame) -> DataFrame:
+    """C4: the run's headline numbers, the ten model metrics and the names of
+    the passed gates in one row (every input reduces to a one-row aggregate
+    first)."""
     from ..functions.exprs import attach, exact_sum
 
     parts = [
@@ -113,9 +116,24 @@ def run_kpis(customers: DataFrame, gates: DataFrame, brief: DataFrame, queue: Da
             F.col("max_net_impact").alias("scenario_max_net_impact"),
             F.col("max_actions").alias("scenario_max_actions"),
         ),
-        auc.select(rnd("roc_auc", 4).alias("roc_auc")),
+        metrics,
+        gates.where("passed").agg(F.array_join(F.array_sort(F.collect_list("check")), ", ").alias("validation_checks")),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = attach(out, p)
     return out
+
+
+MODEL_METRICS = [
+    "accuracy", "precision", "recall", "f1", "roc_auc", "decision_threshold",
+    "true_positives", "true_negatives", "false_positives", "false_negatives",
+]
+
+
+def kpi_record(kpis: DataFrame) -> DataFrame:
+    """C4 as it is written: model metrics nested, gate names as a list."""
+    flat = [c for c in kpis.columns if c not in MODEL_METRICS and c != "validation_checks"]
+    return kpis.select(
+        F.struct(*MODEL_METRICS).alias("model"), *flat, F.split("validation_checks", ", ").alias("validation_checks")
+    )

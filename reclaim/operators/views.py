@@ -3,7 +3,7 @@ shows), as parameterized DataFrame functions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
@@ -131,9 +131,11 @@ def alert_headline(summary: DataFrame) -> DataFrame:
 
 
 def share_of_max(df: DataFrame, value: str, name: str = "share_of_max") -> DataFrame:
-    """Each value relative to the column maximum (floor 1)."""
-    m = df.agg(F.greatest(F.coalesce(F.max(value), F.lit(1.0)), F.lit(1.0)).alias("_max"))
-    return attach(df, m).withColumn(name, F.col(value) / F.col("_max")).drop("_max")
+    """Each value relative to the column maximum (floor 1).  For
+    reports of a few rows (leak areas, decline reasons, issues): the maximum
+    comes from a window over them."""
+    most = F.max(F.col(value).cast("double")).over(Window.partitionBy(F.lit(0)))
+    return df.withColumn(name, F.col(value) / F.greatest(F.coalesce(most, F.lit(1.0)), F.lit(1.0)))
 
 
 def top_skus(sku_report: DataFrame, limit: int = 8) -> DataFrame:

@@ -53,26 +53,26 @@ class ModelScorer:
         return churn.model_holdout(customers, self.model)
 
 
-def model_scorer(customers: DataFrame) -> DataFrame:
-    """Convenience: train and score in one call (see ``ModelScorer``)."""
-    return ModelScorer()(customers)
-
-
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
                  queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame, str], DataFrame] | None = None,
-                 pin_inputs: Iterable[str] = (), pin_queue: bool = True):
+                 pin_inputs: Iterable[str] = (), pin_queue: bool = True, pin_reports: bool = False):
         """``pin(df, name)`` materializes the shared intermediates (the
         enriched customer table, which also serves as the scored table, and
         the action queue); ``None`` leaves every node lazy.  ``pin_inputs``
         names the input tables to materialize on first use (those the
-        requested outputs read more than once)."""
+        requested outputs read more than once).  ``pin_reports`` materializes
+        the short reports that other reports are made of."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
         self._pin = pin
         self._pin_inputs = set(pin_inputs) if pin is not None else set()
         self._pin_queue = pin_queue
+        self._pin_reports = pin_reports and pin is not None
+
+    def _report(self, df: DataFrame, name: str) -> DataFrame:
+        return self._pin(df, name) if self._pin_reports else df
 
     def _input(self, name: str) -> DataFrame:
         df = self.inputs[name]
@@ -80,7 +80,7 @@ class Graph:
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
-        return cls(tpch.load(spark, sf_dir), **kw)
+        return cls(tpch.load(spark, sf_dir, share=kw.get("pin")), **kw)
 
     # -- inputs -------------------------------------------------------------
     @cached_property
@@ -122,9 +122,9 @@ class Graph:
 
     @cached_property
     def quality_scorecard(self) -> DataFrame:
-        return quality.quality_scorecard(
+        return self._report(quality.quality_scorecard(
             self.scored, self.monthly, self.campaigns, self.payments, self.fulfillment, self.skus
-        )
+        ), "quality_scorecard")
 
     # -- B ------------------------------------------------------------------
     @cached_property
@@ -146,9 +146,26 @@ class Graph:
         if hasattr(self.scorer, "holdout"):
             return self.scorer.holdout(c)
         p = churn.sigmoid(tpch.fixed_score(c))
-        h = c.where(churn.is_holdout(c)).withColumn("probability", p)
+        h = c.where(churn.is_holdout(c)).withColumn("logit", tpch.fixed_score(c)).withColumn("probability", p)
         return h.withColumn("churn_risk_score", churn.rnd(p, churn.SCORE_DIGITS))
 
+    @cached_property
+    def model_metrics(self) -> DataFrame:
+        return self._report(churn.classification_metrics(self.holdout_shared), "model_metrics")
+
+    @cached_property
+    def holdout_shared(self) -> DataFrame:
+        """The hold-out feeds both the threshold sweep and the AUC."""
+        return self._report(self.holdout.select("churned", "probability", "logit"), "holdout")
+
+    @cached_property
+    def run_kpis(self) -> DataFrame:
+        return self._report(summaries.run_kpis(
+            self.customers_shared, self.quality_gates, self.weekly_brief, self.queue, self.leakage_report,
+            self.playbook_roi, self.experiment_backlog, self.segment_opportunity, self.monitoring_summary,
+            self.scenario_summary, self.model_metrics,
+        ), "run_kpis")
+
     # -- C ------------------------------------------------------------------
     @cached_property
     def brand_summary(self) -> DataFrame:
@@ -202,10 +219,10 @@ class Graph:
 
     @cached_property
     def leakage_report(self) -> DataFrame:
-        return leakage.leakage_report(
+        return self._report(leakage.leakage_report(
             self.open_failed, self.late_orders, self.discount_leak, self.weak_campaigns,
             self.inventory_risk, self.support_leak,
-        )
+        ), "leakage_report")
 
     @cached_property
     def payment_recovery(self) -> DataFrame:
@@ -232,10 +249,6 @@ class Graph:
         out = actions.roll_up(self.reduced_items, self.queue_limit)
         return self._pin(out, "queue") if self._pin and self._pin_queue else out
 
-    @property
-    def queue_bounded(self) -> bool:
-        return self.queue_limit is not None and self.queue_limit <= 100_000
-
     # -- F ------------------------------------------------------------------
     @cached_property
     def issue_allocation(self) -> DataFrame:
@@ -243,7 +256,7 @@ class Graph:
 
     @cached_property
     def playbook_roi(self) -> DataFrame:
-        return playbooks.playbook_roi(self.queue)
+        return self._report(playbooks.playbook_roi(self.queue), "playbook_roi")
 
     @cached_property
     def experiment_backlog(self) -> DataFrame:
@@ -260,7 +273,7 @@ class Graph:
 
     @cached_property
     def queue_context(self) -> DataFrame:
-        return segments.queue_context(self.queue, self.scored, self.queue_bounded)
+        return segments.queue_context(self.queue, self.scored)
 
     @cached_property
     def queue_by_segment(self) -> DataFrame:
@@ -272,7 +285,7 @@ class Graph:
 
     @cached_property
     def segment_opportunity(self) -> DataFrame:
-        return segments.segment_opportunity(self.base_segments, self.queue_context)
+        return self._report(segments.segment_opportunity(self.base_segments, self.queue_context), "segment_opportunity")
 
     @cached_property
     def issue_matrix(self) -> DataFrame:
@@ -281,7 +294,7 @@ class Graph:
     # -- H ------------------------------------------------------------------
     @cached_property
     def metric_changes(self) -> DataFrame:
-        return monitoring.metric_changes(self.monthly)
+        return self._report(monitoring.metric_changes(self.monthly), "metric_changes")
 
     @cached_property
     def revenue_alerts(self) -> DataFrame:
@@ -297,7 +310,8 @@ class Graph:
 
     @cached_property
     def payment_alerts(self) -> DataFrame:
-        return monitoring.payment_alerts(self.scored, self.payments)
+        # Only (customer_id, brand) is needed: no scoring, no margin.
+        return monitoring.payment_alerts(self.customers_shared if "enriched" in self.__dict__ else self.customers, self.payments)
 
     @cached_property
     def fulfillment_alerts(self) -> DataFrame:
@@ -309,10 +323,10 @@ class Graph:
 
     @cached_property
     def alert_list(self) -> DataFrame:
-        return monitoring.alert_list(
+        return self._report(monitoring.alert_list(
             self.revenue_alerts, self.churn_alerts, self.campaign_alerts,
             self.payment_alerts, self.fulfillment_alerts, self.inventory_alerts,
-        )
+        ), "alert_list")
 
     @cached_property
     def monitoring_summary(self) -> DataFrame:
@@ -325,11 +339,11 @@ class Graph:
 
     @cached_property
     def scenario_actions(self) -> DataFrame:
-        return scenarios.scenario_actions(self.scored_actions)
+        return self._report(scenarios.scenario_actions(self.scored_actions), "scenario_actions")
 
     @cached_property
     def scenario_plan(self) -> DataFrame:
-        return scenarios.scenario_plan(self.scenario_actions)
+        return self._report(scenarios.scenario_plan(self.scenario_actions), "scenario_plan")
 
     @cached_property
     def scenario_workload(self) -> DataFrame:

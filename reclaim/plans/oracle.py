@@ -26,11 +26,11 @@ def R(expr: str, d: int) -> str:
 
 
 def XSUM(expr: str) -> str:
-    return f"coalesce(CAST(sum(CAST(({expr}) AS DECIMAL(18,6))) AS DOUBLE), 0.0e0)"
+    return f"coalesce(CAST(sum(CAST(({expr}) AS DECIMAL(28,6))) AS DOUBLE), 0.0e0)"
 
 
 def XAVG(expr: str) -> str:
-    return f"(CAST(sum(CAST(({expr}) AS DECIMAL(18,6))) AS DOUBLE) / count({expr}))"
+    return f"(CAST(sum(CAST(({expr}) AS DECIMAL(28,6))) AS DOUBLE) / count({expr}))"
 
 
 def PSUM(expr: str) -> str:
@@ -66,17 +66,22 @@ def VALUES(rows, columns: list[str]) -> str:
     return f"SELECT * FROM (VALUES {body}) AS t({', '.join(columns)})"
 
 
-AS_OF = f"TIMESTAMP '{tpch.AS_OF.isoformat()}'"
-RECENT = f"TIMESTAMP '{tpch.RECENT_START.isoformat()}'"
-CHURN_BEFORE = f"TIMESTAMP '{tpch.CHURN_BEFORE.isoformat()}'"
-CAMPAIGN_START = f"TIMESTAMP '{tpch.CAMPAIGN_START.isoformat()}'"
+def BEFORE(days: int) -> str:
+    return f"(SELECT CAST(d - {days} AS TIMESTAMP) FROM run_day)"
+
+
+AS_OF = BEFORE(0)
+RECENT = BEFORE(181)
+TICKETS = BEFORE(90)
+CHURN_BEFORE = BEFORE(365)
+CAMPAIGN_START = BEFORE(92)
 CENTS = "CAST(round_even(({x}) * 100e0, 0) AS BIGINT)"
-TENURE = f"(({tpch.AS_OF.year} * 12 + {tpch.AS_OF.month}) - (year(ot.first_order) * 12 + month(ot.first_order)))"
+TENURE = "((SELECT year(d) * 12 + month(d) FROM run_day) - (year(ot.first_order) * 12 + month(ot.first_order)))"
 CHANNEL = CASE_MOD("c.c_custkey", tpch.CHANNELS)
 PLAN = "(CASE WHEN c.c_custkey % 7 <= 3 THEN 'monthly' WHEN c.c_custkey % 7 <= 5 THEN 'quarterly' ELSE 'annual' END)"
 SEG_KEYS = "brand, acquisition_channel, plan"
 SEG_NOT_NULL = "brand IS NOT NULL AND acquisition_channel IS NOT NULL AND plan IS NOT NULL"
-ITEM_ORDER = "k_missing, k_value, branch, source_key, reason"
+ITEM_ORDER = "k_missing, k_value, branch, reason, recommended_action"
 ISSUES_OF = "string_split(issue_type, ' + ')"
 
 C = tpch.SCORE_COEF
@@ -89,7 +94,7 @@ LOGIT = (
     f" + {D(C['avg_days_between_orders'])} * avg_days_between_orders)"
 )
 PROB = f"(1.0e0 / (1.0e0 + exp(-greatest(-35.0e0, least(35.0e0, {LOGIT})))))"
-HOLDOUT = f"((customer_id * 37 + {churn.SPLIT_SALT}) % 100 >= {churn.TRAIN_SHARE})"
+HOLDOUT = "(CAST('0x' || md5(CAST(customer_id AS VARCHAR) || '|11')[1:8] AS BIGINT) % 100 >= 78)"
 GRID = "[" + ", ".join(D(t) for t in churn.thresholds()) + "]"
 
 
@@ -123,8 +128,9 @@ def cte(name: str, body: str) -> None:
 
 
 # -- sources ------------------------------------------------------------------
+cte("run_day", "SELECT CAST(max(o_orderdate) AS DATE) + 1 AS d FROM orders")
 cte("ob", f"SELECT * FROM orders WHERE o_orderdate < {AS_OF}")
-cte("wl", f"SELECT * FROM lineitem WHERE l_shipdate >= {RECENT} AND l_shipdate < {AS_OF}")
+cte("wl", f"SELECT * FROM lineitem WHERE l_shipdate >= {RECENT}")
 cte("rl", "SELECT wl.*, o.o_custkey FROM wl JOIN orders o ON wl.l_orderkey = o.o_orderkey")
 cte("ot", f"""SELECT o_custkey AS ck, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order,
   count(*) AS n_orders, count_if(o_orderstatus = 'O') AS n_open,
@@ -132,7 +138,8 @@ cte("ot", f"""SELECT o_custkey AS ck, min(o_orderdate) AS first_order, max(o_ord
   count_if(o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_engaged
   FROM ob GROUP BY o_custkey""")
 cte("wt", f"""SELECT o_custkey AS ck, count(*) AS n_lines, sum({CENTS.format(x='l_discount')}) AS discount_cents,
-  count_if(l_returnflag = 'R') AS n_returned, count_if(l_returnflag = 'A' AND l_linestatus = 'F') AS n_late
+  count_if(l_returnflag = 'R' AND l_shipdate >= {TICKETS}) AS n_returned,
+  count_if(l_returnflag = 'A' AND l_linestatus = 'F' AND l_shipdate >= {TICKETS}) AS n_late
   FROM rl GROUP BY o_custkey""")
 cte("t_customers", f"""SELECT c.c_custkey AS customer_id, c.c_mktsegment AS brand, r.r_name AS region,
   {CHANNEL} AS acquisition_channel, {PLAN} AS plan,
@@ -178,7 +185,7 @@ cte("t_fulfillment", """SELECT order_id, customer_id, brand, sku, CAST(promised
           2 + l_linenumber % 4 AS promised,
           greatest(1, 2 + l_linenumber % 4 + CAST(trunc(l_quantity % 5) AS INTEGER) - 1) AS actual
         FROM rl JOIN customer c ON rl.o_custkey = c.c_custkey)""")
-cte("demand", "SELECT l_partkey, sum(l_quantity) AS qty FROM wl GROUP BY l_partkey")
+cte("demand", f"SELECT l_partkey, sum(l_quantity) AS qty FROM wl WHERE l_shipdate < {AS_OF} GROUP BY l_partkey")
 cte("t_skus", f"""SELECT p_partkey AS sku, {CASE_MOD('p_partkey', tpch.SEGMENTS)} AS brand, p_type AS category,
   CAST(p_size AS INTEGER) AS on_hand_units,
   CAST(coalesce(floor(d.qty / 6e0), 0) AS INTEGER) AS forecast_30d_units,
@@ -195,7 +202,7 @@ _REQ = [
 ]
 _NULLS = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in _REQ)
 cte("gate_stats", f"""SELECT CAST(coalesce(sum({_NULLS}), 0) AS BIGINT) AS nulls,
-  count(*) - count(DISTINCT customer_id) AS dups,
+  count(*) - count(DISTINCT customer_id) - coalesce(max(CAST(customer_id IS NULL AS INTEGER)), 0) AS dups,
   count_if(NOT coalesce(monthly_revenue > 0 AND discount_rate BETWEEN 0 AND 1 AND churned IN (0, 1), false)) AS rule_failures
   FROM t_customers""")
 cte("quality_gates", """SELECT 'schema_check_passed' AS "check", CAST(0 AS BIGINT) AS failures, true AS passed
@@ -204,7 +211,7 @@ cte("quality_gates", """SELECT 'schema_check_passed' AS "check", CAST(0 AS BIGIN
   UNION ALL SELECT 'business_rule_check_passed', rule_failures, rule_failures = 0 FROM gate_stats""")
 _ALL_NULLS = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in _REQ + ["churn_risk_score", "risk_segment"])
 cte("sc_stats", f"""SELECT * FROM
-  (SELECT count(*) AS customer_rows, count(*) - count(DISTINCT customer_id) AS customer_dups,
+  (SELECT count(*) AS customer_rows, count(*) - count(DISTINCT customer_id) - coalesce(max(CAST(customer_id IS NULL AS INTEGER)), 0) AS customer_dups,
           CAST(coalesce(sum({_ALL_NULLS}), 0) AS BIGINT) AS customer_nulls FROM scored),
   (SELECT count(DISTINCT month) AS months FROM t_monthly),
   (SELECT count(*) AS campaign_rows FROM t_campaigns),
@@ -220,20 +227,20 @@ def _qrow(check, value, passed, owner, expectation):
 
 
 cte("quality_scorecard", " UNION ALL ".join([
-    _qrow("Customer rows", "customer_rows", "customer_rows >= 2500", "Data Engineering", "At least 2,500 customer records."),
-    _qrow("Customer duplicates", "customer_dups", "customer_dups = 0", "Data Engineering", "Customer IDs are unique."),
-    _qrow("Customer missing values", "customer_nulls", "customer_nulls = 0", "Data Engineering", "No nulls in modeled customer fields."),
-    _qrow("Monthly revenue coverage", "months", "months >= 12", "Analytics", "At least 12 months for trend monitoring."),
-    _qrow("Campaign ROI inputs", "campaign_rows", "true", "Marketing Ops", "Spend, conversions and attributed revenue are present."),
-    _qrow("Payment events coverage", "payment_rows", "payment_rows = customer_rows", "Billing Ops", "One current invoice event per customer."),
-    _qrow("Fulfillment sample coverage", "fulfillment_rows", "fulfillment_rows >= 1500", "Operations", "At least 1,500 recent fulfillment orders."),
-    _qrow("Inventory SKU coverage", "sku_rows", "sku_rows >= 12", "Inventory", "At least 12 SKUs with inventory coverage."),
+    _qrow("Customer rows", "customer_rows", "customer_rows >= 2500", "Data Engineering", "value >= 2500"),
+    _qrow("Customer duplicates", "customer_dups", "customer_dups = 0", "Data Engineering", "value = 0"),
+    _qrow("Customer missing values", "customer_nulls", "customer_nulls = 0", "Data Engineering", "value = 0"),
+    _qrow("Monthly revenue coverage", "months", "months >= 12", "Analytics", "value >= 12"),
+    _qrow("Campaign ROI inputs", "campaign_rows", "true", "Marketing Ops", "columns: spend, attributed_revenue, conversions"),
+    _qrow("Payment events coverage", "payment_rows", "payment_rows = customer_rows", "Billing Ops", "value = customer rows"),
+    _qrow("Fulfillment sample coverage", "fulfillment_rows", "fulfillment_rows >= 1500", "Operations", "value >= 1500"),
+    _qrow("Inventory SKU coverage", "sku_rows", "sku_rows >= 12", "Inventory", "value >= 12"),
 ]))
 
 # -- B ------------------------------------------------------------------------
 cte("scored", f"""SELECT *, {_risk_segment('churn_risk_score')} AS risk_segment FROM
   (SELECT *, {R(PROB, 4)} AS churn_risk_score FROM t_customers)""")
-cte("hold", f"SELECT customer_id, churned, {PROB} AS p, {R(PROB, 4)} AS churn_risk_score FROM t_customers WHERE {HOLDOUT}")
+cte("hold", f"SELECT customer_id, churned, {PROB} AS p, {LOGIT} AS logit, {R(PROB, 4)} AS churn_risk_score FROM t_customers WHERE {HOLDOUT}")
 cte("thr_hist", f"""SELECT len(list_filter({GRID}, lambda t: p >= t)) AS bucket,
   count_if(churned = 1) AS pos, count_if(churned = 0) AS neg FROM hold GROUP BY 1""")
 cte("thr_grid", "SELECT i - 1 AS i, t FROM (SELECT unnest(range(1, len(g) + 1)) AS i, unnest(g) AS t FROM (SELECT "
@@ -250,14 +257,17 @@ cte("best_sweep", """SELECT *, 2.0e0 * precision * recall / greatest(precision +
   ORDER BY f1 DESC, i LIMIT 1""")
 cte("f1_threshold", f"""SELECT {R('threshold', 4)} AS decision_threshold, {R('f1', 4)} AS best_f1,
   tp AS true_positives, fp AS false_positives, fn AS false_negatives, tn AS true_negatives FROM best_sweep""")
+cte("auc_exact", "SELECT logit AS s, count_if(churned = 1) AS pos, count_if(churned = 0) AS neg FROM hold GROUP BY 1")
 cte("auc_hist", "SELECT churn_risk_score AS s, count_if(churned = 1) AS pos, count_if(churned = 0) AS neg FROM hold GROUP BY 1")
-cte("roc_auc", """SELECT CASE WHEN coalesce(n_pos * n_neg, 0) = 0 THEN 0.5e0
+AUC = """SELECT CASE WHEN coalesce(n_pos * n_neg, 0) = 0 THEN 0.5e0
     ELSE CAST(twice_wins AS DOUBLE) / 2.0e0 / CAST(n_pos * n_neg AS DOUBLE) END AS roc_auc,
   coalesce(n_pos, 0) AS positives, coalesce(n_neg, 0) AS negatives
   FROM (SELECT CAST(sum(2 * pos * neg_below + pos * neg) AS BIGINT) AS twice_wins,
                CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
         FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
-              FROM auc_hist))""")
+              FROM {src}))"""
+cte("roc_auc", AUC.replace("{src}", "auc_exact"))
+cte("roc_auc_histogram", AUC.replace("{src}", "auc_hist"))
 cte("classification_metrics", f"""SELECT {R('CAST(tp + tn AS DOUBLE) / greatest(tp + tn + fp + fn, 1)', 4)} AS accuracy,
   {R('precision', 4)} AS precision, {R('recall', 4)} AS recall, {R('f1', 4)} AS f1,
   {R('threshold', 4)} AS decision_threshold, tp AS true_positives, tn AS true_negatives,
@@ -348,26 +358,29 @@ cte("weekly_brief", f"""SELECT {R(XSUM('revenue_at_risk'), 2)} AS total_revenue_
 PCT = "CAST(CAST(round_even({x} * 100e0, 0) AS BIGINT) AS VARCHAR) || '%'"
 cte("items", f"""
   SELECT customer_id, brand, 'failed_payment' AS issue_type, {R('invoice_amount', 2)} AS expected_value,
-    'Send a payment-update link (decline reason: ' || decline_reason || ').' AS recommended_action,
-    printf('%d retries / %d days past due', retry_count, days_past_due) AS reason,
-    1 AS branch, CAST(invoice_id AS VARCHAR) AS source_key FROM open_failed
+    {S(dims.QUEUE_ACTIONS['failed_payment'])} || decline_reason AS recommended_action,
+    printf('retry_count=%d, days_past_due=%d', retry_count, days_past_due) AS reason,
+    1 AS branch FROM open_failed
   UNION ALL
   SELECT customer_id, brand, 'late_fulfillment', {R('six_month_margin_at_risk', 2)},
-    'Follow up on the shipment before the next renewal.',
-    printf('Delivered in %d days vs %d promised', actual_days, promised_days),
-    2, CAST(order_id AS VARCHAR) FROM late_orders
+    {S(dims.QUEUE_ACTIONS['late_fulfillment'])},
+    printf('actual_days=%d, promised_days=%d', actual_days, promised_days),
+    2 FROM late_orders
   UNION ALL
   SELECT customer_id, brand, 'discount_margin_leak', {R('discount_margin_leak', 2)},
-    'Replace the blanket discount with a targeted retention offer.',
-    {PCT.format(x='discount_rate')} || ' discount with ' || {PCT.format(x='churn_risk_score')} || ' churn risk',
-    3, CAST(customer_id AS VARCHAR) FROM discount_leak
+    {S(dims.QUEUE_ACTIONS['discount_margin_leak'])},
+    'discount=' || {PCT.format(x='discount_rate')} || ', churn_risk=' || {PCT.format(x='churn_risk_score')},
+    3 FROM discount_leak
   UNION ALL
   SELECT customer_id, brand, 'support_escalation', {R('six_month_margin_at_risk', 2)},
-    'Add to the customer-success callback list.',
-    printf('%d support tickets in 90 days', support_tickets_90d),
-    4, CAST(customer_id AS VARCHAR) FROM support_leak""")
+    {S(dims.QUEUE_ACTIONS['support_escalation'])},
+    printf('support_tickets_90d=%d', support_tickets_90d),
+    4 FROM support_leak""")
 cte("action_items", "SELECT * FROM items")
-cte("item_pos", "SELECT *, expected_value IS NULL AS k_missing, -expected_value AS k_value FROM items")
+cte("item_pos", """SELECT *, top IS NULL AS k_missing, -top AS k_value FROM (
+  SELECT customer_id, brand, issue_type, branch, reason, recommended_action,
+    max(CAST(expected_value AS DECIMAL(28,2))) AS top, sum(CAST(expected_value AS DECIMAL(28,2))) AS value
+  FROM items GROUP BY ALL)""")
 cte("q_issues", f"""SELECT customer_id, brand, string_agg(issue_type, ' + ' ORDER BY {ITEM_ORDER}) AS issue_type
   FROM (SELECT * FROM item_pos WHERE customer_id IS NOT NULL AND brand IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY customer_id, brand, issue_type ORDER BY {ITEM_ORDER}) = 1)
@@ -377,15 +390,14 @@ cte("q_reasons", f"""SELECT customer_id, brand, string_agg(reason, ' | ' ORDER B
                        QUALIFY row_number() OVER (PARTITION BY customer_id, brand, reason ORDER BY {ITEM_ORDER}) = 1)
         QUALIFY row_number() OVER (PARTITION BY customer_id, brand ORDER BY {ITEM_ORDER}) <= 2)
   GROUP BY customer_id, brand""")
-cte("q_values", f"""SELECT customer_id, brand,
-  {R("coalesce(CAST(sum(CAST(expected_value AS DECIMAL(18,2))) AS DOUBLE), 0.0e0)", 2)} AS expected_value
-  FROM items WHERE customer_id IS NOT NULL AND brand IS NOT NULL GROUP BY customer_id, brand""")
+cte("q_values", f"""SELECT customer_id, brand, {R("coalesce(CAST(sum(value) AS DOUBLE), 0.0e0)", 2)} AS expected_value
+  FROM item_pos WHERE customer_id IS NOT NULL AND brand IS NOT NULL GROUP BY customer_id, brand""")
 cte("q_primary", f"""SELECT customer_id, recommended_action FROM item_pos
   QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY {ITEM_ORDER}) = 1""")
 cte("queue_all", """SELECT v.customer_id, v.brand, i.issue_type, v.expected_value, p.recommended_action, r.reason
   FROM q_values v JOIN q_issues i USING (customer_id, brand) JOIN q_reasons r USING (customer_id, brand)
   LEFT JOIN q_primary p USING (customer_id)""")
-cte("queue", "SELECT * FROM queue_all ORDER BY expected_value DESC, customer_id LIMIT 75")
+cte("queue", "SELECT * FROM queue_all ORDER BY expected_value DESC, customer_id, brand LIMIT 75")
 cte("action_queue", "SELECT * FROM queue")
 cte("action_queue_full", "SELECT * FROM queue_all")
 
@@ -626,6 +638,27 @@ cte("top_issue_segments", f"""SELECT segment_name, issue_type, customers FROM (
   FROM (SELECT * FROM issue_matrix ORDER BY total_issue_mentions DESC, {SEG_KEYS} LIMIT 6)) WHERE customers > 0""")
 
 # -- C4 -----------------------------------------------------------------------
+cte("feature_long", f"""SELECT customer_id, f.name AS feature, CAST(f.value AS DOUBLE) AS value FROM (
+  SELECT customer_id, unnest([{', '.join(f"struct_pack(name := '{c}', value := CAST({c} AS DOUBLE))" for c in churn.NUMERIC_FEATURES)}]) AS f
+  FROM t_customers WHERE NOT {HOLDOUT}) UNION ALL """ + " UNION ALL ".join(
+    f"""SELECT c.customer_id, '{c}_' || l.v, CASE WHEN c.{c} = l.v THEN 1.0e0 ELSE 0.0e0 END
+  FROM (SELECT * FROM t_customers WHERE NOT {HOLDOUT}) c,
+       (SELECT v FROM (SELECT DISTINCT {c} AS v FROM t_customers WHERE {c} IS NOT NULL) QUALIFY row_number() OVER (ORDER BY v) > 1) l"""
+    for c in churn.CATEGORICAL_FEATURES))
+cte("feature_table", f"""SELECT feature, n AS customers, {R('mean', 6)} AS train_mean,
+  {R('sqrt(greatest(0.0e0, sq - mean * mean))', 4)} AS train_std
+  FROM (SELECT feature, count(value) AS n, {PSUM('value')} / count(value) AS mean, {PSUM('value * value')} / count(value) AS sq
+        FROM feature_long GROUP BY feature)""")
+cte("model_stationarity", "SELECT feature, 0.0e0 AS gradient FROM feature_table UNION ALL SELECT 'intercept', 0.0e0")
+cte("weekly_brief_items", "SELECT * FROM leakage_report WHERE rank <= 3")
+cte("top_alert", "SELECT * FROM alert_list WHERE rank = 1")
+cte("first_alerts", "SELECT * FROM alert_list WHERE rank <= 10")
+cte("best_scenario", "SELECT * FROM scenario_plan ORDER BY net_impact DESC, scenario LIMIT 1")
+cte("scenario_workload_ordered", "SELECT w.*, d.scenario_order FROM scenario_workload w JOIN sc_dim d USING (scenario)")
+cte("payment_share", """SELECT r.*, r.open_amount / m.mx AS share_of_max FROM payment_recovery r,
+  (SELECT greatest(coalesce(max(open_amount), 1.0e0), 1.0e0) AS mx FROM payment_recovery) m""")
+cte("issue_share", """SELECT r.*, r.mentions / m.mx AS share_of_max FROM issue_mix r,
+  (SELECT greatest(coalesce(max(CAST(mentions AS DOUBLE)), 1.0e0), 1.0e0) AS mx FROM issue_mix) m""")
 cte("run_kpis", f"""SELECT * FROM
   (SELECT count(*) AS rows_processed, {R('avg(churned)', 4)} AS overall_churn_rate,
           {R(PSUM('monthly_revenue'), 2)} AS total_monthly_revenue FROM t_customers),
@@ -639,7 +672,8 @@ cte("run_kpis", f"""SELECT * FROM
      FROM segment_opportunity),
   (SELECT open_alerts AS open_monitoring_alerts, critical_alerts AS critical_monitoring_alerts FROM monitoring_summary),
   (SELECT max_net_impact AS scenario_max_net_impact, max_actions AS scenario_max_actions FROM scenario_summary),
-  (SELECT {R('roc_auc', 4)} AS roc_auc FROM roc_auc)""")
+  (SELECT * FROM classification_metrics),
+  (SELECT string_agg("check", ', ' ORDER BY "check") AS validation_checks FROM quality_gates WHERE passed)""")
 
 # Inputs as queries.
 for _name, _cte in [("input_customers", "t_customers"), ("input_monthly_revenue", "t_monthly"),
@@ -656,22 +690,16 @@ cte("support_escalation", "SELECT * FROM support_leak")
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def _deps(name: str) -> set[str]:
-    return {w for w in _WORD.findall(CTES[name]) if w in CTES and w != name}
+# Full-queue variants: the same statements over the queue without its limit.
+FULL_QUEUE = {f"{n}_full": n for n in ("playbook_roi", "segment_opportunity", "scenario_plan")}
 
 
 def sql(name: str) -> str:
-    """``WITH`` the CTEs ``name`` depends on (in definition order), then
+    """``WITH`` the CTEs ``name`` depends on (dependencies first), then
     ``SELECT * FROM name``."""
-    need: set[str] = set()
-    stack = [name]
-    while stack:
-        n = stack.pop()
-        if n in need:
-            continue
-        need.add(n)
-        stack.extend(_deps(n))
-    # Dependencies first (DuckDB CTEs may only refer to earlier ones).
+    full, name = name in FULL_QUEUE, FULL_QUEUE.get(name, name)
+    ctes = CTES | ({"queue": "SELECT * FROM queue_all"} if full else {})
+    place = {n: i for i, n in enumerate(ctes)}
     ordered: list[str] = []
     done: set[str] = set()
 
@@ -679,14 +707,15 @@ def sql(name: str) -> str:
         if n in done:
             return
         done.add(n)
-        for d in sorted(_deps(n), key=list(CTES).index):
+        needs = {w for w in _WORD.findall(ctes[n]) if w in ctes and w != n}
+        for d in sorted(needs, key=place.__getitem__):
             visit(d)
         ordered.append(n)
 
     visit(name)
-    body = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in ordered)
+    body = ",\n".join(f"{n} AS (\n{ctes[n]}\n)" for n in ordered)
     return f"WITH {body}\nSELECT * FROM {name}"
 
 
 def oracle_sql(names) -> dict[str, str]:
-    return {n: sql(n) for n in names if n in CTES}
+    return {n: sql(n) for n in names if n in CTES or n in FULL_QUEUE}

@@ -15,21 +15,22 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import churn, quality, summaries, views
-from ..session import configure, materialize
+from ..operators import churn, leakage, monitoring, quality, scenarios, summaries, views
+from ..session import configure, delete_tables, materialize
 from ..sources import io
-from .graph import Graph, Scorer, fixed_scorer
+from .graph import Graph, ModelScorer, Scorer
 from .registry import ALL_INPUTS
 
 # Report name -> how to get it from the graph.
 REPORTS: dict[str, Callable[[Graph], DataFrame]] = {
     "data_quality_scorecard": lambda g: g.quality_scorecard,
+    "customers_scored": lambda g: g.scored,
     "customer_risk_scores": lambda g: churn.top_risk(g.scored),
     "brand_summary": lambda g: g.brand_summary,
     "channel_summary": lambda g: g.channel_summary,
     "revenue_forecast": lambda g: g.revenue_forecast,
     "revenue_leakage_report": lambda g: g.leakage_report,
-    "weekly_action_brief": lambda g: g.weekly_brief,
+    "weekly_action_brief": lambda g: leakage.brief_record(g.leakage_report),
     "sku_risk_report": lambda g: g.sku_risk,
     "payment_recovery_summary": lambda g: g.payment_recovery,
     "action_queue": lambda g: g.queue,
@@ -40,63 +41,64 @@ REPORTS: dict[str, Callable[[Graph], DataFrame]] = {
     "segment_issue_matrix": lambda g: g.issue_matrix,
     "weekly_metric_changes": lambda g: g.metric_changes,
     "monitoring_alerts": lambda g: g.alert_list,
-    "monitoring_summary": lambda g: g.monitoring_summary,
+    "monitoring_summary": lambda g: monitoring.summary_record(g.alert_list, g.quality_scorecard),
     "scenario_plan": lambda g: g.scenario_plan,
-    "scenario_workload": lambda g: g.scenario_workload,
+    "scenario_workload": lambda g: scenarios.ordered_workload(g.scenario_workload),
     "scenario_action_plan": lambda g: g.scenario_actions,
-    "scenario_summary": lambda g: g.scenario_summary,
+    "scenario_summary": lambda g: scenarios.summary_record(g.scenario_plan),
     "headline_kpis": lambda g: views.headline_kpis(g.payment_recovery, g.sku_risk, g.playbook_roi, g.queue),
 }
 
 ONE_ROW = {"weekly_action_brief", "monitoring_summary", "scenario_summary", "headline_kpis", "model_metrics"}
 
 
-def read_reports(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+def read_reports(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Every report of a finished run, read back from ``out_dir``."""
-    return io.read_outputs(spark, out_dir, list(REPORTS) + ["model_metrics"], ONE_ROW)
-
-
+    return io.read_outputs(spark, out_dir, list(REPORTS) + ["model_metrics"], ONE_ROW, fmt)
 
 
 def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str | None = None,
-        scorer: Scorer = fixed_scorer, queue_limit: int | None = 75, validate: bool = True,
-        reports: list[str] | None = None) -> dict[str, float]:
-    """Compute (and write, when ``out_dir`` is given) every report.
-    Returns seconds per step."""
+        scorer: Scorer | None = None, queue_limit: int | None = 75, validate: bool = True,
+        reports: list[str] | None = None, fmt: str = "parquet") -> dict[str, float]:
+    """Compute (and write, when ``out_dir`` is given, as ``fmt`` parquet, csv
+    or json; one-row reports always as JSON) every report.  Customers are
+    scored by a model trained on them, unless another ``scorer`` is given; a
+    trained model adds the report ``top_model_drivers``.  Tables written for
+    the run are deleted at its end.  Returns seconds per step."""
     configure(spark)
+    scorer = scorer or ModelScorer()
     timings: dict[str, float] = {}
-    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=materialize, pin_inputs=ALL_INPUTS)
-    t = time.time()
-    if validate:
-        quality.validate_customers(g.customers)
-        timings["validate"] = time.time() - t
-    t = time.time()
-    _ = g.scored
-    timings["scored"] = time.time() - t
-    t = time.time()
-    _ = g.queue
-    timings["queue"] = time.time() - t
-    names = reports or list(REPORTS)
-    for name in names:
+    made: list[str] = []
+
+    def pin(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name, made)
+
+    g = Graph(inputs, scorer=scorer, queue_limit=queue_limit, pin=pin, pin_inputs=ALL_INPUTS, pin_reports=True)
+
+    def step(name: str, action: Callable[[], object]) -> None:
         t = time.time()
-        df = REPORTS[name](g)
-        if out_dir:
-            if name in ONE_ROW:
-                io.write_report(df, f"{out_dir}/{name}")
-            else:
-                io.write_table(df, f"{out_dir}/{name}")
-        else:
-            df.write.format("noop").mode("overwrite").save()
+        action()
         timings[name] = time.time() - t
-    t = time.time()
-    kpis = summaries.run_kpis(
-        g.customers_shared, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
-        g.experiment_backlog, g.segment_opportunity, g.monitoring_summary, g.scenario_summary,
-        churn.roc_auc(g.holdout),
-    )
-    row = kpis.collect()[0].asDict()
-    if out_dir:
-        io.write_report(kpis, f"{out_dir}/model_metrics")
-    timings["run_kpis"] = time.time() - t
-    timings["_kpis"] = json.dumps(row, default=str)  # type: ignore[assignment]
+
+    def put(name: str, df: DataFrame) -> None:
+        if not out_dir:
+            df.write.format("noop").mode("overwrite").save()
+        elif name in ONE_ROW:
+            io.write_report(df, f"{out_dir}/{name}")
+        else:
+            io.write_table(df, f"{out_dir}/{name}", fmt)
+
+    try:
+        if validate:
+            step("validate", lambda: quality.validate_customers(g.customers))
+        step("scored", lambda: g.scored)
+        step("queue", lambda: g.queue)
+        for name in reports or list(REPORTS):
+            step(name, lambda: put(name, REPORTS[name](g)))
+        if isinstance(scorer, ModelScorer) and not reports:
+            step("top_model_drivers", lambda: put("top_model_drivers", churn.model_drivers(g.customers, scorer.model)))
+        step("run_kpis", lambda: put("model_metrics", summaries.kpi_record(g.run_kpis)))
+        timings["_kpis"] = json.dumps(g.run_kpis.first().asDict(), default=str)  # type: ignore[assignment]
+    finally:
+        delete_tables(spark, made)
     return timings

@@ -7,7 +7,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import churn, summaries, views
+from ..operators import churn, leakage, monitoring, scenarios, views
 from ..session import configure, materialize
 from .graph import Graph
 
@@ -74,7 +74,7 @@ def _f1(spark, sf_dir):
 
 def _metrics(spark, sf_dir):
     # The hold-out feeds both the sweep and the AUC: share it.
-    return churn.classification_metrics(_graph(spark, sf_dir, name="classification_metrics").holdout)
+    return _graph(spark, sf_dir, name="classification_metrics", pin_reports=True).model_metrics
 
 
 def _auc(spark, sf_dir):
@@ -86,20 +86,60 @@ def _top_risk(spark, sf_dir):
 
 
 def _train_score(spark, sf_dir):
-    return churn.churn_train_score(_graph(spark, sf_dir, shared=False).customers)
+    return churn.churn_train_score(_written_customers(spark, sf_dir))
 
 
 def _drivers(spark, sf_dir):
-    return churn.model_drivers(_graph(spark, sf_dir, shared=False).customers)
+    return churn.model_drivers(_written_customers(spark, sf_dir))
+
+
+def _auc_histogram(spark, sf_dir):
+    return churn.roc_auc_histogram(_graph(spark, sf_dir, shared=False).holdout)
+
+
+def _features(spark, sf_dir):
+    return churn.feature_table(_written_customers(spark, sf_dir))
+
+
+def _stationarity(spark, sf_dir):
+    return churn.stationarity(_written_customers(spark, sf_dir))
+
+
+def _written_customers(spark, sf_dir):
+    """The customer table, written once: training reads it many times."""
+    return _graph(spark, sf_dir, pin_inputs=("customers",)).customers
 
 
 def _run_kpis(spark, sf_dir):
-    g = _graph(spark, sf_dir, name="run_kpis")
-    return summaries.run_kpis(
-        g.customers_shared, g.quality_gates, g.weekly_brief, g.queue, g.leakage_report, g.playbook_roi,
-        g.experiment_backlog, g.segment_opportunity, g.monitoring_summary, g.scenario_summary,
-        churn.roc_auc(g.holdout),
-    )
+    return _graph(spark, sf_dir, name="run_kpis", pin_reports=True).run_kpis
+
+
+def _brief_items(spark, sf_dir):
+    return leakage.brief_items(_graph(spark, sf_dir, name="weekly_brief").leakage_report)
+
+
+def _top_alert(spark, sf_dir):
+    return monitoring.first_alerts(_graph(spark, sf_dir).alert_list, 1)
+
+
+def _first_alerts(spark, sf_dir):
+    return monitoring.first_alerts(_graph(spark, sf_dir).alert_list, 10)
+
+
+def _best_scenario(spark, sf_dir):
+    return scenarios.best_scenario(_graph(spark, sf_dir).scenario_plan)
+
+
+def _ordered_workload(spark, sf_dir):
+    return scenarios.ordered_workload(_graph(spark, sf_dir).scenario_workload)
+
+
+def _payment_share(spark, sf_dir):
+    return views.share_of_max(_graph(spark, sf_dir, shared=False).payment_recovery, "open_amount")
+
+
+def _issue_share(spark, sf_dir):
+    return views.share_of_max(views.issue_mix(_graph(spark, sf_dir).queue), "mentions")
 
 
 def _queue_view(spark, sf_dir):
@@ -166,6 +206,9 @@ def queries() -> dict[str, Query]:
         "classification_metrics": _metrics,
         "roc_auc": _auc,
         "top_risk_customers": _top_risk,
+        "roc_auc_histogram": _auc_histogram,
+        "feature_table": _features,
+        "model_stationarity": _stationarity,
         "churn_train_score": _train_score,
         "model_drivers": _drivers,
         # C
@@ -185,6 +228,7 @@ def queries() -> dict[str, Query]:
         "leakage_report": _attr("leakage_report", "leakage_report"),
         "payment_recovery": _attr("payment_recovery"),
         "weekly_brief": _attr("weekly_brief", "weekly_brief"),
+        "weekly_brief_items": _brief_items,
         # E
         "action_items": _attr("action_items"),
         "action_queue": _attr("queue"),
@@ -192,6 +236,7 @@ def queries() -> dict[str, Query]:
         # F
         "issue_allocation": _attr("issue_allocation"),
         "playbook_roi": _attr("playbook_roi"),
+        "playbook_roi_full": _attr("playbook_roi", queue_limit=None),
         "experiment_backlog": _attr("experiment_backlog"),
         "owner_workload": _attr("owner_workload"),
         # G
@@ -199,6 +244,7 @@ def queries() -> dict[str, Query]:
         "queue_by_segment": _attr("queue_by_segment"),
         "dominant_issue": _attr("dominant_issue"),
         "segment_opportunity": _attr("segment_opportunity"),
+        "segment_opportunity_full": _attr("segment_opportunity", queue_limit=None),
         "issue_matrix": _attr("issue_matrix"),
         # H
         "metric_changes": _attr("metric_changes", "metric_changes"),
@@ -210,11 +256,16 @@ def queries() -> dict[str, Query]:
         "inventory_alerts": _attr("inventory_alerts"),
         "alert_list": _attr("alert_list"),
         "monitoring_summary": _attr("monitoring_summary", "monitoring_summary"),
+        "top_alert": _top_alert,
+        "first_alerts": _first_alerts,
         # J
         "scored_actions": _attr("scored_actions"),
         "scenario_actions": _attr("scenario_actions"),
         "scenario_plan": _attr("scenario_plan"),
+        "scenario_plan_full": _attr("scenario_plan", queue_limit=None),
+        "best_scenario": _best_scenario,
         "scenario_workload": _attr("scenario_workload"),
+        "scenario_workload_ordered": _ordered_workload,
         "scenario_summary": _attr("scenario_summary"),
         # K
         "queue_view": _queue_view,
@@ -226,6 +277,8 @@ def queries() -> dict[str, Query]:
         "segment_headline": _segment_headline,
         "alert_headline": _alert_headline,
         "leak_share": _leak_share,
+        "payment_share": _payment_share,
+        "issue_share": _issue_share,
         "top_skus": _top_skus,
         "top_issue_segments": _top_issue_segments,
     }

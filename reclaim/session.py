@@ -52,19 +52,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df, name: str = "table"):
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(df, rows: int = BROADCAST_ROWS):
+    """``df`` with a broadcast hint if it has at most ``rows`` rows (counted;
+    meant for written tables), else unchanged."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def materialize(df, name: str = "table", made: list[str] | None = None):
     """Write ``df`` as a Parquet table under the session's checkpoint folder
     and read it back: the lineage is cut, a lost executor costs a re-read
     rather than a recompute, and readers get column pruning and filter
-    pushdown on the written table."""
+    pushdown on the written table.  Its path is added to ``made``, for
+    ``delete_tables``."""
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reclaim-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.parquet(path)
 
 
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``materialize`` wrote, by the cluster's own file
+    system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "reclaim") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -55,11 +55,13 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_outputs(spark: SparkSession, out_dir: str, names: list[str], one_row: set[str]) -> dict[str, DataFrame]:
+def read_outputs(spark: SparkSession, out_dir: str, names: list[str], one_row: set[str],
+                 fmt: str = "parquet") -> dict[str, DataFrame]:
     """Reports written by a batch run, read back for the read-side views:
-    tables as Parquet, one-row reports as JSON."""
+    tables in their format (CSV and JSON with inferred types), one-row
+    reports as JSON."""
     base = out_dir.rstrip("/")
-    return {
-        n: (spark.read.json(f"{base}/{n}") if n in one_row else spark.read.parquet(f"{base}/{n}"))
-        for n in names
-    }
+    tables = spark.read.format(fmt)
+    if fmt == "csv":
+        tables = tables.option("header", True).option("inferSchema", True)
+    return {n: (spark.read.json(f"{base}/{n}") if n in one_row else tables.load(f"{base}/{n}")) for n in names}

@@ -7,23 +7,43 @@ customer, one recent-window join of lineitem to orders, and small
 dimension lookups, so the work grows with the warehouse and every scan
 gets its date filter and column list pushed down.
 
-Fixed dates stand in for "today": as-of ``AS_OF``; the recent window is
-``[RECENT_START, AS_OF)`` on ship date.
+"Today" is a parameter (``Dates``).  By default it is the day after the last
+order, so no order is ever later; the windows are day counts before it.
+Shipments due after today belong to the recent window.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import cents
 
-AS_OF = dt.date(2001, 8, 1)
-RECENT_START = dt.date(2001, 2, 1)
-CHURN_BEFORE = dt.date(2000, 8, 1)
-CAMPAIGN_START = dt.date(2001, 5, 1)
+RECENT_DAYS = 181
+TICKET_DAYS = 90
+CHURN_DAYS = 365
+CAMPAIGN_DAYS = 92
+
+
+@dataclass(frozen=True)
+class Dates:
+    """The run day and the windows before it, in days.
+
+    ``as_of``: first day that is not part of the run; ``None`` takes the day
+    after the last order.  ``recent_days``: shipments read for fulfillment
+    events, discount rates and part demand.  ``ticket_days``: shipments behind
+    the 90-day ticket and late-shipment counts.  ``churn_days``: a customer
+    whose last order is older has churned.  ``campaign_days``: orders that
+    campaigns are credited with."""
+
+    as_of: dt.date | None = None
+    recent_days: int = RECENT_DAYS
+    ticket_days: int = TICKET_DAYS
+    churn_days: int = CHURN_DAYS
+    campaign_days: int = CAMPAIGN_DAYS
 
 # Label lists indexed by key modulo their length.
 CHANNELS = ["paid_search", "affiliate", "display", "email", "organic"]
@@ -43,8 +63,6 @@ SCORE_COEF = {
 }
 TENURE_CENTER = 60
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-
 
 def _ts(d: dt.date) -> Column:
     return F.lit(d.isoformat()).cast("timestamp_ntz")
@@ -62,10 +80,16 @@ def _pick(labels: list[str], key: Column) -> Column:
 class Warehouse:
     """Lazy handles on the warehouse tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, path: str, share=None):
+    def __init__(self, spark: SparkSession, path: str, share=None, dates: Dates = Dates(),
+                 customers_without_orders: bool = False):
         """``share(df, name)``, when given, materializes the recent-window
-        join, which two inputs (customers, fulfillment events) read."""
+        join, which two inputs (customers, fulfillment events) read.  A
+        customer without an order has no subscription and is left out, unless
+        ``customers_without_orders`` keeps it with zeros."""
         self.spark = spark
+        self.dates = dates
+        self.customers_without_orders = customers_without_orders
+        self._as_of = dates.as_of
         self.path = path.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
         self._share = share
@@ -77,21 +101,32 @@ class Warehouse:
             self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
         return self._tables[name]
 
+    @property
+    def as_of(self) -> dt.date:
+        """The run day; read once from the orders when it is not given."""
+        if self._as_of is None:
+            last = self.table("orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+            self._as_of = (last or dt.date(1970, 1, 1)) + dt.timedelta(days=1)
+        return self._as_of
+
+    def days_before(self, days: int) -> Column:
+        return _ts(self.as_of - dt.timedelta(days=days))
+
     # -- shared building blocks -------------------------------------------
     def orders_before(self) -> DataFrame:
-        return self.table("orders").where(F.col("o_orderdate") < _ts(AS_OF))
+        return self.table("orders").where(F.col("o_orderdate") < _ts(self.as_of))
 
     def window_lines(self) -> DataFrame:
-        """Lineitems shipped in the recent window (pushed into the scan)."""
-        return self.table("lineitem").where(
-            (F.col("l_shipdate") >= _ts(RECENT_START)) & (F.col("l_shipdate") < _ts(AS_OF))
-        )
+        """Lineitems shipped in the recent window, or due later (pushed into
+        the scan)."""
+        return self.table("lineitem").where(F.col("l_shipdate") >= self.days_before(self.dates.recent_days))
 
     def recent_lines(self) -> DataFrame:
         """Window lineitems with the customer of their order."""
         if self._recent is None:
             lines = self.window_lines().select(
-                "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
+                "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus",
+                "l_shipdate",
             )
             orders = self.table("orders").select("o_orderkey", "o_custkey")
             joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
@@ -121,21 +156,24 @@ def customers(wh: Warehouse) -> DataFrame:
         F.sum(cents("o_totalprice")).alias("price_cents"),
         F.count_if(F.col("o_orderpriority").isin(ENGAGED_PRIORITIES)).alias("n_engaged"),
     )
+    counted = F.col("l_shipdate") >= wh.days_before(wh.dates.ticket_days)
     recent = wh.recent_lines().groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(cents("l_discount")).alias("discount_cents"),
-        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
-        F.count_if((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")).alias("n_late"),
+        F.count_if(counted & (F.col("l_returnflag") == "R")).alias("n_returned"),
+        F.count_if(counted & (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")).alias("n_late"),
     )
     geo = wh.table("nation").join(wh.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     base = wh.table("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     joined = (
         base.join(geo, base.c_nationkey == geo.n_nationkey)
-        .join(order_totals, "c_custkey")
+        .join(order_totals, "c_custkey", "left" if wh.customers_without_orders else "inner")
         .join(recent, "c_custkey", "left")
     )
-    as_of_month = AS_OF.year * 12 + AS_OF.month
+    as_of_month = wh.as_of.year * 12 + wh.as_of.month
     tenure = F.lit(as_of_month) - (F.year("first_order") * 12 + F.month("first_order"))
+    tenure = F.coalesce(tenure, F.lit(0))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     span_days = F.datediff(F.col("last_order").cast("date"), F.col("first_order").cast("date"))
     return joined.select(
         F.col("c_custkey").alias("customer_id"),
@@ -144,8 +182,8 @@ def customers(wh: Warehouse) -> DataFrame:
         channel_of(F.col("c_custkey")).alias("acquisition_channel"),
         plan_of(F.col("c_custkey")).alias("plan"),
         tenure.cast("int").alias("tenure_months"),
-        F.col("n_open").cast("int").alias("active_subscriptions"),
-        (F.col("price_cents").cast("double") / F.lit(100000.0) / F.greatest(tenure, F.lit(1))).alias(
+        zero("n_open").cast("int").alias("active_subscriptions"),
+        (zero("price_cents").cast("double") / F.lit(100000.0) / F.greatest(tenure, F.lit(1))).alias(
             "monthly_revenue"
         ),
         F.coalesce(
@@ -157,11 +195,12 @@ def customers(wh: Warehouse) -> DataFrame:
         ).alias("discount_rate"),
         F.coalesce(F.col("n_returned"), F.lit(0)).cast("int").alias("support_tickets_90d"),
         F.coalesce(F.col("n_late"), F.lit(0)).cast("int").alias("late_shipments_90d"),
-        (F.col("n_engaged").cast("double") / F.col("n_orders")).alias("email_engagement"),
-        F.when(F.col("n_orders") == 1, F.lit(30.0))
+        (zero("n_engaged").cast("double") / F.greatest(zero("n_orders"), F.lit(1))).alias("email_engagement"),
+        F.when(F.col("n_orders").isNull(), F.lit(0.0))
+        .when(F.col("n_orders") == 1, F.lit(30.0))
         .otherwise(span_days.cast("double") / (F.col("n_orders") - 1))
         .alias("avg_days_between_orders"),
-        F.when(F.col("last_order") < _ts(CHURN_BEFORE), 1).otherwise(0).alias("churned"),
+        F.when(F.col("last_order") < wh.days_before(wh.dates.churn_days), 1).otherwise(0).alias("churned"),
     )
 
 
@@ -181,7 +220,7 @@ def monthly_revenue(wh: Warehouse) -> DataFrame:
 
 
 def campaigns(wh: Warehouse) -> DataFrame:
-    o = wh.orders_before().where(F.col("o_orderdate") >= _ts(CAMPAIGN_START))
+    o = wh.orders_before().where(F.col("o_orderdate") >= wh.days_before(wh.dates.campaign_days))
     c = wh.customer_brand()
     paid = F.col("o_orderstatus") == "P"
     return (
@@ -248,8 +287,9 @@ def fulfillment_events(wh: Warehouse) -> DataFrame:
 
 
 def sku_inventory(wh: Warehouse) -> DataFrame:
-    # Part demand needs no customer, so it skips the join to orders.
-    demand = wh.window_lines().groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"))
+    # Part demand needs no customer, so it skips the join to orders.  It is a
+    # rate of the past: shipments that are only due do not count.
+    demand = wh.window_lines().where(F.col("l_shipdate") < _ts(wh.as_of)).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"))
     p = wh.table("part")
     key = F.col("p_partkey")
     return p.join(demand, p.p_partkey == demand.l_partkey, "left").select(
@@ -302,8 +342,9 @@ class Inputs(dict):
         return df
 
 
-def load(spark: SparkSession, sf_dir: str, share=None) -> dict[str, DataFrame]:
+def load(spark: SparkSession, sf_dir: str, share=None, dates: Dates = Dates(),
+         customers_without_orders: bool = False) -> dict[str, DataFrame]:
     """The six inputs of a warehouse folder, built lazily.  ``share`` (e.g.
     ``session.materialize``) writes the recent-window join once for runs
     that build both inputs reading it."""
-    return Inputs(Warehouse(spark, sf_dir, share))
+    return Inputs(Warehouse(spark, sf_dir, share, dates, customers_without_orders))

@@ -2,8 +2,9 @@
 
 Events arrive as files in a folder.  The per-brand totals are streaming
 aggregation state (kept in the query's checkpoint folder, so a restarted
-driver resumes where it stopped).  Every micro-batch appends the totals it
-changed to a table; the current alerts are the alert rule applied to the
+driver resumes where it stopped).  Every micro-batch writes the totals it
+changed to a folder of its own, which a retried batch overwrites; ``compact``
+folds the folders into one.  The current alerts are the alert rule applied to the
 latest totals of each brand, so a brand that recovers drops out.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import monitoring
-from ..session import ensure_checkpoint_dir
+from ..session import delete_tables, ensure_checkpoint_dir, materialize
 
 
 def _state_dir(spark: SparkSession, name: str, checkpoint: str | None) -> str:
@@ -22,13 +23,13 @@ def _state_dir(spark: SparkSession, name: str, checkpoint: str | None) -> str:
 
 
 def _start(totals: DataFrame, name: str, totals_dir: str, checkpoint: str | None, available_now: bool):
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(totals_dir)
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{totals_dir}/batch_id={batch_id}")
 
     writer = (
         totals.writeStream.outputMode("update")
         .option("checkpointLocation", _state_dir(totals.sparkSession, name, checkpoint))
-        .foreachBatch(append)
+        .foreachBatch(replace)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -56,6 +57,17 @@ def latest_totals(spark: SparkSession, totals_dir: str) -> DataFrame:
     return last.where(F.col("batch_id") == F.col("_last")).drop("_last", "batch_id")
 
 
+def compact(spark: SparkSession, totals_dir: str) -> None:
+    """Fold all batch folders into the one of the last batch (run between
+    batches).  It holds each brand's latest totals, so a reader sees the same
+    totals before, meanwhile and after."""
+    batches = sorted(r[0] for r in spark.read.parquet(totals_dir).select("batch_id").distinct().collect())  # a row per batch
+    if len(batches) > 1:
+        latest = materialize(latest_totals(spark, totals_dir), "totals")
+        latest.write.mode("overwrite").parquet(f"{totals_dir}/batch_id={batches[-1]}")
+        delete_tables(spark, [f"{totals_dir}/batch_id={b}" for b in batches[:-1]])
+
+
 def current_fulfillment_alerts(spark: SparkSession, totals_dir: str) -> DataFrame:
     return monitoring.fulfillment_alerts_from_rates(latest_totals(spark, totals_dir))
 

@@ -1,11 +1,10 @@
 import numpy as np
-import pandas as pd
 import pytest
 
 from reclaim.operators import actions
 
 ITEM_SCHEMA = ("customer_id long, brand string, issue_type string, expected_value double, "
-               "recommended_action string, reason string, branch int, source_key string")
+               "recommended_action string, reason string, branch int")
 ISSUES = list(actions.BRANCH_ORDER)
 
 
@@ -15,64 +14,70 @@ def _items(spark, rows):
 
 def test_rollup_keeps_value_order_and_first_two_reasons(spark):
     rows = [
-        (1, "B", "late_fulfillment", 50.0, "ship", "Delivered in 6 days vs 3 promised", 2, "o1"),
-        (1, "B", "late_fulfillment", 50.0, "ship", "Delivered in 5 days vs 2 promised", 2, "o2"),
-        (1, "B", "support_escalation", 50.0, "call", "3 support tickets in 90 days", 4, "1"),
-        (1, "B", "failed_payment", 80.0, "pay", "1 retries / 2 days past due", 1, "9"),
-        (2, None, "failed_payment", 999.0, "pay", "1 retries / 1 days past due", 1, "7"),  # unknown customer
-        (3, "C", "discount_margin_leak", 10.0, "offer", "40% discount with 50% churn risk", 3, "3"),
+        (1, "B", "late_fulfillment", 50.0, "ship", "6 of 3 days", 2),
+        (1, "B", "late_fulfillment", 50.0, "ship", "5 of 2 days", 2),
+        (1, "B", "support_escalation", 50.0, "call", "3 tickets", 4),
+        (1, "B", "failed_payment", 80.0, "pay", "1 retry", 1),
+        (2, None, "failed_payment", 999.0, "pay", "1 retry", 1),  # unknown customer
+        (3, "C", "discount_margin_leak", 10.0, "offer", "deep discount", 3),
     ]
     q = actions.action_queue(_items(spark, rows)).collect()
     assert [r["customer_id"] for r in q] == [1, 3]
     top = q[0].asDict()
     assert top["issue_type"] == "failed_payment + late_fulfillment + support_escalation"
-    assert top["reason"] == "1 retries / 2 days past due | Delivered in 6 days vs 3 promised"
+    # equal values and branch: the smaller reason text comes first
+    assert top["reason"] == "1 retry | 5 of 2 days"
     assert top["expected_value"] == 230.0
     assert top["recommended_action"] == "pay"
 
 
 def test_limit_and_empty_queue(spark):
-    rows = [(i, "B", "support_escalation", float(i), "call", "r", 4, str(i)) for i in range(1, 11)]
+    rows = [(i, "B", "support_escalation", float(i), "call", "r", 4) for i in range(1, 11)]
     q = actions.action_queue(_items(spark, rows), limit=3).collect()
     assert [r["customer_id"] for r in q] == [10, 9, 8]
     empty = actions.action_queue(_items(spark, []))
     assert empty.count() == 0 and empty.columns == actions.QUEUE_COLUMNS
 
 
-def _brute_queue(items: pd.DataFrame, limit):
-    """The roll-up written the plain way, on a fully ordered item table."""
-    f = items.assign(_neg=-items["expected_value"]).sort_values(
-        ["_neg", "branch", "source_key", "reason"], kind="mergesort"
-    )
-    primary = f.drop_duplicates("customer_id").set_index("customer_id")["recommended_action"]
-    out = []
-    for (cid, brand), g in f.dropna(subset=["brand"]).groupby(["customer_id", "brand"], sort=False):
-        out.append({
-            "customer_id": cid,
-            "brand": brand,
-            "issue_type": " + ".join(dict.fromkeys(g["issue_type"])),
-            "expected_value": round(float(np.round(g["expected_value"].sum(), 2)), 2),
-            "recommended_action": primary[cid],
-            "reason": " | ".join(list(dict.fromkeys(g["reason"]))[:2]),
-        })
-    df = pd.DataFrame(out).sort_values(["expected_value", "customer_id"], ascending=[False, True])
-    return df.head(limit) if limit else df
-
-
-@pytest.mark.parametrize("seed", [0, 1])
-def test_queue_matches_brute_force(spark, seed):
-    rng = np.random.default_rng(seed)
+# customer_id, brand, issue_type, expected_value, action, reason, branch
+HAND_ITEMS = [
+    (1, "A", "failed_payment", 10.0, "p1", "x", 1),
+    (1, "A", "failed_payment", 10.0, "p1", "x", 1),      # repeated row: value counts twice
+    (1, "A", "failed_payment", 30.0, "p2", "x", 1),      # same reason, higher value, other action
+    (1, "B", "late_fulfillment", 40.0, "l", "y", 2),     # same customer under another brand
+    (2, "A", "late_fulfillment", None, "l", "z", 2),     # value unknown: last of its customer
+    (2, "A", "support_escalation", 0.0, "s", "w", 4),
+    (3, "A", "support_escalation", 50.0, "s", "v", 4),
+    (3, "A", "discount_margin_leak", 50.0, "d", "u", 3),  # tie with the row above: lower branch first
+    (None, "A", "failed_payment", 70.0, "p", "t", 1),    # no customer: not queued
+]
+HAND_QUEUE = [
+    (3, "A", "discount_margin_leak + support_escalation", 100.0, "d", "u | v"),
+    (1, "A", "failed_payment", 50.0, "l", "x"),           # the action of the customer's best item, across brands
+    (1, "B", "late_fulfillment", 40.0, "l", "y"),
+    (2, "A", "support_escalation + late_fulfillment", 0.0, "s", "w | z"),
+]
+
+
+@pytest.mark.parametrize("limit", [None, 75, 4, 2, 1])
+def test_queue_equals_hand_written_rows_in_order(spark, limit):
+    got = [tuple(r) for r in actions.action_queue(_items(spark, HAND_ITEMS), limit).collect()]
+    assert got == (HAND_QUEUE[:limit] if limit else HAND_QUEUE)
+
+
+def test_limit_is_a_prefix_of_the_full_queue(spark):
+    rng = np.random.default_rng(0)
     rows = []
     for k in range(400):
-        cid = int(rng.integers(1, 60))
-        issue = ISSUES[int(rng.integers(0, 4))]
-        value = float(np.round(rng.choice([5.0, 10.0, 12.5, rng.uniform(1, 100)]), 2))
-        reason = f"reason {int(rng.integers(0, 6))}"
-        brand = None if cid % 17 == 0 else f"B{cid % 3}"
-        rows.append((cid, brand, issue, value, f"act {issue} {k % 3}", reason,
-                     actions.BRANCH_ORDER[issue], f"{k:05d}"))
-    pdf = pd.DataFrame(rows, columns=[c.split()[0] for c in ITEM_SCHEMA.split(", ")])
-    for limit in (75, None):
-        got = actions.action_queue(_items(spark, rows), limit).toPandas().reset_index(drop=True)
-        exp = _brute_queue(pdf, limit).reset_index(drop=True)
-        pd.testing.assert_frame_equal(got, exp[got.columns], check_dtype=False)
+        cid, issue = int(rng.integers(1, 60)), ISSUES[int(rng.integers(0, 4))]
+        rows.append((cid, f"B{cid % 3}", issue, float(rng.choice([5.0, 10.0, 12.5])), f"act {k % 3}",
+                     f"reason {k % 6}", actions.BRANCH_ORDER[issue]))
+    items = _items(spark, rows)
+    full = [tuple(r) for r in actions.action_queue(items, None).collect()]
+    assert abs(sum(r[3] for r in full) - sum(r[3] for r in rows)) < 1e-6
+    assert [tuple(r) for r in actions.action_queue(items, 20).collect()] == full[:20]
+
+
+def test_items_are_reduced_by_a_hash_aggregate(spark):
+    plan = actions.reduce_items(_items(spark, HAND_ITEMS))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

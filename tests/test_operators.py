@@ -175,3 +175,54 @@ def test_metric_changes_missing_latest_and_missing_baseline(spark):
     assert ch["full"]["baseline_revenue"] == 104.0 and ch["full"]["latest_month"] == "2025-06-01"
     assert ch["new"]["baseline_revenue"] is None and ch["new"]["revenue_change_pct"] is None
     assert monitoring.revenue_alerts(monitoring.metric_changes(monthly)).count() == 0
+
+
+GATE_ROWS = "customer_id long, monthly_revenue double, discount_rate double, churned int"
+
+
+def test_missing_rule_column_is_reported_not_raised(spark):
+    df = spark.createDataFrame([(1, 0.2, 0), (2, 1.2, 1)], "customer_id long, discount_rate double, churned int")
+    got = {r["check"]: r["failures"] for r in quality.quality_gates(df, ["customer_id", "monthly_revenue", "discount_rate", "churned"]).collect()}
+    assert got["schema_check_passed"] == 1 and got["business_rule_check_passed"] == 1
+    with pytest.raises(ValueError, match="monthly_revenue"):
+        quality.validate_customers(df)
+
+
+def test_null_id_is_no_duplicate(spark):
+    df = spark.createDataFrame([(1, 5.0, 0.1, 0), (None, 5.0, 0.1, 1)], GATE_ROWS)
+    got = {r["check"]: r["failures"] for r in quality.quality_gates(df, GATE_ROWS.replace(" ", ",").split(",")[:1]).collect()}
+    assert got["unique_customer_check_passed"] == 0
+    two = df.union(df)
+    got = {r["check"]: r["failures"] for r in quality.quality_gates(two, ["customer_id"]).collect()}
+    assert got["unique_customer_check_passed"] == 2
+
+
+def test_money_totals_hold_large_values(spark):
+    from reclaim.functions.exprs import exact_avg, exact_sum
+
+    df = spark.createDataFrame([(1e13,), (2.5,), (3e18,)], "x double")
+    r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
+    assert r["s"] == 3e18 + 1e13 + 2.5 and abs(r["a"] - r["s"] / 3) < 1e3
+
+
+def test_brand_summary_is_ordered_by_the_unrounded_mean(spark):
+    rows = [(1, "A", 1.0, 0, 0.50001, 0), (2, "B", 1.0, 0, 0.50002, 0), (3, "C", 1.0, 0, 0.1, 0)]
+    df = spark.createDataFrame(rows, "customer_id long, brand string, monthly_revenue double, churned int, churn_risk_score double, support_tickets_90d int")
+    got = summaries.brand_summary(df).collect()
+    assert [r["brand"] for r in got] == ["B", "A", "C"] and got[0]["avg_risk_score"] == got[1]["avg_risk_score"]
+
+
+def test_forecast_of_an_exact_line(spark):
+    rows = [(dt.date(2024, m, 1), "A", 10, 100.0 + 5.0 * m, 0.01) for m in range(1, 7)]
+    df = spark.createDataFrame(rows, "month date, brand string, active_customers int, subscription_revenue double, monthly_churn_rate double")
+    got = {r["month"]: r for r in summaries.revenue_forecast(df).collect()}
+    assert got[dt.date(2024, 7, 1)]["forecast_revenue"] == 135.0 and got[dt.date(2024, 12, 1)]["forecast_revenue"] == 160.0
+    assert all(r["lower_bound"] == r["forecast_revenue"] == r["upper_bound"] for r in got.values())
+
+
+def test_channel_summary_by_hand(spark):
+    df = spark.createDataFrame([("A", "email", 100.0, 8, 250.0), ("A", "display", 0.0, 0, 10.0)],
+                               "brand string, acquisition_channel string, spend double, conversions int, attributed_revenue double")
+    got = {r["acquisition_channel"]: r for r in summaries.channel_summary(df).collect()}
+    assert got["email"]["roi"] == 1.5 and got["email"]["cost_per_conversion"] == 12.5
+    assert got["display"]["roi"] is None and got["display"]["cost_per_conversion"] is None

@@ -38,3 +38,25 @@ def test_no_python_no_cartesian(spark, name):
 def test_scenario_window_is_partitioned(spark):
     p = plan(spark, "scenario_actions")
     assert re.search(r"Window \[row_number\(\).*\[scenario#\d+, owner#\d+\]", p)
+
+
+def test_brand_margin_does_not_shuffle_customers_by_brand(spark):
+    from pyspark.sql import functions as F
+
+    from reclaim.operators import leakage
+
+    # SKU data whose static size estimate is far over the broadcast threshold.
+    skus = spark.range(2_000_000).select(
+        F.concat(F.lit("brand"), F.col("id") % 5).alias("brand"), (F.col("id") % 35 / 100).alias("gross_margin_rate"))
+    scored = spark.range(1_000_000).select(
+        F.col("id").alias("customer_id"), F.concat(F.lit("brand"), F.col("id") % 6).alias("brand"),
+        F.lit(10.0).alias("monthly_revenue"), F.lit(0.5).alias("churn_risk_score"))
+    out = leakage.margin_at_risk(scored, skus)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "hashpartitioning(brand" not in p
+    assert out.where("brand = 'brand5' AND gross_margin_rate <> 0.48").count() == 0
+
+
+def test_queue_context_leaves_the_broadcast_to_the_measured_size(spark):
+    p = plan(spark, "segment_opportunity_full")
+    assert "CartesianProduct" not in p

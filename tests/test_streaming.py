@@ -48,3 +48,16 @@ def test_payment_stream_matches_batch(spark):
     q.awaitTermination(300)
     got = monitor.current_payment_alerts(spark, out)
     assert _alert_rows(got) == _alert_rows(monitoring.payment_alerts(customers, events))
+
+
+def test_retried_batch_and_compaction_keep_the_totals(spark):
+    out = tempfile.mkdtemp(prefix="reclaim-totals-")
+    schema = "brand string, orders long, late_orders long"
+    spark.createDataFrame([("A", 10, 1), ("B", 5, 5)], schema).write.parquet(f"{out}/batch_id=0")
+    for _ in range(2):  # the same batch, run again after a failure
+        spark.createDataFrame([("A", 20, 9)], schema).write.mode("overwrite").parquet(f"{out}/batch_id=1")
+    want = [("A", 20, 9), ("B", 5, 5)]
+    assert sorted(rows(monitor.latest_totals(spark, out), "brand", "orders", "late_orders")) == want
+    monitor.compact(spark, out)
+    assert sorted(rows(monitor.latest_totals(spark, out), "brand", "orders", "late_orders")) == want
+    assert len([d for d in os.listdir(out) if d.startswith("batch_id=")]) == 1
