@@ -10,14 +10,19 @@
    pairs under the distance share a list.  At a similarity of exactly 0.75 the
    distance is 12 of 48 on average, and over the threshold for 2 of 10,000
    pairs; above 0.8 for less than 1 in a million.
-3. First round: of the lists that it is in, every class is compared with the
-   first member only.  Close pairs are confirmed on whole shingle sets and
-   joined to components.
-4. Second round: lists whose members are still in different components
-   compare all members of different components, by signature, inside the
-   list; pairs within the distance are confirmed on whole sets too.  Lists of
-   more than ``LIST`` members are compared in pairs of blocks, so that no
-   task holds a list that grows with the input.
+3. Bounds: a class keeps in common with another at most its shingles that
+   any other listed class has.  With c such shingles out of n, the similarity
+   to a set of m shingles is at most min(c, m) / (n + m - min(c, m)); classes
+   and pairs under the threshold by this are not compared.
+4. First round: every class is compared with the most central member (fewest
+   shingles of its own) of its lists.  Close pairs are confirmed on whole
+   shingle sets and joined to components.
+5. Second round: what is left of lists whose members are still in different
+   components, with the bound taken among such members only, forms clusters
+   (members that share a list).  Inside a cluster all members of different
+   components are compared on whole sets, in pairs of blocks of ``BLOCK``
+   members, so that no task holds a cluster that grows with the input; a block
+   pair returns a spanning forest of its links at most, never all pairs.
 
 Components are found by label propagation with pointer jumping over the
 confirmed links; all rounds are DataFrame joins on written tables.
@@ -46,7 +51,8 @@ WORDS = 5
 PERCENT = 75
 VALUES, CHUNKS = 48, 12
 DISTANCE = 2 * CHUNKS - 1
-LIST = 2048
+BLOCK = 1024  # members of a block
+COLUMNS = 8192  # shingles multiplied at a time
 ODD = np.random.default_rng(5).integers(1, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -108,22 +114,8 @@ def distance(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return (x != y).sum(1)
 
 
-def close(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) within the signature distance whose set sizes allow a link."""
-    left, right = (classes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = pa.array(distance(batch.column(2).to_pylist(), batch.column(3).to_pylist()) <= DISTANCE)
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
-
-    both = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of doc_ids that are linked, judged on whole shingle sets."""
+def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """(id, items): the shingle sets of the documents listed in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,16 +124,54 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: in
                 sets = [s.view(np.int64) for s in shingle_sets(texts[a:b], words)]
                 ends = np.cumsum([0, *map(len, sets)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))], ["doc_id", "items"]
+                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))], ["id", "items"]
                 )
 
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written(base(docs).join(involved, "doc_id", "left_semi").mapInArrow(run, "doc_id long, items array<long>"), "sets")
-    left, right = (sets.select(F.col("doc_id").alias(c), F.col("items").alias(f"i{c}")) for c in "ab")
+    # The same join at every size: texts are shuffled once.
+    chosen = base(docs).join(ids.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    return written(chosen.mapInArrow(run, "id long, items array<long>"), "sets")
+
+
+def common_counts(sets: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """(id, c): how many shingles of a set another of the sets has (only
+    those in ``ids``, if given)."""
+    if ids is not None:
+        sets = sets.join(ids.hint("merge"), "id", "left_semi")
+    own = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    private = own.groupBy("id").agg(F.count("*").alias("private"))
+    sizes = sets.select("id", F.size("items").alias("n")).join(private, "id", "left")
+    return written(sizes.select("id", (F.col("n") - F.coalesce("private", F.lit(0))).cast("long").alias("c")).distinct(), "common")
+
+
+def may_link(n1, c1, n2, c2, percent: int = PERCENT):
+    """Whether sets of n1 and n2 shingles, c1 and c2 of them shared with
+    anyone, can be similar enough (columns or arrays)."""
+    both = F.least(c1, c2) if not isinstance(n1, np.ndarray) else np.minimum(c1, c2)
+    return 100 * both >= percent * (n1 + n2 - both)
+
+
+def close(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) within the signature distance that may be linked."""
+    left, right = (members.select(*[F.col(x).alias(f"{x}{c}" if x != "id" else c) for x in ("id", "n", "c", "sig")]) for c in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, VALUES) for i in (2, 3))
+                near = pa.array((x != y).sum(1) <= DISTANCE)
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
+
+    both = pairs.join(left, "a").join(right, "b").where(may_link(F.col("na"), F.col("ca"), F.col("nb"), F.col("cb"), percent))
+    return both.select("a", "b", "siga", "sigb").mapInArrow(run, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) that are linked, judged on whole shingle sets."""
+    left, right = (sets.select(F.col("id").alias(c), F.col("items").alias(f"i{c}")) for c in "ab")
     both = F.size(F.array_intersect("ia", "ib"))
     return (
-        pairs.join(right, "b")
-        .join(left, "a")
+        pairs.join(right.hint("merge"), "b")
+        .join(left.hint("merge"), "a")
         .where(100 * both >= percent * (F.size("ia") + F.size("ib") - both))
         .select("a", "b")
     )
@@ -162,83 +192,143 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
-def unlike_members(lists: DataFrame, component: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of list members in different components that are within
-    the signature distance and whose set sizes allow a link."""
-    held = lists.join(component, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    open_ = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where("low <> high")
-    open_ = written(open_.select("key", F.ceil(F.col("members") / LIST).cast("int").alias("blocks")), "open-lists")
-    rows = written(held.join(open_, "key").join(classes.select("id", "n", "sig"), "id"), "open-members")
+def open_members(lists: DataFrame, component: DataFrame) -> DataFrame:
+    """(key, id, component): members of lists that are still in different
+    components."""
+    held = written(lists.join(component, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "members")
+    open_ = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return written(held.join(open_.select("key"), "key", "left_semi"), "open-members")
+
+
+def clusters_of(rows: DataFrame) -> DataFrame:
+    """(id, component, cluster, blocks): members that share lists, directly or
+    by others, in clusters of more than one component."""
+    first = rows.groupBy("key").agg(F.min("id").alias("a"))
+    shared = rows.join(first, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    cluster = connected(shared).select("id", F.col("component").alias("cluster"))
+    held = written(rows.select("id", "component").distinct().join(cluster, "id"), "clusters")
+    sizes = held.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
+    return held.join(sizes.select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "cluster")
+
+
+def spanning(pairs: tuple[np.ndarray, np.ndarray], left: list[int], right: list[int]) -> Iterator[tuple[int, int]]:
+    """Of linked pairs (positions in left and right, which hold components),
+    those that join components not joined yet."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    for i, j in zip(*(p.tolist() for p in pairs)):
+        x, y = root(left[i]), root(right[j])
+        if x != y:
+            parent[x] = y
+            yield i, j
+
+
+def linked_in_block(left: list[np.ndarray], right: list[np.ndarray], unlike: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of linked sets among the pairs marked in ``unlike``.
+    Sizes of intersections are products of 0/1 matrices over the shingles
+    that more than one of the sets has, some columns at a time."""
+    sizes = [np.array([len(s) for s in side]) for side in (left, right)]
+    every = np.concatenate(left + right)
+    shared, n = np.unique(every, return_counts=True)
+    shared = shared[n > 1]
+    both = np.zeros((len(left), len(right)), np.float32)
+    owner = [np.repeat(np.arange(len(side)), size) for side, size in zip((left, right), sizes)]
+    place = []
+    for side in (left, right):
+        flat = np.concatenate(side)
+        at = np.searchsorted(shared, flat)
+        at[at == len(shared)] = 0
+        place.append(np.where(shared[at] == flat, at, -1) if len(shared) else np.full(len(flat), -1))
+    for low in range(0, len(shared), COLUMNS):
+        width = min(COLUMNS, len(shared) - low)
+        cells = []
+        for side, own, at in zip((left, right), owner, place):
+            chosen = (at >= low) & (at < low + width)
+            m = np.zeros((len(side), width), np.float32)
+            m[own[chosen], at[chosen] - low] = 1
+            cells.append(m)
+        both += cells[0] @ cells[1].T
+    union = sizes[0][:, None] + sizes[1][None, :] - both
+    return np.nonzero(unlike & (100 * both >= percent * union))
+
+
+def links_in_clusters(clusters: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): links between components, judged on whole sets; for every block
+    pair no more than join its components."""
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.withColumn("mine", block).withColumn("other", other).select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "n", "sig"
+    dealt = clusters.join(sets.hint("merge"), "id").withColumn("mine", block).withColumn("other", other).select(
+        "cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "items"
     )
 
-    def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
+    def compare(group: list[tuple]) -> list[tuple[int, int]]:
         _, i, j = group[0][0]
         left = [r for r in group if r[1] == i]
         right = [r for r in group if r[1] == j]
-        columns = lambda side: (
-            np.array([r[2] for r in side]), np.array([r[3] for r in side]), np.array([r[4] for r in side]), np.frombuffer(b"".join(r[5] for r in side), "<u2").reshape(-1, VALUES)
-        )
-        (ids, comp, n, sig), (ids2, comp2, n2, sig2) = columns(left), columns(right)
-        a, b = [], []
-        for at in range(0, len(ids), 128):
-            part = slice(at, at + 128)
-            low, high = np.minimum(n[part, None], n2[None, :]), np.maximum(n[part, None], n2[None, :])
-            maybe = (comp[part, None] != comp2[None, :]) & (100 * low >= percent * high)
-            if i == j:
-                maybe &= ids[part, None] < ids2[None, :]
-            x, y = np.nonzero(maybe)
-            near = (sig[x + at] != sig2[y]).sum(1) <= DISTANCE
-            a += ids[x[near] + at].tolist()
-            b += ids2[y[near]].tolist()
-        return a, b
+        if not left or not right:
+            return []
+        ids, ids2 = (np.array([r[2] for r in side]) for side in (left, right))
+        comp, comp2 = ([r[3] for r in side] for side in (left, right))
+        unlike = np.array(comp)[:, None] != np.array(comp2)[None, :]
+        if not unlike.any():
+            return []
+        found = linked_in_block([r[4] for r in left], [r[4] for r in right], unlike, percent)
+        return [(int(ids[x]), int(ids2[y])) for x, y in spanning(found, comp, comp2)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        a: list[int] = []
-        b: list[int] = []
 
-        def flush() -> pa.RecordBatch:
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["a", "b"])
+        def done() -> pa.RecordBatch:
+            pairs = compare(group) if group else []
+            return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for key, i, j, mine, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-                if group and group[0][0] != (key, i, j):
-                    x, y = compare(group)
-                    a, b, group = a + x, b + y, []
-                    if len(a) > 10_000:
-                        yield flush()
-                        a, b = [], []
-                group.append(((key, i, j), mine, *rest))
-        if group:
-            x, y = compare(group)
-            a, b = a + x, b + y
-        if a:
-            yield flush()
-
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
-
-
-def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame | None:
+            items = batch.column(6)
+            flat, ends = items.values.to_numpy(), items.offsets.to_numpy()
+            head = zip(*(batch.column(c).to_pylist() for c in range(6)))
+            for k, (cluster, i, j, mine, doc, component) in enumerate(head):
+                if group and group[0][0] != (cluster, i, j):
+                    yield done()
+                    group = []
+                group.append(((cluster, i, j), mine, doc, component, flat[ends[k] : ends[k + 1]].copy()))
+        yield done()
+
+    return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Components (id, component) of the classes that are linked."""
     # Sets of one or two shingles are linked with equal sets only.
     key = W.partitionBy("key")
-    lists = listed(classes.where("n > 2")).select("key", "id", F.count("*").over(key).alias("members"), F.min("id").over(key).alias("first"))
+    lists = listed(classes.where("n > 2")).select("key", "id", F.count("*").over(key).alias("members"))
     lists = written(lists.where("members > 1").drop("members"), "lists")
-    first = lists.where("id <> first").groupBy("id").agg(F.min("first").alias("low"), F.max("first").alias("high"))
-    tries = first.select(F.col("low").alias("a"), F.col("id").alias("b")).union(first.where("low <> high").select("high", "id"))
-    tries = written(close(tries, classes, percent), "tries")
-    links = written(confirmed(tries, docs, words, percent), "links-1")
+    sets = whole_sets(docs, lists.select("id").distinct(), words)
+
+    def with_common(common: DataFrame) -> DataFrame:
+        """Classes that may be linked with any other."""
+        some = classes.join(common, "id").where(100 * F.col("c") >= percent * F.col("n"))
+        return written(some.select("id", "n", "c", "sig"), "linkable")
+
+    members = with_common(common_counts(sets))
+    lists = lists.join(members.select("id", (F.col("n") - F.col("c")).alias("own")), "id")
+    # The most central member of each list, and the most central of all its lists.
+    center = F.min(F.struct("own", "id")).over(key).alias("center")
+    first = lists.select("key", "id", center).groupBy("id").agg(F.min("center").alias("low"), F.max("center").alias("high"))
+    tries = first.select(F.explode(F.array_distinct(F.array("low.id", "high.id"))).alias("a"), F.col("id").alias("b")).where("a <> b")
+    tries = written(close(tries, members, percent), "tries")
+    links = written(confirmed(tries, sets, percent), "links-1")
     component = connected(links)
-    more = written(unlike_members(lists.select("key", "id"), component, classes, percent).join(tries, ["a", "b"], "left_anti"), "tries-2")
-    if more.isEmpty():
-        return component
-    more_links = written(confirmed(more, docs, words, percent), "links-2")
-    return component if more_links.isEmpty() else connected(links.union(more_links))
+    rows = open_members(lists.select("key", "id"), component)
+    members = with_common(common_counts(sets, rows.select("id").distinct()))
+    clusters = clusters_of(written(rows.join(members.select("id"), "id", "left_semi"), "open-linkable"))
+    more = written(links_in_clusters(clusters, sets, percent), "links-2")
+    return component if more.isEmpty() else connected(links.union(more))
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
