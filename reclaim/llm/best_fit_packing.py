@@ -7,7 +7,8 @@ the number of shards follows the input and no length or document is hot.  A
 shard is packed by best-two-fit: open a sequence with the longest piece left,
 fill the gap greedily with the longest piece that fits, then replace the
 sequence's smallest piece by two unpacked pieces whose sum fills the gap and
-the freed place more tightly, as long as such a pair exists.
+the freed place more tightly, as long as such a pair exists and the gap is
+over ``SLACK`` tokens.
 
 Token ids come from the vocabulary of the given tokenizer file; its merge
 order must equal its id order (checked), so that merging by rank gives the
@@ -37,6 +38,7 @@ from .common import text_or_empty
 LIMIT = 1024
 END_ID = 2
 SHARD = 4096
+SLACK = 4  # tokens of a gap that stay open: a pair of short pieces is worth more
 STEP = 256  # documents whose pieces are held at once
 # Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -118,7 +120,7 @@ def with_crc(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def two_fit(lengths: list[int], limit: int = LIMIT) -> tuple[list[int], list[int]]:
+def two_fit(lengths: list[int], limit: int = LIMIT, slack: int = SLACK) -> tuple[list[int], list[int]]:
     """(sequence, offset) of each piece, sequences numbered from 0."""
     waiting: dict[int, list[int]] = {}
     for i in reversed(range(len(lengths))):
@@ -156,7 +158,7 @@ def two_fit(lengths: list[int], limit: int = LIMIT) -> tuple[list[int], list[int
             n = left[bisect_right(left, gap) - 1]
             held.append(take(n))
             gap -= n
-        while gap and len(held) > 1:
+        while gap > slack and len(held) > 1:
             out = held[-1]  # filled longest first: the last is the smallest
             pair = best_pair(gap + lengths[out], lengths[out])
             if pair is None:
