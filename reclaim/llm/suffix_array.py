@@ -3,6 +3,8 @@
 A string of ``LENGTH`` = 100 bytes (a window) that also starts earlier, in a
 smaller doc_id or at an earlier place of the same document, is removed.
 
+0. All but the first of equal texts (by md5) are removed whole; they take no
+   part in what follows.
 1. Texts (in parts of ``PART`` bytes that overlap by one window) are dealt by
    hash to shards whose number follows the input.
 2. Windows are located by winnowing: the least hash among the k-grams of a
@@ -35,7 +37,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +49,7 @@ LENGTH = 100
 GRAM = 32  # bytes of an anchor's k-gram
 SHARD_MB = 4
 PART = 4 * MB
-BLOCK = 1 << 20
+BLOCK = 1 << 16  # bytes hashed at a time: the work arrays stay in the cache
 _random = np.random.default_rng(2)
 BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = [np.uint64(x) for x in _random.integers(1, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
@@ -186,8 +189,15 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
 class Shard:
     """The parts of a shard, one behind the other in document order."""
 
-    def __init__(self, table: pa.Table, length: int = LENGTH):
+    def __init__(self, table: pa.Table, copies: pa.Table, length: int = LENGTH):
+        if copies.num_rows:
+            known = set(zip(copies.column("doc_id").to_pylist(), copies.column("h").to_pylist()))
+            table = table.filter(pa.array([k not in known for k in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist())], pa.bool_()))
         table = table.sort_by([("doc_id", "ascending"), ("h", "ascending"), ("at", "ascending")])
+        names = [table.column(c).to_numpy() for c in ("doc_id", "h", "at")]
+        if table.num_rows > 1:  # a repeated row is the same document
+            again = np.logical_and.reduce([x[1:] == x[:-1] for x in names])
+            table = table.filter(pa.array(np.append(True, ~again)))
         texts = table.column("part").to_pylist()
         self.raw = np.frombuffer(b"".join(texts), np.uint8)
         self.doc, self.h, self.at = (table.column(c).to_numpy() for c in ("doc_id", "h", "at"))
@@ -277,14 +287,27 @@ def base(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING)).alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
 
 
+def places_of(rows: DataFrame, size: Column, count: int) -> DataFrame:
+    """``rows`` for every part of their texts: at (its begin) and shard."""
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0)).cast("long"), F.lit(PART).cast("long")))
+    return rows.withColumn("at", starts).withColumn("shard", F.pmod(F.xxhash64("doc_id", "h", "at"), F.lit(count)).cast("int"))
+
+
 def parts_of(rows: DataFrame, count: int) -> DataFrame:
     """shard, doc_id, h, at, part: overlapping parts of the texts."""
     size = F.octet_length("text")
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0)).cast("long"), F.lit(PART).cast("long")))
-    return rows.where(size >= LENGTH).withColumn("at", starts).select(
-        F.pmod(F.xxhash64("doc_id", "h", "at"), F.lit(count)).cast("int").alias("shard"), "doc_id", "h", "at",
-        F.substring("text", (F.col("at") + 1).cast("int"), F.lit(PART + LENGTH - 1)).alias("part"),
-    )
+    return places_of(rows.where(size >= LENGTH), size, count).select(
+        "shard", "doc_id", "h", "at", F.substring("text", (F.col("at") + 1).cast("int"), F.lit(PART + LENGTH - 1)).alias("part")
+    )
+
+
+def copies_of(rows: DataFrame) -> DataFrame:
+    """doc_id, h, n (bytes) of texts of a window or more that a document
+    before has too."""
+    texts = written(rows.where(F.octet_length("text") >= LENGTH).select("doc_id", "h", F.octet_length("text").cast("long").alias("n"), F.md5("text").alias("md5")), "md5")
+    # One row per text that occurs again; equal (doc_id, text) rows are one document.
+    first = texts.groupBy("md5").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("md5", "first")
+    return texts.join(written(first, "copied"), "md5").where("doc_id > first").select("doc_id", "h", "n").distinct()
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -292,12 +315,16 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     count = max(1, -(-total_bytes(rows) // (SHARD_MB * MB)))
     parts = parts_of(rows, count).repartition(count, "shard")
 
-    def list_anchors(table: pa.Table) -> pa.Table:
-        shard = Shard(table)
+    # Copies go to the shards of their parts.
+    gone = written(copies_of(rows), "copies")
+    copies = places_of(gone, F.col("n"), count).select("shard", "doc_id", "h").repartition(count, "shard")
+
+    def list_anchors(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        shard = Shard(left, right)
         values, n = np.unique(anchors(shard.raw, shard.valid)[0], return_counts=True)
-        return pa.table({"shard": pa.array(np.full(len(values), table.column("shard")[0].as_py()), pa.int32()), "anchor": pa.array(values.view(np.int64)), "many": pa.array(n > 1)})
+        return pa.table({"shard": pa.array(np.full(len(values), key[0].as_py()), pa.int32()), "anchor": pa.array(values.view(np.int64)), "many": pa.array(n > 1)})
 
-    listed = parts.groupBy("shard").applyInArrow(list_anchors, "shard int, anchor long, many boolean")
+    listed = parts.groupBy("shard").cogroup(copies.groupBy("shard")).applyInArrow(list_anchors, "shard int, anchor long, many boolean")
     # A shard lists an anchor once, so no anchor has more rows than there are shards.
     alike = W.partitionBy("anchor")
     shared = (
@@ -305,11 +332,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         .where(F.col("many") | (F.col("shards") > 1))
         .select("shard", "anchor", (F.col("shards") > 1).alias("cross"))
     )
+    told = shared.unionByName(copies, allowMissingColumns=True)
 
     def in_shard(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return FOUND.empty_table()
-        shard = Shard(left)
+        of_copy = right.column("doc_id").is_valid()
+        shard, right = Shard(left, right.filter(of_copy)), right.filter(pc.invert(of_copy))
+        if not right.num_rows:
+            return FOUND.empty_table()
         h, first, last = anchors(shard.raw, shard.valid)
         known = right.column("anchor").to_numpy().view(np.uint64)
         sort = np.argsort(known)
@@ -337,7 +368,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         return pa.concat_tables(out)
 
     found = written(
-        parts.groupBy("shard").cogroup(shared.repartition(count, "shard").groupBy("shard")).applyInArrow(in_shard, "shard int, anchor long, doc_id long, h long, start long, n long, bytes binary"),
+        parts.groupBy("shard").cogroup(told.repartition(count, "shard").groupBy("shard")).applyInArrow(in_shard, "shard int, anchor long, doc_id long, h long, start long, n long, bytes binary"),
         "repeats",
     )
 
@@ -351,12 +382,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         place = begin[row] + step
         key = np.concatenate([rolled(raw[a : a + BLOCK + LENGTH - 1], LENGTH) for a in range(0, max(1, len(raw) - LENGTH + 1), BLOCK)])[place]
 
+        windows = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)
+
         def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
             out = np.ones(len(i), bool)
-            offset = np.arange(LENGTH)
             for a in range(0, len(i), 1 << 14):
                 s = slice(a, a + (1 << 14))
-                out[s] = (raw[place[i[s], None] + offset] == raw[place[j[s], None] + offset]).all(1)
+                out[s] = (windows[place[i[s]]] == windows[place[j[s]]]).all(1)
             return out
 
         shard = table.column("shard").to_numpy()[row]
@@ -373,7 +405,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     met = found.where(F.col("bytes").isNotNull()).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(count)).cast("int"))
     merged = met.repartition(count, "bucket").groupBy("bucket").applyInArrow(across, "doc_id long, h long, start long, size long")
     local = found.where(F.col("bytes").isNull()).select("doc_id", "h", "start", (F.col("n") + (LENGTH - 1)).alias("size"))
-    return local.union(merged)
+    whole = gone.select("doc_id", "h", F.lit(0).cast("long").alias("start"), F.col("n").alias("size"))
+    return local.union(merged).union(whole)
 
 
 FOUND = pa.schema([("shard", pa.int32()), ("anchor", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary())])
