@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 BLOCK = 16384  # candidates of a block
 QUERIES = 512  # queries of a block
-DEPTH = 64  # list entries read before the bound is first tested
+DEPTH = 256  # list entries read before the bound is first tested
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -83,7 +83,7 @@ def threshold_top(lists: np.ndarray, values: np.ndarray, vectors: np.ndarray, id
                 order = np.lexsort((best_id, -best))[:k]
                 best_id, best = best_id[order], best[order]
         depth, step = end, step * 2
-        if depth == n or not len(used):
+        if depth == n or not len(used) or met.all():
             break
         bound = weight[up] @ values[used[up], depth - 1] + weight[~up] @ values[used[~up], n - depth]
         if len(best) >= k and bound < best[-1]:
@@ -108,9 +108,11 @@ def search(df: DataFrame, is_query: Column, k: int, scale: float = 64.0, id_col:
         ids = right.column("vec_id").to_numpy()
         rows = matrix(right, width)
         asked_ids, asked_rows = left.column("vec_id").to_numpy(), matrix(left, width)
-        # Doubles add exactly below 2**53; otherwise stay with integers.
-        if width * float(np.abs(rows).max(initial=0)) * float(np.abs(asked_rows).max(initial=0)) < 2.0**52:
-            rows, asked_rows = rows.astype(np.float64), asked_rows.astype(np.float64)
+        # Floats add exactly while all sums fit their mantissa; otherwise stay with integers.
+        most = width * float(np.abs(rows).max(initial=0)) * float(np.abs(asked_rows).max(initial=0))
+        if most < 2.0**52:
+            kind = np.float32 if most < 2.0**23 else np.float64
+            rows, asked_rows = rows.astype(kind), asked_rows.astype(kind)
         order = np.argsort(-rows, axis=0, kind="stable").T.astype(np.int32)
         lists, values = np.ascontiguousarray(order), np.take_along_axis(np.ascontiguousarray(rows.T), order, 1)
         found = [threshold_top(lists, values, rows, ids, q, own, k) for own, q in zip(asked_ids, asked_rows)]
