@@ -32,30 +32,38 @@ DEPTH = 3
 MIN_DOCS = 10
 LIKE = 0.7
 FIELD = "<*>"
-BLANKS = r"[ \t\r\f\x0B]+"
+# Runs of blanks that are not one space; tokens with a digit, tried at token
+# starts only.  Neither looks at ordinary text more than once.
+BLANKS = r" *[\t\r\f\x0B][ \t\r\f\x0B]*| {2,}"
+VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*"
 
 
 def masked(line: str | Column) -> Column:
-    """The line with single spaces, trimmed, variable fields masked."""
-    flat = F.trim(F.regexp_replace(line, BLANKS, " "))
-    return F.regexp_replace(flat, r"[^ ]*[0-9][^ ]*", FIELD)
+    """The line with single spaces, trimmed, variable fields masked.  Plain
+    searches spare most lines the replacements."""
+    line = F.col(line) if isinstance(line, str) else line
+    flat = F.trim(F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(flat, VARIABLE, FIELD)).otherwise(flat)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line, form (masked text) of every line that is not blank."""
+    """doc_id, line, form (masked text) of every line that is not blank.
+    Lines are masked before they become rows, so that no filter on the form
+    masks them a second time."""
+    forms = F.transform(F.split("text", "\n"), masked)
     return (
         docs.where(F.col("doc_id").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-        .select("doc_id", "line", masked("raw").alias("form"))
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(forms).alias("line", "form"))
         .where(F.col("form") != "")
     )
 
 
-def parsed(lines: DataFrame) -> DataFrame:
-    """Add tokens and the two hashes: form (pattern) and leaf of the tree."""
-    tokens = F.split("form", " ")
-    return lines.withColumn("tokens", tokens).select(
-        "*", F.xxhash64("form").alias("pattern"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf")
+def parsed(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Add n_tokens and two hashes: of the form (pattern) and of the leaf of
+    the tree (number of tokens and leading tokens)."""
+    n = F.octet_length("form") - F.octet_length(F.replace(F.col("form"), F.lit(" "), F.lit(""))) + 1
+    return lines.withColumn("n_tokens", n).select(
+        "*", F.xxhash64("form").alias("pattern"), F.xxhash64("n_tokens", F.substring_index("form", " ", depth)).alias("leaf")
     )
 
 
@@ -68,7 +76,7 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
     """(pattern, template) of the lines that follow their leaf's template."""
     mixed = rows.groupBy("leaf").agg(F.min("pattern").alias("low"), F.max("pattern").alias("high")).where("low <> high").select("leaf")
     busy = written(support(rows, "leaf").where(F.col("docs") >= min_docs).select("leaf").join(mixed, "leaf", "left_semi"), "leaves")
-    lines = parsed(lines_of(docs)).where(F.size("tokens") > depth).join(busy, "leaf", "left_semi")
+    lines = parsed(lines_of(docs), depth).where(F.col("n_tokens") > depth).join(busy, "leaf", "left_semi")
     # One row per different line of a busy leaf, with its number of documents.
     forms = written(
         lines.select("leaf", "pattern", "form", "doc_id").distinct().groupBy("leaf", "pattern", "form").agg(F.count("*").alias("docs")).withColumn("tokens", F.split("form", " ")).drop("form"),
@@ -85,7 +93,7 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE) -> DataFrame:
     """(doc_id, line) of every line to drop."""
-    rows = written(parsed(lines_of(docs)).select("doc_id", "line", "pattern", "leaf"), "lines")
+    rows = written(parsed(lines_of(docs), depth).select("doc_id", "line", "pattern", "leaf"), "lines")
     general = written(generalised(docs, rows, depth, min_docs, like), "templates")
     assigned = written(
         rows.select("doc_id", "line", "pattern").join(general, "pattern", "left").select("doc_id", "line", F.coalesce("template", "pattern").alias("template")), "assigned"
@@ -107,7 +115,8 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return (
         docs.select(*names)
-        .join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left")
+        # The same join at every size: texts are shuffled once.
+        .join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["gone_id"], "left")
         .select(
             *[F.when(F.col("gone_id").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in names],
             F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
