@@ -30,7 +30,7 @@ from reclaim.llm import best_fit_packing, language_id, line_templates, minhash_h
 from reclaim.llm.common import table, written
 from reclaim.llm.queries import tokenizer_file
 
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3  # short clean texts score low; under this hardly any label is likelier than the rest
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

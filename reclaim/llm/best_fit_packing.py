@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import partitions, text_or_empty
 
 LIMIT = 1024
 END_ID = 2
@@ -194,7 +194,7 @@ def pack(parts: DataFrame, n_docs: int, limit: int = LIMIT, shard: int = SHARD)
         return table.select(columns).append_column("sequence_id", pa.array([first + s for s in sequence], pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", sequence_id long, offset long"
-    return dealt.repartition(count, "shard").groupBy("shard").applyInArrow(run, schema)
+    return dealt.repartition(partitions(count), "shard").groupBy("shard").applyInArrow(run, schema)
 
 
 def packed(docs: DataFrame, tokenizer_json: bytes, limit: int = LIMIT, end_id: int = END_ID, shard: int = SHARD) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..session import configure, materialize
 
 MB = 1 << 20
+# Groups beyond this share partitions, so the driver's task lists stay short.
+MOST_PARTITIONS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,11 @@ def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def partitions(groups: int) -> int:
+    """Partitions for so many groups of bounded size."""
+    return max(1, min(groups, MOST_PARTITIONS))
+
+
 def total_bytes(df: DataFrame, c: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(F.col(c)).cast("long"))).first()[0] or 0)
 

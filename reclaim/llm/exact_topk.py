@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import partitions
+
 BLOCK = 16384  # candidates of a block
 QUERIES = 512  # queries of a block
 DEPTH = 256  # list entries read before the bound is first tested
@@ -124,7 +126,7 @@ def search(df: DataFrame, is_query: Column, k: int, scale: float = 64.0, id_col:
             }
         )
 
-    spread = lambda d: d.repartition(blocks * sets, "cb", "qb").groupBy("cb", "qb")
+    spread = lambda d: d.repartition(partitions(blocks * sets), "cb", "qb").groupBy("cb", "qb")
     local = spread(asked).cogroup(spread(candidates)).applyInArrow(run, "query_id long, vec_id long, score long")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shards, text_or_empty
+from .common import MOST_PARTITIONS, partitions, shards, text_or_empty
 
 K, HASHES, TUPLE = 6, 24, 2
 RANGE_MB = 2  # text of a doc_id range
@@ -165,7 +165,8 @@ def with_next(docs: DataFrame, range_mb: int = RANGE_MB) -> tuple[DataFrame, int
     """Rows (range, own, doc_id, text): every document, own = 0, and behind
     each range the document that follows it, own = 1."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    count = shards(base, range_mb)
+    # Ranges are streamed, so they may grow: the driver holds their bounds.
+    count = partitions(shards(base, range_mb))
     cuts = base.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.1 / count) if count > 1 else []
     place = range_of(sorted({int(b) for b in cuts}))
     first = {r.r: r.id for r in base.groupBy(place.alias("r")).agg(F.min("doc_id").alias("id")).collect()}  # a row per range
@@ -225,5 +226,5 @@ def edited(docs: DataFrame, k: int = K, hashes: int = HASHES, take: int = TUPLE,
         return doc, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), show(a), show(b), likeness(a, b), likeness(a, following)
 
     arrow = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
-    parts = max(1, -(-count // 4))
+    parts = count if count == MOST_PARTITIONS else max(1, -(-count // 4))
     return rows.repartition(parts, "range").sortWithinPartitions("range", "own", F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, schema)

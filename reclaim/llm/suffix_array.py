@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MB, total_bytes, written
+from .common import MB, partitions, total_bytes, written
 
 LENGTH = 100
 GRAM = 32  # bytes of an anchor's k-gram
@@ -313,11 +313,11 @@ def copies_of(rows: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(doc_id, h, start, size): byte spans to remove, possibly overlapping."""
     count = max(1, -(-total_bytes(rows) // (SHARD_MB * MB)))
-    parts = parts_of(rows, count).repartition(count, "shard")
+    parts = parts_of(rows, count).repartition(partitions(count), "shard")
 
     # Copies go to the shards of their parts.
     gone = written(copies_of(rows), "copies")
-    copies = places_of(gone, F.col("n"), count).select("shard", "doc_id", "h").repartition(count, "shard")
+    copies = places_of(gone, F.col("n"), count).select("shard", "doc_id", "h").repartition(partitions(count), "shard")
 
     def list_anchors(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         shard = Shard(left, right)
@@ -368,7 +368,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         return pa.concat_tables(out)
 
     found = written(
-        parts.groupBy("shard").cogroup(told.repartition(count, "shard").groupBy("shard")).applyInArrow(in_shard, "shard int, anchor long, doc_id long, h long, start long, n long, bytes binary"),
+        parts.groupBy("shard").cogroup(told.repartition(partitions(count), "shard").groupBy("shard")).applyInArrow(in_shard, "shard int, anchor long, doc_id long, h long, start long, n long, bytes binary"),
         "repeats",
     )
 
@@ -403,7 +403,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         )
 
     met = found.where(F.col("bytes").isNotNull()).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(count)).cast("int"))
-    merged = met.repartition(count, "bucket").groupBy("bucket").applyInArrow(across, "doc_id long, h long, start long, size long")
+    merged = met.repartition(partitions(count), "bucket").groupBy("bucket").applyInArrow(across, "doc_id long, h long, start long, size long")
     local = found.where(F.col("bytes").isNull()).select("doc_id", "h", "start", (F.col("n") + (LENGTH - 1)).alias("size"))
     whole = gone.select("doc_id", "h", F.lit(0).cast("long").alias("start"), F.col("n").alias("size"))
     return local.union(merged).union(whole)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import MB, written
+from .common import MB, partitions, written
 
 LEAST = 1000  # payload bytes from which a copy becomes a revisit
 ARCHIVE_MB = 64  # payload after which a task begins another archive
@@ -298,6 +298,6 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     files.create_dir(root, recursive=True)
     whole = written(write(records(pages, least), folder), "warc-whole")
     # One archive per task: a few rows name much work.
-    spread = lambda df: df.repartition(max(1, df.count()), "path")
+    spread = lambda df: df.repartition(partitions(df.count()), "path")
     members = written(normalise(spread(whole), folder), "warc-members")
     return read(spread(members), folder, payloads=False).drop("url", "payload")
