@@ -19,6 +19,7 @@ HEADLINE = [
     "input_customers",
     "churn_score_fixed",
     "classification_metrics",
+    "churn_train_score",
     "revenue_forecast",
     "payment_recovery",
     "leakage_report",
