@@ -56,23 +56,24 @@ class ModelScorer:
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
                  queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame, str], DataFrame] | None = None,
-                 pin_inputs: Iterable[str] = (), pin_queue: bool = True, pin_reports: bool = False):
+                 pin_inputs: Iterable[str] = (), pin_queue: bool = True, pin_reports: bool | Iterable[str] = False):
         """``pin(df, name)`` materializes the shared intermediates (the
         enriched customer table, which also serves as the scored table, and
         the action queue); ``None`` leaves every node lazy.  ``pin_inputs``
         names the input tables to materialize on first use (those the
         requested outputs read more than once).  ``pin_reports`` materializes
-        the short reports that other reports are made of."""
+        short reports that other reports are made of: those named, or all."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
         self._pin = pin
         self._pin_inputs = set(pin_inputs) if pin is not None else set()
         self._pin_queue = pin_queue
-        self._pin_reports = pin_reports and pin is not None
+        self._pin_reports = pin_reports if isinstance(pin_reports, bool) else set(pin_reports)
 
     def _report(self, df: DataFrame, name: str) -> DataFrame:
-        return self._pin(df, name) if self._pin_reports else df
+        wanted = self._pin_reports if isinstance(self._pin_reports, bool) else name in self._pin_reports
+        return self._pin(df, name) if wanted and self._pin is not None else df
 
     def _input(self, name: str) -> DataFrame:
         df = self.inputs[name]

@@ -74,7 +74,7 @@ def _f1(spark, sf_dir):
 
 def _metrics(spark, sf_dir):
     # The hold-out feeds both the sweep and the AUC: share it.
-    return _graph(spark, sf_dir, name="classification_metrics", pin_reports=True).model_metrics
+    return _graph(spark, sf_dir, name="classification_metrics", pin_reports=("holdout",)).model_metrics
 
 
 def _auc(spark, sf_dir):
@@ -111,7 +111,7 @@ def _written_customers(spark, sf_dir):
 
 
 def _run_kpis(spark, sf_dir):
-    return _graph(spark, sf_dir, name="run_kpis", pin_reports=True).run_kpis
+    return _graph(spark, sf_dir, name="run_kpis").run_kpis
 
 
 def _brief_items(spark, sf_dir):
