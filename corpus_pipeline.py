@@ -8,7 +8,8 @@ stage changes it).
 1. language: documents without a letter, or whose language is less likely
    than ``LEAST_SCORE``, go.
 2. lines: lines of recurring templates go, but for their first occurrence; a
-   document all of whose text went with them goes.
+   document all of whose text went with them goes.  Fields alone make no
+   template (``line_templates.FIXED``).
 3. near_duplicates: of each component of near-duplicates the document with the
    smallest doc_id stays.
 4. repeats: byte strings that start earlier elsewhere are cut out, to whole
@@ -39,7 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_templates.drop_recurring(docs)
+    left = line_templates.drop_recurring(docs, fixed=line_templates.FIXED)
     return sized(left.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")), docs.columns)
 
 

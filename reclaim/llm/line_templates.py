@@ -10,6 +10,13 @@ variable field; lines that agree with at least ``LIKE`` of the constants
 its own.  A template found in ``MIN_DOCS`` different documents recurs: its
 first line (smallest doc_id, then line number) stays, all others are dropped.
 
+With ``fixed`` above 0, variable fields never stand for the content of a line:
+a line is masked only if that share of its tokens and of its bytes is constant,
+and follows its leaf's template only if that share of its tokens and bytes
+after the leading ones equals constants of the template; else the unmasked
+line is compared.  The pipeline uses ``FIXED``; the query follows its SQL,
+which has no such rule.
+
 Rows that travel are hashes, not lines; hot lines are pre-aggregated before
 every shuffle, and the joins on templates read written tables, so that skewed
 ones can be split.
@@ -31,6 +38,7 @@ from .common import written
 DEPTH = 3
 MIN_DOCS = 10
 LIKE = 0.7
+FIXED = 0.5
 FIELD = "<*>"
 # Runs of blanks that are not one space; tokens with a digit, tried at token
 # starts only.  Neither looks at ordinary text more than once.
@@ -38,19 +46,44 @@ BLANKS = r" *[\t\r\f\x0B][ \t\r\f\x0B]*| {2,}"
 VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*"
 
 
+def flattened(line: Column) -> Column:
+    """The line with single spaces, trimmed.  A plain search spares most lines
+    the replacement."""
+    return F.trim(F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+
+
 def masked(line: str | Column) -> Column:
-    """The line with single spaces, trimmed, variable fields masked.  Plain
-    searches spare most lines the replacements."""
+    """The flattened line, variable fields masked."""
     line = F.col(line) if isinstance(line, str) else line
-    flat = F.trim(F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(flat, VARIABLE, FIELD)).otherwise(flat)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(flattened(line), VARIABLE, FIELD)).otherwise(flattened(line))
+
+
+def tokens_of(form: Column) -> Column:
+    return F.octet_length(form) - unspaced(form) + 1
+
+
+def unspaced(line: Column) -> Column:
+    """Bytes of a line without its spaces."""
+    return F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+
+
+def form_of(flat: Column, form: Column, fixed: float) -> Column:
+    """The masked line, or the unmasked one where less than ``fixed`` of the
+    tokens or bytes is constant."""
+    constant = F.replace(form, F.lit(FIELD), F.lit(""))
+    fields = (F.octet_length(form) - F.octet_length(constant)) / len(FIELD)
+    enough = (fields <= F.lit(1 - fixed) * tokens_of(form)) & (unspaced(constant) >= F.lit(fixed) * unspaced(flat))
+    return F.when((flat == form) | enough, form).otherwise(flat)
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def lines_of(docs: DataFrame, fixed: float = 0.0) -> DataFrame:
     """doc_id, line, form (masked text) of every line that is not blank.
     Lines are masked before they become rows, so that no filter on the form
     masks them a second time."""
     forms = F.transform(F.split("text", "\n"), masked)
+    if fixed:
+        flat = F.transform(F.split("text", "\n"), flattened)
+        forms = F.zip_with(flat, forms, lambda a, b: form_of(a, b, fixed))
     return (
         docs.where(F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(forms).alias("line", "form"))
@@ -61,8 +94,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def parsed(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Add n_tokens and two hashes: of the form (pattern) and of the leaf of
     the tree (number of tokens and leading tokens)."""
-    n = F.octet_length("form") - F.octet_length(F.replace(F.col("form"), F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("n_tokens", n).select(
+    return lines.withColumn("n_tokens", tokens_of(F.col("form"))).select(
         "*", F.xxhash64("form").alias("pattern"), F.xxhash64("n_tokens", F.substring_index("form", " ", depth)).alias("leaf")
     )
 
@@ -72,11 +104,13 @@ def support(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "doc_id").distinct().groupBy(key).agg(F.count("*").alias("docs"))
 
 
-def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, like: float) -> DataFrame:
+def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, like: float, fixed: float) -> DataFrame:
     """(pattern, template) of the lines that follow their leaf's template."""
     mixed = rows.groupBy("leaf").agg(F.min("pattern").alias("low"), F.max("pattern").alias("high")).where("low <> high").select("leaf")
     busy = written(support(rows, "leaf").where(F.col("docs") >= min_docs).select("leaf").join(mixed, "leaf", "left_semi"), "leaves")
-    lines = parsed(lines_of(docs), depth).where(F.col("n_tokens") > depth).join(busy, "leaf", "left_semi")
+    lines = parsed(lines_of(docs, fixed), depth).where(F.col("n_tokens") > depth).join(busy, "leaf", "left_semi")
+    if fixed:  # unmasked lines stand for themselves
+        lines = lines.where(~F.col("form").rlike("[0-9]"))
     # One row per different line of a busy leaf, with its number of documents.
     forms = written(
         lines.select("leaf", "pattern", "form", "doc_id").distinct().groupBy("leaf", "pattern", "form").agg(F.count("*").alias("docs")).withColumn("tokens", F.split("form", " ")).drop("form"),
@@ -88,13 +122,19 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
     constant = share.where(-2 * F.col("top.minus") >= F.col("all")).select("leaf", "place", F.col("top.token").alias("token"))
     leaf_form = constant.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"))
     equal = F.size(F.filter(F.col("tokens"), lambda t, i: t == F.element_at("constants", i)))
-    return forms.join(leaf_form, "leaf").where(equal >= F.lit(like) * F.size("tokens")).select("pattern", F.xxhash64("leaf", F.lit("leaf")).alias("template"))
+    follows = equal >= F.lit(like) * F.size("tokens")
+    if fixed:
+        later = F.slice("tokens", depth + 1, F.size("tokens"))
+        shared = F.filter(later, lambda t, i: (t == F.element_at("constants", i + depth)) & (t != FIELD))
+        size = lambda words: F.octet_length(F.array_join(words, ""))
+        follows &= (F.size(shared) >= F.lit(fixed) * F.size(later)) & (size(shared) >= F.lit(fixed) * size(later))
+    return forms.join(leaf_form, "leaf").where(follows).select("pattern", F.xxhash64("leaf", F.lit("leaf")).alias("template"))
 
 
-def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE) -> DataFrame:
+def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = 0.0) -> DataFrame:
     """(doc_id, line) of every line to drop."""
-    rows = written(parsed(lines_of(docs), depth).select("doc_id", "line", "pattern", "leaf"), "lines")
-    general = written(generalised(docs, rows, depth, min_docs, like), "templates")
+    rows = written(parsed(lines_of(docs, fixed), depth).select("doc_id", "line", "pattern", "leaf"), "lines")
+    general = written(generalised(docs, rows, depth, min_docs, like, fixed), "templates")
     assigned = written(
         rows.select("doc_id", "line", "pattern").join(general, "pattern", "left").select("doc_id", "line", F.coalesce("template", "pattern").alias("template")), "assigned"
     )
@@ -104,10 +144,10 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     return assigned.join(dropped, "template").where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line")
 
 
-def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE) -> DataFrame:
+def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = 0.0) -> DataFrame:
     """``docs`` without the lines of recurring templates, all columns kept,
     and columns n_lines and n_dropped (clashing ones are replaced)."""
-    gone = recurring_lines(docs, depth, min_docs, like).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone_lines"))
+    gone = recurring_lines(docs, depth, min_docs, like, fixed).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone_lines"))
     gone = written(gone, "dropped-lines")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone_lines", i)), "\n")

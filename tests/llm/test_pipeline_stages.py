@@ -67,3 +67,17 @@ def test_odd_and_empty_documents(spark):
     assert last[-1].count() > 0
     for df in walk(spark, empty_docs(spark)):
         assert df.count() == 0
+
+
+def test_lines_of_fields_are_not_templates(spark):
+    """Rows of numbers, texts without blanks and short lines that differ only
+    where a template has a field are content; a notice that varies is not."""
+    letter = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for i in range(26):
+        own = [f"{1990 + i} {i}.5 {i}.1", f"Mean {i}.1 {i}.2 {i}.3 {i}.4", "\u8fd9\u662f" + chr(0x4E00 + i) * 9 + "1" + chr(0x5E00 + i) * 40, f"He went to {letter[i]}town"]
+        own.append(f"We saw that 7 8 9 {letter[i]}mere words")
+        rows.append((i, "\n".join([*own, f"Page {i} of the same long running notice"]), "en", "s", 0))
+    got = {r.doc_id: r.text for r in cp.lines(spark, spark.createDataFrame(rows, DOCS), SF_TINY).collect()}
+    assert got[0] == rows[0][1]
+    assert all(got[r[0]] == r[1].rpartition("\n")[0] for r in rows[1:])
