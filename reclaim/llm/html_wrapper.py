@@ -113,8 +113,9 @@ def parse(html: str) -> Node:
                         break
                     if stack[i].name in SCOPE:
                         break
-            marks = " ".join(sorted(f"{k.lower()}={(a or b or c).lower()}" for k, a, b, c in MARK.findall(rest))) if rest else ""
-            words = set(WORDS.findall(" ".join(x.partition("=")[2] for x in marks.split(" ")))) if marks else ()
+            found = [(k.lower(), (a or b or c).lower()) for k, a, b, c in MARK.findall(rest)] if rest else []
+            marks = " ".join(sorted(f"{k}={v}" for k, v in found))
+            words = set(WORDS.findall(" ".join(v for _, v in found))) if found else ()
             node = Node(f"{name} {marks}".strip(), name, name in SKIP or not NOISE.isdisjoint(words))
             stack[-1].children.append(node)
             if name not in VOID and not rest.rstrip().endswith("/"):

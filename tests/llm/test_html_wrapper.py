@@ -30,6 +30,12 @@ def test_main_region_without_article_element(spark):
     assert all(got[i] == " ".join([f"Story {i} goes on for long, {'word ' * 30}".strip()] * 3) for i in range(4))
 
 
+@pytest.mark.parametrize("mark", ['class="box ad"', 'class="col-4 sidebar"', "class='block wide\tcomments'", 'id=x class="a b share-bar"'])
+def test_noise_words_after_the_first(spark, mark):
+    rows = [(i, "http://n.o", page(i, f"<article><p>Text {i}</p><section {mark}><p>Noise {i}</p></section></article>")) for i in range(3)]
+    assert texts(spark, rows) == {i: f"Text {i}" for i in range(3)}
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, "", ""), (3, "no url", "plain <b>text"), (4, "http://a.b/x", "<article>Lone"), (5, "HTTP://A.B:80/y", "<article>&lt;x&gt; &am &amp A&nbsp;B</article>"),
