@@ -10,6 +10,12 @@ pages: a semantic article or main element, else the element that holds most of
 the variable text outside boilerplate.  Every page's text is read from that
 region, whole.
 
+Boilerplate is told by element names and class words, but never for html, body,
+main, article, role=main and itemprop=articleBody.  A form with most of the
+text is no boilerplate; nor is another such element, where no article or main
+element is outside boilerplate, if it holds one with most of the text, or if
+ten times as much text as all that is outside boilerplate.
+
 Hosts are dealt to groups of about ``GROUP`` pages by hash (a host with a
 third of all pages becomes many groups, each with a wrapper of its own), so
 no group grows with the input.
@@ -62,6 +68,11 @@ NOISE = frozenset(
     "menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related reply replies search share sharing sidebar "
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
+# Elements and marks that hold main text whatever their class words, and
+# boilerplate that never does whatever it holds.
+MAIN = frozenset("html body main article".split())
+MAIN_MARKS = frozenset([("role", "main"), ("itemprop", "articlebody")])
+NEVER = SKIP - frozenset("aside dialog footer form header menu nav".split())
 WORDS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -116,7 +127,8 @@ def parse(html: str) -> Node:
             found = [(k.lower(), (a or b or c).lower()) for k, a, b, c in MARK.findall(rest)] if rest else []
             marks = " ".join(sorted(f"{k}={v}" for k, v in found))
             words = set(WORDS.findall(" ".join(v for _, v in found))) if found else ()
-            node = Node(f"{name} {marks}".strip(), name, name in SKIP or not NOISE.isdisjoint(words))
+            held = name in MAIN or not MAIN_MARKS.isdisjoint(found)
+            node = Node(f"{name} {marks}".strip(), name, name in SKIP or not held and not NOISE.isdisjoint(words))
             stack[-1].children.append(node)
             if name not in VOID and not rest.rstrip().endswith("/"):
                 if name in RAW:  # its content is text up to its end tag
@@ -231,15 +243,64 @@ def strength(node: Node) -> int:
     return 1 if node.name == "main" or "role=main" in marks else 0
 
 
-def region(wrapper: Node) -> tuple[str, ...]:
-    """Path of keys to the element whose content is the main text."""
-    found: list[tuple[int, int, tuple[str, ...]]] = []
+def mass(node: Node, noise: bool = False) -> int:
+    """Variable text outside links and boilerplate (``noise``: with such
+    boilerplate as may hold main text)."""
+    if node.name == "#":
+        return node.size if node.text is None or node.size > 80 else 0
+    if node.name == "a" or node.noise and (not noise or node.name in NEVER):
+        return 0
+    return sum(mass(c, noise) for c in node.children)
+
+
+def semantic(node: Node, least: int = 0) -> bool:
+    """Whether an article or main element that does not repeat, with so much
+    text, is below the element, outside boilerplate of its own."""
+    return any(
+        not c.noise and not (least and c.many) and (strength(c) > 0 and c.size > 0 and mass(c, True) >= least or semantic(c, least)) for c in node.children
+    )
 
-    def mass(node: Node) -> int:
-        """Variable text outside boilerplate and links."""
-        if node.name == "#":
-            return node.size if node.text is None or node.size > 80 else 0
-        return 0 if node.noise or node.name == "a" else sum(mass(c) for c in node.children)
+
+def cleared(wrapper: Node) -> list[tuple[str, ...]]:
+    """Boilerplate that holds the main text is none: it is marked so in the
+    wrapper, and its paths, outermost first, are returned."""
+    paths: list[tuple[str, ...]] = []
+    whole = mass(wrapper, True)
+
+    def holder(node: Node, path: tuple[str, ...]) -> tuple[Node, tuple[str, ...]] | None:
+        for c in node.children:
+            if c.name == "#" or c.name in NEVER or 2 * (m := mass(c, True)) <= whole:
+                continue
+            at = (*path, c.key)
+            if not c.noise:
+                return holder(c, at)
+            if c.name == "form" or not outside and (semantic(c, whole // 2 + 1) or m > 10 * mass(wrapper)):
+                return c, at
+        return None
+
+    while True:
+        outside = semantic(wrapper)
+        found = holder(wrapper, ())
+        if found is None:
+            return paths
+        found[0].noise = False
+        paths.append(found[1])
+
+
+def clear(page: Node, path: tuple[str, ...]) -> None:
+    """Mark the elements at a path as no boilerplate."""
+    for c in page.children:
+        if c.key == path[0]:
+            if len(path) == 1:
+                c.noise = False
+            else:
+                clear(c, path[1:])
+
+
+def region(wrapper: Node, opened: list[tuple[str, ...]] = ()) -> tuple[str, ...]:
+    """Path of keys to the element whose content is the main text.  Elements
+    cleared of boilerplate (``opened``) are not chosen over text beside them."""
+    found: list[tuple[int, int, tuple[str, ...]]] = []
 
     def walk(node: Node, path: tuple[str, ...]) -> None:
         if node.noise:
@@ -259,6 +320,8 @@ def region(wrapper: Node) -> tuple[str, ...]:
         inner = max((c for c in node.children if c.name != "#"), key=mass, default=None)
         if inner is None or mass(inner) < 0.6 * whole or inner.name in ("p", "h1", "h2", "h3", "li", "pre", "td", "blockquote", "span") or inner.many:
             break
+        if (*path, inner.key) in opened and mass(inner) < mass(node):
+            break
         node, path = inner, (*path, inner.key)
     return path
 
@@ -299,8 +362,12 @@ def blocks(page: Node, path: tuple[str, ...]) -> str:
 
     if not enter(page, path) or not out:
         # The wrapper's region is optional and this page lacks it.
-        own = region(fold(page))
-        if own != path:
+        one = fold(page)
+        opened = cleared(one)
+        for at in opened:
+            clear(page, at)
+        own = region(one, opened)
+        if opened or own != path:
             out.clear()
             enter(page, own)
     return " ".join(out)
@@ -325,7 +392,12 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         trees = [parse(x) for x in table.column("html").to_pylist()]
-        path = region(infer(trees))
+        wrapper = infer(trees)
+        opened = cleared(wrapper)
+        for at in opened:
+            for t in trees:
+                clear(t, at)
+        path = region(wrapper, opened)
         text = [blocks(t, path) for t in trees]
         return pa.table(
             {"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(text, pa.string()), "n_chars": pa.array([len(t) for t in text], pa.int64())}
@@ -340,10 +412,11 @@ def wrappers(pages: DataFrame, group: int = GROUP) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         wrapper = infer([parse(x) for x in table.column("html").to_pylist()])
+        opened = cleared(wrapper)
         return pa.table(
             {
                 "host": table.column("host")[:1], "salt": table.column("salt")[:1], "n_pages": pa.array([table.num_rows], pa.int64()),
-                "wrapper": [wrapper.expression()], "region": [" > ".join(region(wrapper))],
+                "wrapper": [wrapper.expression()], "region": [" > ".join(region(wrapper, opened))],
             }
         )
 

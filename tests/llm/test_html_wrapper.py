@@ -36,6 +36,31 @@ def test_noise_words_after_the_first(spark, mark):
     assert texts(spark, rows) == {i: f"Text {i}" for i in range(3)}
 
 
+STORY = "Story {i} goes on, " + "word {i} " * 30
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<article class="legal">', "</article>"), ('<main class="has-comments">', "</main>"), ('<div role=main class=search>', "</div>"),
+    ('<div class="no-sidebar"><article>', "</article></div>"), ('<form method=post><input type=hidden>', "</form>"),
+    ('<div id="header-and-content"><div class=text>', "</div></div>"), ('<form><div class="page no-sidebar"><div class=x>', "</div></div></form>"),
+])
+@pytest.mark.parametrize("n", [1, 4])
+def test_main_text_in_elements_with_noise_words(spark, start, end, n):
+    rows = [(i, "http://k.l", page(i, f"{start}<h1>Head {i}</h1><p>{STORY.format(i=i)}</p><div class=comments>Nice {i}</div>{end}").replace("<body>", '<body class="no-sidebar">')) for i in range(n)]
+    assert texts(spark, rows) == {i: f"Head {i} {STORY.format(i=i).strip()}" for i in range(n)}
+
+
+def test_long_comments_are_not_the_article(spark):
+    rows = [(i, "http://k.l", page(i, f"<div class=text><p>{STORY.format(i=i)}</p></div><div class=comments><p>{STORY.format(i=i) * 4}</p></div>")) for i in range(4)]
+    assert texts(spark, rows) == {i: STORY.format(i=i).strip() for i in range(4)}
+
+
+@pytest.mark.parametrize("start, end", [('<div class="user comments">', "</div>"), ("<form>", "</form>")])
+def test_cleared_elements_do_not_displace_text_beside_them(spark, start, end):
+    rows = [(i, "http://k.l", page(i, f"<div class=text><p>Short {i}</p></div>{start}<p>{STORY.format(i=i) * 9}</p>{end}")) for i in range(4)]
+    assert all(t.startswith(f"Short {i} Story {i}") for i, t in texts(spark, rows).items())
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, "", ""), (3, "no url", "plain <b>text"), (4, "http://a.b/x", "<article>Lone"), (5, "HTTP://A.B:80/y", "<article>&lt;x&gt; &am &amp A&nbsp;B</article>"),
