@@ -217,19 +217,29 @@ def shape(node: Node) -> tuple:
     return (node.key, node.many, tuple(shape(c) for c in node.children))
 
 
+def merge(a: Node, b: Node) -> None:
+    """Take a folded page of the same shape up into ``a``."""
+    if a.text != b.text:
+        a.text = None
+    a.optional |= b.optional
+    a.size += b.size
+    for p, q in zip(a.children, b.children):
+        merge(p, q)
+
+
 def infer(pages: list[Node]) -> Node:
     """The wrapper of parsed pages: their folded expressions, aligned one
-    after the other.  A shape that the wrapper has taken up twice (so that its
-    differing texts are slots) has nothing to add."""
-    wrapper, seen = None, {}
+    after the other.  Pages of one shape need no alignment with each other:
+    all their texts and sizes are merged place by place first."""
+    shapes: dict[tuple, Node] = {}
     for page in pages:
         one = fold(page)
-        form = shape(one)
-        if wrapper is None:
-            wrapper = one
-        elif seen.get(form, 0) < 2:
-            wrapper = align(wrapper, one)
-        seen[form] = seen.get(form, 0) + 1
+        first = shapes.setdefault(shape(one), one)
+        if first is not one:
+            merge(first, one)
+    wrapper, *others = shapes.values()
+    for one in others:
+        wrapper = align(wrapper, one)
     return wrapper
 
 

@@ -92,6 +92,13 @@ def test_wrapper_is_union_free_and_generalises():
     assert "(<li>#PCDATA)+" in text and "(<p>opt)?" in text and "<h2>Same" in text and "<i>#PCDATA" in text and "|" not in text
 
 
+def test_every_page_of_a_shape_takes_part():
+    pages = [hw.parse(f"<div id=a><p>Story {max(0, i - 2)}</div><div id=b><p>Same</div>") for i in range(6)]
+    wrapper = hw.infer(pages)
+    assert "<p>#PCDATA" in wrapper.expression() and "<p>Same" in wrapper.expression()
+    assert wrapper.size == 6 * len("Story 0Same") and hw.region(wrapper) == ("div id=a",)
+
+
 @pytest.mark.parametrize("group", [64, 3])
 def test_real_pages_equal_a_direct_reading(spark, group):
     rows = spark.read.parquet(f"{SF_TINY}/pages.parquet")
