@@ -93,6 +93,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vector_file
+    from .common import table
+
+    return vector_file.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_wavelet_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fill_in_middle
+    from .common import table
+
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -132,10 +146,16 @@ FROM p LEFT JOIN k USING (payload_digest)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc, pipeline)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc, op12_va_clusters, op13_wavelet_fim, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import line_templates
-
-    return {"op3_exact_topk": TOPK_SQL, "op7_line_templates": line_templates.SQL, "op10_warc": WARC_SQL}
+    from . import fill_in_middle, line_templates, vector_file
+
+    return {
+        "op3_exact_topk": TOPK_SQL,
+        "op7_line_templates": line_templates.SQL,
+        "op10_warc": WARC_SQL,
+        "op12_va_clusters": vector_file.sql(),
+        "op13_wavelet_fim": fill_in_middle.SQL,
+    }
