@@ -93,6 +93,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import disclosure
+    from .common import table
+
+    return disclosure.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import vector_file
     from .common import table
@@ -146,7 +153,7 @@ FROM p LEFT JOIN k USING (payload_digest)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc, op12_va_clusters, op13_wavelet_fim, pipeline)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_suffix_array, op3_exact_topk, op4_language_id, op5_minhash_hamming, op6_order_minhash, op7_line_templates, op8_best_fit_packing, op9_html_extraction, op10_warc, op11_disclosure, op12_va_clusters, op13_wavelet_fim, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
