@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import text_or_empty, tidy, written
 
 BASE = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -205,7 +205,7 @@ def counts(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, COUNTS)
+    return docs.select(text_or_empty().alias("text")).mapInArrow(tidy(run), COUNTS)
 
 
 def disclosing(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
@@ -293,7 +293,7 @@ def sanitise(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT, clos
                 kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, kind), pa.array(clean, pa.string())], ["doc_id", "spans", "sanitised"])
 
-    return texts.mapInArrow(run, f"doc_id long, spans {SPANS}, sanitised string")
+    return texts.mapInArrow(tidy(run), f"doc_id long, spans {SPANS}, sanitised string")
 
 
 def terms_of(texts: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def terms_of(texts: DataFrame) -> DataFrame:
                 terms = sorted({w for w in map(str.lower, WORD.findall(text.as_py())) if len(w) >= LEAST})
                 yield pa.RecordBatch.from_arrays([pa.array([digest.as_py()] * len(terms), pa.string()), pa.array(terms, pa.string())], ["digest", "term"])
 
-    return texts.select("digest", "text").mapInArrow(run, "digest string, term string")
+    return texts.select("digest", "text").mapInArrow(tidy(run), "digest string, term string")
 
 
 def listed(spans: Column) -> Column:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_or_empty, tidy
 
 OTHER, BLANK, NEWLINE, STOP = range(4)
 CLASSES = {BLANK: " \t\x0b\x0c\r", NEWLINE: "\n", STOP: ".!?。！？"}
@@ -193,7 +193,7 @@ def transform(docs: DataFrame, unit: str = "line", rate: int = 100, spm_rate: in
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
+        tidy(run), "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
     )
 
 

@@ -10,11 +10,28 @@ pages: a semantic article or main element, else the element that holds most of
 the variable text outside boilerplate.  Every page's text is read from that
 region, whole.
 
-Boilerplate is told by element names and class words, but never for html, body,
-main, article, role=main and itemprop=articleBody.  A form with most of the
-text is no boilerplate; nor is another such element, where no article or main
-element is outside boilerplate, if it holds one with most of the text, or if
-ten times as much text as all that is outside boilerplate.
+Boilerplate is told by the wrapper, by element names and by class words, but
+never for html, body, main, article, role=main and itemprop=articleBody.
+
+- Wrapper: an element with a class or id of its own, all of whose text is the
+  same on every page of a group of at least ``DIFFERENT`` different pages, is
+  boilerplate, if the main region has other text that varies.  Bare elements
+  (a heading, a paragraph) stay even if all pages have them.
+- Names: ``SKIP`` elements go wherever they stand, so a header, footer, nav or
+  aside inside the article goes, with a heading that it holds.
+- Class words: an element goes if one of its class, id or role names consists
+  of ``NOISE`` words and ``PLACE`` words only (``comments-list``, ``ad-slot``).  A
+  name with any other word (``related-work``, ``search-algorithms``) says nothing
+  by itself.
+
+A form with most of the text is no boilerplate; nor is another such element,
+where no article or main element is outside boilerplate, if it holds one with
+most of the text, or if ten times as much text as all that is outside.
+
+Trees are at most ``DEEPEST`` levels deep: what is nested deeper is read in order
+as part of the last level.  Children are aligned by equal heads and tails, then
+by keys that both sides have once (longest increasing run), then in windows of
+``WINDOW``, so the cost grows with the children, not with their square.
 
 Hosts are dealt to groups of about ``GROUP`` pages by hash (a host with a
 third of all pages becomes many groups, each with a wrapper of its own), so
@@ -30,7 +47,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -40,6 +57,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 GROUP = 64  # pages aligned to one wrapper
+DIFFERENT = 3  # pages from which equal text is taken for the template's
+DEEPEST = 100  # levels of a tree
+WINDOW = 64  # children between which no key is unique, aligned at once
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+)|(<)", re.S)
 MARK = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,12 +88,19 @@ NOISE = frozenset(
     "menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related reply replies search share sharing sidebar "
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
+# Words that only say where or what kind of box something is.
+PLACE = frozenset(
+    "area bar block bottom box button buttons center col column container content fixed form group icon icons inner item items label left link links list main "
+    "message messages mobile narrow outer page panel post posts primary reader readers right row secondary section signup site slot sticky text thread title top unit user users "
+    "wide wrap wrapper zone".split()
+)
 # Elements and marks that hold main text whatever their class words, and
 # boilerplate that never does whatever it holds.
 MAIN = frozenset("html body main article".split())
 MAIN_MARKS = frozenset([("role", "main"), ("itemprop", "articlebody")])
 NEVER = SKIP - frozenset("aside dialog footer form header menu nav".split())
 WORDS = re.compile(r"[a-z]+")
+NAMES = re.compile(r"[^\s]+")
 SPACE = re.compile(r"\s+")
 
 
@@ -98,10 +125,28 @@ class Node:
         return f"({body}){mark}" if mark else body
 
 
+def says_noise(name: str) -> bool:
+    """Whether a class, id or role name is made of noise and place words."""
+    words = WORDS.findall(name)
+    return not NOISE.isdisjoint(words) and all(w in NOISE or w in PLACE for w in words)
+
+
+def close(stack: list[tuple[str, Node]], i: int) -> None:
+    """Close the open elements from the i-th on.  Below the deepest level an
+    end is marked by an empty element, so that blocks stay apart."""
+    if len(stack) > DEEPEST + 1:
+        name, _ = stack[max(i, DEEPEST + 1)]
+        stack[DEEPEST][1].children.append(Node(name, name))
+    del stack[i:]
+
+
 def parse(html: str) -> Node:
     """The element tree of a page."""
     root = Node("", "")
-    stack, at = [root], 0
+    # Open elements: name, and the node that takes their content.  Below the
+    # deepest level that is the last one's node, or a lost one for boilerplate.
+    stack: list[tuple[str, Node]] = [("", root)]
+    at = 0
     while at < len(html):
         m = TOKEN.match(html, at)
         at = m.end()
@@ -110,38 +155,39 @@ def parse(html: str) -> Node:
             name = name.lower()
             if closing:
                 for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == name:
-                        del stack[i:]
+                    if stack[i][0] == name:
+                        close(stack, i)
                         break
-                    if name not in SCOPE and stack[i].name in SCOPE:
+                    if name not in SCOPE and stack[i][0] in SCOPE:
                         break
                 continue
             shut = CLOSES.get(name)
             if shut:
                 for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name in shut:
-                        del stack[i:]
+                    if stack[i][0] in shut:
+                        close(stack, i)
                         break
-                    if stack[i].name in SCOPE:
+                    if stack[i][0] in SCOPE:
                         break
             found = [(k.lower(), (a or b or c).lower()) for k, a, b, c in MARK.findall(rest)] if rest else []
             marks = " ".join(sorted(f"{k}={v}" for k, v in found))
-            words = set(WORDS.findall(" ".join(v for _, v in found))) if found else ()
             held = name in MAIN or not MAIN_MARKS.isdisjoint(found)
-            node = Node(f"{name} {marks}".strip(), name, name in SKIP or not held and not NOISE.isdisjoint(words))
-            stack[-1].children.append(node)
+            node = Node(f"{name} {marks}".strip(), name, name in SKIP or not held and any(says_noise(x) for _, v in found for x in NAMES.findall(v)))
+            stack[-1][1].children.append(node)
             if name not in VOID and not rest.rstrip().endswith("/"):
                 if name in RAW:  # its content is text up to its end tag
                     end = END[name].search(html, at)
                     stop = end.start() if end else len(html)
                     node.children.append(Node("#", "#", text=html[at:stop]))
                     at = end.end() if end else stop
+                elif len(stack) <= DEEPEST:
+                    stack.append((name, node))
                 else:
-                    stack.append(node)
+                    stack.append((name, Node("", "") if node.noise else stack[-1][1]))
         elif text or lone:
-            stack[-1].children.append(Node("#", "#", text=text or lone))
+            stack[-1][1].children.append(Node("#", "#", text=text or lone))
         elif m.group().startswith("<![CDATA["):
-            stack[-1].children.append(Node("#", "#", text=m.group()[9:].removesuffix("]]>").replace("&", "&amp;")))
+            stack[-1][1].children.append(Node("#", "#", text=m.group()[9:].removesuffix("]]>").replace("&", "&amp;")))
     return root
 
 
@@ -178,18 +224,17 @@ def align(a: Node, b: Node) -> Node:
     if [c.key for c in x] == [c.key for c in y]:
         out.children = [align(p, q) for p, q in zip(x, y)]
         return out
-    # Longest common subsequence of keys; what only one side has is optional.
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i].key == y[j].key else max(best[i + 1][j], best[i][j + 1])
+    # What only one side has is optional.
+    pairs = iter([*common([c.key for c in x], [c.key for c in y]), (len(x), len(y))])
+    p, q = next(pairs)
     i = j = 0
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i].key == y[j].key:
+        if i == p and j == q:
             out.children.append(align(x[i], y[j]))
             i, j = i + 1, j + 1
+            p, q = next(pairs)
             continue
-        if j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
+        if i < p:
             only, i = x[i], i + 1
         else:
             only, j = y[j], j + 1
@@ -206,6 +251,82 @@ def align(a: Node, b: Node) -> Node:
     return out
 
 
+def common(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Positions of a common subsequence of two key lists: equal heads and
+    tails, between them the longest increasing run of keys that both have once,
+    between those a longest common subsequence of short windows."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(x), 0, len(y), True)]
+    while todo:
+        a, b, c, d, unique = todo.pop()
+        while a < b and c < d and x[a] == y[c]:
+            out.append((a, c))
+            a, c = a + 1, c + 1
+        while a < b and c < d and x[b - 1] == y[d - 1]:
+            b, d = b - 1, d - 1
+            out.append((b, d))
+        if a == b or c == d:
+            continue
+        if unique:
+            run = once(x, a, b, y, c, d)
+            ends = [(a - 1, c - 1), *run, (b, d)]
+            out += run
+            todo += [(p + 1, r, q + 1, s, False) for (p, q), (r, s) in zip(ends, ends[1:])]
+            continue
+        while a < b and c < d:
+            out += longest(x, a, min(b, a + WINDOW), y, c, min(d, c + WINDOW))
+            a, c = a + WINDOW, c + WINDOW
+    return sorted(out)
+
+
+def once(x: list[str], a: int, b: int, y: list[str], c: int, d: int) -> list[tuple[int, int]]:
+    """Longest increasing run of the positions of keys that stand once in both
+    ranges (patience sorting)."""
+    place: dict[str, list[int]] = {}
+    for i in range(a, b):
+        place.setdefault(x[i], [0, 0, 0, 0])[0] += 1
+        place[x[i]][1] = i
+    for j in range(c, d):
+        if y[j] in place:
+            place[y[j]][2] += 1
+            place[y[j]][3] = j
+    pairs = sorted((i, j) for n, i, m, j in place.values() if n == m == 1)
+    piles: list[int] = []  # least last position of a run of each length
+    held: list[tuple[int, int]] = []  # (index in pairs, index of the one before)
+    tops: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(piles, j)
+        held.append((k, tops[at - 1] if at else -1))
+        if at == len(piles):
+            piles.append(j)
+            tops.append(k)
+        else:
+            piles[at], tops[at] = j, k
+    out, k = [], tops[-1] if tops else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = held[k][1]
+    return out[::-1]
+
+
+def longest(x: list[str], a: int, b: int, y: list[str], c: int, d: int) -> list[tuple[int, int]]:
+    """Longest common subsequence of two short ranges."""
+    best = [[0] * (d - c + 1) for _ in range(b - a + 1)]
+    for i in range(b - a - 1, -1, -1):
+        for j in range(d - c - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if x[a + i] == y[c + j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < b - a and j < d - c:
+        if x[a + i] == y[c + j]:
+            out.append((a + i, c + j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def copy(node: Node) -> Node:
     out = Node(node.key, node.name, node.noise, node.text)
     out.children, out.many, out.optional, out.size = node.children, node.many, node.optional, node.size
@@ -297,6 +418,45 @@ def cleared(wrapper: Node) -> list[tuple[str, ...]]:
         paths.append(found[1])
 
 
+def fixed(wrapper: Node, path: tuple[str, ...]) -> set[tuple[str, ...]]:
+    """Paths of marked elements in the region whose text is the same on every
+    page, where other text of the region varies."""
+    out: set[tuple[str, ...]] = set()
+    nodes = [wrapper]
+    for key in path:
+        nodes = [c for n in nodes for c in n.children if c.key == key and not c.noise]
+
+    def varies(node: Node) -> bool:
+        if node.name == "#":
+            return node.text is None
+        return not node.noise and any([varies(c) for c in node.children])
+
+    def walk(node: Node, at: tuple[str, ...]) -> None:
+        for c in node.children:
+            if c.name == "#" or c.noise or c.optional:  # on some pages only
+                continue
+            if " " in c.key and c.name in BLOCK and c.size and not c.many and not strength(c) and not varies(c):
+                out.add((*at, c.key))
+            else:
+                walk(c, (*at, c.key))
+
+    if any([varies(n) for n in nodes]):
+        for n in nodes:
+            walk(n, path)
+    return out
+
+
+def drop(page: Node, paths: set[tuple[str, ...]]) -> None:
+    """Mark the elements at some paths as boilerplate."""
+    first = {p[0] for p in paths}
+    for c in page.children:
+        if c.key in first:
+            if (c.key,) in paths:
+                c.noise = True
+            else:
+                drop(c, {p[1:] for p in paths if p[0] == c.key})
+
+
 def clear(page: Node, path: tuple[str, ...]) -> None:
     """Mark the elements at a path as no boilerplate."""
     for c in page.children:
@@ -401,13 +561,17 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 
     def run(table: pa.Table) -> pa.Table:
-        trees = [parse(x) for x in table.column("html").to_pylist()]
+        texts = table.column("html").to_pylist()
+        trees = [parse(x) for x in texts]
         wrapper = infer(trees)
         opened = cleared(wrapper)
         for at in opened:
             for t in trees:
                 clear(t, at)
         path = region(wrapper, opened)
+        if len(set(texts)) >= DIFFERENT and (same := fixed(wrapper, path)):
+            for t in trees:
+                drop(t, same)
         text = [blocks(t, path) for t in trees]
         return pa.table(
             {"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(text, pa.string()), "n_chars": pa.array([len(t) for t in text], pa.int64())}

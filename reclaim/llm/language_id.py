@@ -8,7 +8,8 @@ lower-cased, every run of non-letters is one space; 1- to 3-grams are hashed to
    sends one count per bucket.
 2. Training: follow-the-regularised-leader (proximal) with elastic-net
    penalties on a bounded sample, at most ``SAMPLE`` documents of each label
-   (about those with the smallest hash of doc_id), in one task of bounded size.
+   (about those with the smallest hash of doc_id and text), in one task of
+   bounded size, however often a row is repeated.
 3. Calibration: a temperature fitted on a fifth of the sample that training
    left out.
 4. Prediction: every whole text, streamed; the model (BUCKETS x labels) is the
@@ -32,9 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import in_worker, tidy
+
 BUCKETS = 1 << 14
 SAMPLE = 800  # learning documents of a label, at most
 EPOCHS = 4
@@ -151,7 +155,7 @@ def document_frequencies(learn: DataFrame, buckets: int) -> tuple[np.ndarray, in
     """Documents that hold each bucket, over all of ``learn``, and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, df, n = Grams(buckets), np.zeros(buckets, np.int64), 0
+        grams, df, n = in_worker(("grams", buckets), lambda: Grams(buckets)), np.zeros(buckets, np.int64), 0
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 texts = batch.column(0).slice(at, DOCS).to_pylist()
@@ -161,7 +165,7 @@ def document_frequencies(learn: DataFrame, buckets: int) -> tuple[np.ndarray, in
             some = np.flatnonzero(df)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(df[some], n), pa.int64())], ["bucket", "n"])
 
-    rows = learn.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # at most buckets + 1 rows
+    rows = learn.select("text").mapInArrow(tidy(run), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # at most buckets + 1 rows
     out = np.zeros(buckets, np.int64)
     n = 0
     for b, c in rows:
@@ -183,16 +187,17 @@ class Model:
         out = [np.bincount(doc, value * self.weights[bucket, c], minlength=n) for c in range(len(self.labels))]
         return np.stack(out, 1) + self.weights[-1]
 
-    def predict(self, grams: Grams, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Label and calibrated probability of each text."""
+    def predict(self, grams: Grams, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Label, calibrated probability and whether it has a letter, of each
+        text."""
         doc, bucket, count = grams.counts(texts)
         empty = np.bincount(doc, minlength=len(texts)) == 0
         if not self.labels:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), ~empty
         p = softmax(self.logits(doc, bucket, count, len(texts)) / self.heat)
         best = p.argmax(1)
         score = np.where(empty, 0.0, p[np.arange(len(texts)), best])
-        return [UNKNOWN if e else self.labels[b] for e, b in zip(empty, best)], score
+        return [UNKNOWN if e else self.labels[b] for e, b in zip(empty, best)], score, ~empty
 
 
 def train(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Model:
@@ -204,15 +209,19 @@ def train(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mode
     if not n:
         return Model([], np.zeros(buckets), np.zeros((buckets + 1, 0)), 1.0)
     idf = np.log((1 + n) / (1 + df)) + 1
-    # A hash threshold of each label leaves somewhat more than the sample; the
-    # training task keeps the smallest hashes.
-    sizes = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per label
-    cut = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1 << 30, int((1 << 30) * (sample + 4 * sample**0.5) / n) + 1))])
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    rows = learn.where(mark < F.element_at(cut, F.col("lang"))).withColumn("mark", mark)
+    # A hash threshold of each label leaves somewhat more than the sample, but
+    # no less than the rows of the smallest hash; equal rows have one hash, so a
+    # window (cut on the map side) bounds what they bring.
+    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    most = int(sample + 8 * sample**0.5)
+    sizes = learn.groupBy("lang").agg(F.count("*").alias("n"), F.min(mark).alias("low")).collect()  # a row per label
+    cut = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, max(r.low + 1, min(1 << 30, int((1 << 30) * (sample + 4 * sample**0.5) / r.n) + 1)))])
+    rows = learn.withColumn("mark", mark).where(F.col("mark") < F.element_at(cut, F.col("lang")))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("mark", "doc_id", "text"))
+    rows = rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(buckets)
+        grams = in_worker(("grams", buckets), lambda: Grams(buckets))
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 part = batch.slice(at, DOCS)
@@ -244,12 +253,14 @@ def train(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mode
         return pa.table({"labels": pa.array([labels], pa.list_(pa.string())), "weights": [weights.astype("<f8").tobytes()], "heat": [heat]})
 
     got = (
-        rows.mapInArrow(features, "doc_id long, lang string, mark long, bucket array<int>, count array<int>")
+        rows.mapInArrow(tidy(features), "doc_id long, lang string, mark long, bucket array<int>, count array<int>")
         .withColumn("all", F.lit(0))
         .groupBy("all")
         .applyInArrow(learn_all, "labels array<string>, weights binary, heat double")
         .first()
     )
+    if got is None:
+        return Model([], idf, np.zeros((buckets + 1, 0)), 1.0)
     return Model(list(got.labels), idf, np.frombuffer(got.weights, "<f8").reshape(buckets + 1, -1), got.heat)
 
 
@@ -257,14 +268,14 @@ def predict(docs: DataFrame, model: Model, buckets: int = BUCKETS) -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(buckets)
+        grams = in_worker(("grams", buckets), lambda: Grams(buckets))
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 part = batch.slice(at, DOCS)
-                label, score = model.predict(grams, [t or "" for t in part.column(1).to_pylist()])
+                label, score, _ = model.predict(grams, [t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(label, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> DataFrame:
@@ -273,20 +284,25 @@ def identify(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> D
     return predict(base, train(base, buckets, sample), buckets).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+ADDED = {"lang_pred": T.StringType(), "lang_score": T.DoubleType(), "lang_letters": T.BooleanType(), "lang_labels": T.IntegerType()}
+
+
 def scored(docs: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with lang_pred and lang_score (clashing columns are replaced):
-    rows keep their other columns, without a join."""
+    """``docs`` with lang_pred, lang_score, lang_letters (whether the text has
+    a letter) and lang_labels (labels that were learned); clashing columns are
+    replaced.  Rows keep their other columns, without a join."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     model = train(base, buckets, sample)
-    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
-    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+    names = [c for c in docs.columns if c not in ADDED]
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(c, kind) for c, kind in ADDED.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(buckets)
+        grams = in_worker(("grams", buckets), lambda: Grams(buckets))
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 part = batch.slice(at, DOCS)
-                label, score = model.predict(grams, [t or "" for t in part.column(names.index("text")).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(label, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "lang_score"])
+                label, score, letters = model.predict(grams, [t or "" for t in part.column(names.index("text")).to_pylist()])
+                added = [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(letters), pa.array([len(model.labels)] * len(label), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*names, *ADDED])
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(tidy(run), schema)

@@ -10,12 +10,15 @@ variable field; lines that agree with at least ``LIKE`` of the constants
 its own.  A template found in ``MIN_DOCS`` different documents recurs: its
 first line (smallest doc_id, then line number) stays, all others are dropped.
 
-With ``fixed`` above 0, variable fields never stand for the content of a line:
-a line is masked only if that share of its tokens and of its bytes is constant,
-and follows its leaf's template only if that share of its tokens and bytes
-after the leading ones equals constants of the template; else the unmasked
-line is compared.  The pipeline uses ``FIXED``; the query follows its SQL,
-which has no such rule.
+Variable fields never stand for the content of a line: a line is masked only if
+more than the share ``FIXED`` of its tokens, and that share of its bytes, is
+constant (``header 3`` stays as it is), and follows its
+leaf's template only if that share of its tokens and bytes after the leading
+ones equals constants of the template; else the unmasked line is compared.
+
+Long lines need no template: a line of at least ``LONG`` bytes (single spaces)
+that stands unmasked in two different documents stays where it is first, and is
+dropped everywhere else (``long=None`` leaves such lines to other operators).
 
 Rows that travel are hashes, not lines; hot lines are pre-aggregated before
 every shuffle, and the joins on templates read written tables, so that skewed
@@ -39,6 +42,7 @@ DEPTH = 3
 MIN_DOCS = 10
 LIKE = 0.7
 FIXED = 0.5
+LONG = 200  # bytes of a line that recurs from two documents on
 FIELD = "<*>"
 # Runs of blanks that are not one space; tokens with a digit, tried at token
 # starts only.  Neither looks at ordinary text more than once.
@@ -52,10 +56,10 @@ def flattened(line: Column) -> Column:
     return F.trim(F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
 
 
-def masked(line: str | Column) -> Column:
-    """The flattened line, variable fields masked."""
-    line = F.col(line) if isinstance(line, str) else line
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(flattened(line), VARIABLE, FIELD)).otherwise(flattened(line))
+def masked(flat: str | Column) -> Column:
+    """A flattened line, variable fields masked."""
+    flat = F.col(flat) if isinstance(flat, str) else flat
+    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, VARIABLE, FIELD)).otherwise(flat)
 
 
 def tokens_of(form: Column) -> Column:
@@ -68,25 +72,26 @@ def unspaced(line: Column) -> Column:
 
 
 def form_of(flat: Column, form: Column, fixed: float) -> Column:
-    """The masked line, or the unmasked one where less than ``fixed`` of the
-    tokens or bytes is constant."""
+    """The masked line, or the unmasked one where no more than ``fixed`` of the
+    tokens, or less of the bytes, is constant."""
     constant = F.replace(form, F.lit(FIELD), F.lit(""))
     fields = (F.octet_length(form) - F.octet_length(constant)) / len(FIELD)
-    enough = (fields <= F.lit(1 - fixed) * tokens_of(form)) & (unspaced(constant) >= F.lit(fixed) * unspaced(flat))
+    enough = (fields < F.lit(1 - fixed) * tokens_of(form)) & (unspaced(constant) >= F.lit(fixed) * unspaced(flat))
     return F.when((flat == form) | enough, form).otherwise(flat)
 
 
-def lines_of(docs: DataFrame, fixed: float = 0.0) -> DataFrame:
-    """doc_id, line, form (masked text) of every line that is not blank.
-    Lines are masked before they become rows, so that no filter on the form
-    masks them a second time."""
-    forms = F.transform(F.split("text", "\n"), masked)
-    if fixed:
-        flat = F.transform(F.split("text", "\n"), flattened)
-        forms = F.zip_with(flat, forms, lambda a, b: form_of(a, b, fixed))
+def lines_of(docs: DataFrame, fixed: float = FIXED, long: int | None = LONG) -> DataFrame:
+    """doc_id, line, form (masked text) and exact (hash of a long unmasked
+    line) of every line that is not blank.  Lines are masked before they become
+    rows, and step by step, so that none is masked twice."""
+    flat = F.transform(F.split("text", "\n"), flattened)
+    pairs = F.transform(flat, lambda f: F.struct(f.alias("flat"), masked(f).alias("form")))
+    exact = lambda f: F.when(F.octet_length(f) >= long, F.xxhash64(f)) if long else F.lit(None).cast("long")
+    rows = F.transform(pairs, lambda p: F.struct((form_of(p["flat"], p["form"], fixed) if fixed else p["form"]).alias("form"), exact(p["flat"]).alias("exact")))
     return (
         docs.where(F.col("doc_id").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(forms).alias("line", "form"))
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(rows).alias("line", "row"))
+        .select("doc_id", "line", "row.form", "row.exact")
         .where(F.col("form") != "")
     )
 
@@ -120,7 +125,8 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
     # Most documents first, then the smaller token; the leading ones are constant by the tree.
     share = places.groupBy("leaf", "place").agg(F.min(F.struct((-F.col("docs")).alias("minus"), "token")).alias("top"), F.sum("docs").alias("all"))
     constant = share.where(-2 * F.col("top.minus") >= F.col("all")).select("leaf", "place", F.col("top.token").alias("token"))
-    leaf_form = constant.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants"))
+    # Written, so that the join with the lines of a hot leaf can be split.
+    leaf_form = written(constant.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constants")), "leaf-forms")
     equal = F.size(F.filter(F.col("tokens"), lambda t, i: t == F.element_at("constants", i)))
     follows = equal >= F.lit(like) * F.size("tokens")
     if fixed:
@@ -131,23 +137,30 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
     return forms.join(leaf_form, "leaf").where(follows).select("pattern", F.xxhash64("leaf", F.lit("leaf")).alias("template"))
 
 
-def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = 0.0) -> DataFrame:
-    """(doc_id, line) of every line to drop."""
-    rows = written(parsed(lines_of(docs, fixed), depth).select("doc_id", "line", "pattern", "leaf"), "lines")
+def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = FIXED, long: int | None = LONG) -> DataFrame:
+    """(doc_id, line) of every line to drop; a line may be listed twice."""
+    rows = written(parsed(lines_of(docs, fixed, long), depth).select("doc_id", "line", "pattern", "leaf", "exact"), "lines")
     general = written(generalised(docs, rows, depth, min_docs, like, fixed), "templates")
-    assigned = written(
-        rows.select("doc_id", "line", "pattern").join(general, "pattern", "left").select("doc_id", "line", F.coalesce("template", "pattern").alias("template")), "assigned"
-    )
-    often = support(assigned, "template").where(F.col("docs") >= min_docs).select("template")
-    first = assigned.groupBy("template").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    assigned = rows.select("doc_id", "line", "pattern").join(general, "pattern", "left").select("doc_id", "line", F.coalesce("template", "pattern").alias("template"))
+    if not long:
+        return again(written(assigned, "assigned"), min_docs)
+    exact = rows.where(F.col("exact").isNotNull()).select("doc_id", "line", F.col("exact").alias("template"))
+    return again(written(assigned, "assigned"), min_docs).unionByName(again(exact, 2))
+
+
+def again(rows: DataFrame, min_docs: int) -> DataFrame:
+    """Lines (doc_id, line, template) of templates of so many documents, but
+    for each one's first."""
+    often = support(rows, "template").where(F.col("docs") >= min_docs).select("template")
+    first = rows.groupBy("template").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     dropped = written(first.join(often, "template", "left_semi"), "recurring")
-    return assigned.join(dropped, "template").where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line")
+    return rows.join(dropped, "template").where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line")
 
 
-def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = 0.0) -> DataFrame:
+def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = FIXED, long: int | None = LONG) -> DataFrame:
     """``docs`` without the lines of recurring templates, all columns kept,
     and columns n_lines and n_dropped (clashing ones are replaced)."""
-    gone = recurring_lines(docs, depth, min_docs, like, fixed).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone_lines"))
+    gone = recurring_lines(docs, depth, min_docs, like, fixed, long).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone_lines"))
     gone = written(gone, "dropped-lines")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone_lines", i)), "\n")
@@ -175,19 +188,27 @@ def digests(docs: DataFrame) -> DataFrame:
 SQL = f"""
 WITH raw AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
-), l AS (
-  SELECT doc_id, i - 1 AS line,
-         regexp_replace(trim(regexp_replace(ls[i], '[ \\t\\r\\f\\x0B]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '{FIELD}', 'g') AS form
+), split AS (
+  SELECT doc_id, i - 1 AS line, trim(regexp_replace(ls[i], '[ \\t\\r\\f\\x0B]+', ' ', 'g'), ' ') AS flat
   FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM raw WHERE doc_id IS NOT NULL)
+), mask AS (
+  SELECT *, regexp_replace(flat, '[^ ]*[0-9][^ ]*', '{FIELD}', 'g') AS masked FROM split WHERE flat <> ''
+), share AS (
+  SELECT *, replace(masked, '{FIELD}', '') AS constant, len(string_split(masked, ' ')) AS n_tokens FROM mask
+), l AS (
+  SELECT doc_id, line, flat,
+         CASE WHEN (strlen(masked) - strlen(constant)) / {len(FIELD)} < CAST({1 - FIXED} AS DOUBLE) * n_tokens
+               AND strlen(replace(constant, ' ', '')) >= CAST({FIXED} AS DOUBLE) * strlen(replace(flat, ' ', '')) THEN masked ELSE flat END AS form
+  FROM share
 ), n AS (
-  SELECT *, string_split(form, ' ') AS tokens FROM l WHERE form <> ''
+  SELECT *, string_split(form, ' ') AS tokens FROM l
 ), p AS (
   SELECT *, len(tokens) || chr(1) || array_to_string(tokens[1:{DEPTH}], chr(1)) AS leaf FROM n
 ), busy AS (
   SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= {MIN_DOCS} AND count(DISTINCT form) > 1
 ), forms AS (
   SELECT leaf, form, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs
-  FROM p WHERE len(tokens) > {DEPTH} AND leaf IN (SELECT leaf FROM busy) GROUP BY leaf, form
+  FROM p WHERE len(tokens) > {DEPTH} AND NOT regexp_matches(form, '[0-9]') AND leaf IN (SELECT leaf FROM busy) GROUP BY leaf, form
 ), places AS (
   SELECT leaf, i, tokens[i] AS token, sum(docs) AS docs
   FROM (SELECT leaf, docs, tokens, unnest(generate_series(1, len(tokens))) AS i FROM forms) GROUP BY ALL
@@ -195,14 +216,24 @@ WITH raw AS (
   SELECT leaf, i, token FROM (
     SELECT *, row_number() OVER (PARTITION BY leaf, i ORDER BY docs DESC, token) AS r, sum(docs) OVER (PARTITION BY leaf, i) AS whole FROM places
   ) WHERE r = 1 AND 2 * docs >= whole
+), agreeing AS (
+  SELECT f.leaf, f.form, count(*) AS equal, len(any_value(f.tokens)) AS n_tokens,
+         count(*) FILTER (c.i > {DEPTH} AND c.token <> '{FIELD}') AS later,
+         coalesce(sum(strlen(c.token)) FILTER (c.i > {DEPTH} AND c.token <> '{FIELD}'), 0) AS later_bytes,
+         strlen(array_to_string(any_value(f.tokens)[{DEPTH + 1}:], '')) AS all_bytes
+  FROM forms f JOIN constant c ON c.leaf = f.leaf AND f.tokens[c.i] = c.token
+  GROUP BY f.leaf, f.form
 ), general AS (
-  SELECT f.leaf, f.form FROM forms f JOIN constant c ON c.leaf = f.leaf AND f.tokens[c.i] = c.token
-  GROUP BY f.leaf, f.form, len(f.tokens) HAVING count(*) >= CAST({LIKE} AS DOUBLE) * len(f.tokens)
+  SELECT leaf, form FROM agreeing
+  WHERE equal >= CAST({LIKE} AS DOUBLE) * n_tokens AND later >= CAST({FIXED} AS DOUBLE) * (n_tokens - {DEPTH})
+    AND later_bytes >= CAST({FIXED} AS DOUBLE) * all_bytes
 ), assigned AS (
-  SELECT p.doc_id, p.line, CASE WHEN g.form IS NULL THEN 'form ' || p.form ELSE 'leaf ' || p.leaf END AS template
+  SELECT p.doc_id, p.line, CASE WHEN g.form IS NULL THEN 'form ' || p.form ELSE 'leaf ' || p.leaf END AS template, {MIN_DOCS} AS least
   FROM p LEFT JOIN general g ON g.form = p.form
+  UNION ALL
+  SELECT doc_id, line, 'exact ' || flat, 2 FROM l WHERE strlen(flat) >= {LONG}
 ), often AS (
-  SELECT template, min(struct_pack(d := doc_id, l := line)) AS first FROM assigned GROUP BY template HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+  SELECT template, min(struct_pack(d := doc_id, l := line)) AS first FROM assigned GROUP BY template HAVING count(DISTINCT doc_id) >= min(least)
 ), gone AS (
   SELECT a.doc_id, list(DISTINCT a.line) AS lines FROM assigned a JOIN often USING (template)
   WHERE struct_pack(d := a.doc_id, l := a.line) <> often.first GROUP BY a.doc_id

@@ -29,8 +29,9 @@ confirmed links; all rounds are DataFrame joins on written tables.
 
 Cases: null text and texts without words have an empty set and are linked with
 nothing; a text of fewer than five words is one shingle; equal texts and
-repeated rows share a class; rows with one doc_id are one document; a null
-doc_id is linked like others, but never gives a component its id; extra
+repeated rows share a class; rows with one doc_id and different texts are
+linked each by its own text; a null doc_id is linked like others, but gives a
+component no id (a component of such rows alone has the id null); extra
 columns are ignored; an empty table gives no rows.
 """
 
@@ -40,17 +41,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import tidy, written
 from .shingles import batches_of, mix, shingle_sets
 
 WORDS = 5
 PERCENT = 75
 VALUES, CHUNKS = 48, 12
 DISTANCE = 2 * CHUNKS - 1
+TEN_19 = 10**19  # over any id
 BLOCK = 1024  # members of a block
 COLUMNS = 8192  # shingles multiplied at a time
 ODD = np.random.default_rng(5).integers(1, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
@@ -65,12 +66,17 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (mix(best) >> np.uint64(48)).astype("<u2")
 
 
+def text_hash(text: str = "text") -> Column:
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def base(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), text_hash().alias("row"))
 
 
 def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n, s1, s2 (fingerprint of the set), sig."""
+    """doc_id, row (hash of the text), n, s1, s2 (fingerprint of the set), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,15 +86,16 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
+                        batch.column(2).slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                         pa.array(np.array([mix(s * ODD[0]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                         pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n", "s1", "s2", "sig"],
+                    ["doc_id", "row", "n", "s1", "s2", "sig"],
                 )
 
-    return base(docs).mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sig binary")
+    return base(docs).mapInArrow(tidy(run), "doc_id long, row long, n long, s1 long, s2 long, sig binary")
 
 
 def listed(classes: DataFrame) -> DataFrame:
@@ -106,7 +113,7 @@ def listed(classes: DataFrame) -> DataFrame:
                 keys[:, :, out] = (np.arange(CHUNKS) * 4 + out)[None, :] << 48 | x << 32 | y << 16 | z
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), 4 * CHUNKS))], ["key", "id"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long")
+    return classes.select("id", "sig").mapInArrow(tidy(run), "key long, id long")
 
 
 def distance(a: list[bytes], b: list[bytes]) -> np.ndarray:
@@ -114,8 +121,8 @@ def distance(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return (x != y).sum(1)
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
-    """(id, items): the shingle sets of the documents listed in ``ids``."""
+def whole_sets(docs: DataFrame, chosen: DataFrame, words: int = WORDS) -> DataFrame:
+    """(id, items): the shingle sets of the classes in ``chosen`` (id, doc, row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,8 +135,9 @@ def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame
                 )
 
     # The same join at every size: texts are shuffled once.
-    chosen = base(docs).join(ids.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    return written(chosen.mapInArrow(run, "id long, items array<long>"), "sets")
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("d.row") == F.col("c.row"))
+    texts = base(docs).alias("d").join(chosen.select("id", "doc", "row").alias("c").hint("merge"), same).select("id", "text")
+    return written(texts.mapInArrow(tidy(run), "id long, items array<long>"), "sets")
 
 
 def common_counts(sets: DataFrame, ids: DataFrame | None = None) -> DataFrame:
@@ -162,7 +170,7 @@ def close(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataF
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
 
     both = pairs.join(left, "a").join(right, "b").where(may_link(F.col("na"), F.col("ca"), F.col("nb"), F.col("cb"), percent))
-    return both.select("a", "b", "siga", "sigb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "siga", "sigb").mapInArrow(tidy(run), "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -299,16 +307,18 @@ def links_in_clusters(clusters: DataFrame, sets: DataFrame, percent: int = PERCE
                 group.append(((cluster, i, j), mine, doc, component, flat[ends[k] : ends[k + 1]].copy()))
         yield done()
 
-    return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long")
+    return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(tidy(run), "a long, b long")
 
 
 def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Components (id, component) of the classes that are linked."""
-    # Sets of one or two shingles are linked with equal sets only.
-    key = W.partitionBy("key")
-    lists = listed(classes.where("n > 2")).select("key", "id", F.count("*").over(key).alias("members"))
-    lists = written(lists.where("members > 1").drop("members"), "lists")
-    sets = whole_sets(docs, lists.select("id").distinct(), words)
+    # Sets of one or two shingles are linked with equal sets only.  Lists are
+    # counted and summed up on the map side first, and joined as written
+    # tables, so that a list with a third of all classes can be split.
+    every = written(listed(classes.where("n > 2")), "every-list")
+    several = written(every.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "several")
+    lists = written(every.join(several, "key", "left_semi"), "lists")
+    sets = whole_sets(docs, classes.join(lists.select("id").distinct(), "id", "left_semi"), words)
 
     def with_common(common: DataFrame) -> DataFrame:
         """Classes that may be linked with any other."""
@@ -316,11 +326,14 @@ def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: i
         return written(some.select("id", "n", "c", "sig"), "linkable")
 
     members = with_common(common_counts(sets))
-    lists = lists.join(members.select("id", (F.col("n") - F.col("c")).alias("own")), "id")
-    # The most central member of each list, and the most central of all its lists.
-    center = F.min(F.struct("own", "id")).over(key).alias("center")
-    first = lists.select("key", "id", center).groupBy("id").agg(F.min("center").alias("low"), F.max("center").alias("high"))
-    tries = first.select(F.explode(F.array_distinct(F.array("low.id", "high.id"))).alias("a"), F.col("id").alias("b")).where("a <> b")
+    lists = written(lists.join(members.select("id", (F.col("n") - F.col("c")).alias("own")), "id"), "linkable-lists")
+    # The most central member of each list, and the most central of all its
+    # lists; own and id as one number, so that the aggregates hash.
+    central = F.col("own").cast("decimal(38,0)") * F.lit(str(TEN_19)).cast("decimal(20,0)") + F.col("id")
+    centers = written(lists.groupBy("key").agg(F.min(central).alias("center")), "centers")
+    first = lists.join(centers, "key").groupBy("id").agg(F.min("center").alias("low"), F.max("center").alias("high"))
+    of = [F.pmod(F.col(c), F.lit(str(TEN_19)).cast("decimal(20,0)")).cast("long") for c in ("low", "high")]
+    tries = first.select(F.explode(F.array_distinct(F.array(*of))).alias("a"), F.col("id").alias("b")).where("a <> b")
     tries = written(close(tries, members, percent), "tries")
     links = written(confirmed(tries, sets, percent), "links-1")
     component = connected(links)
@@ -333,9 +346,28 @@ def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: i
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
+    return rows_of(docs, words, percent).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def rows_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, row (hash of the text), n_shingles, component_id and first of
+    every row: whether it is the one of its component with the smallest doc_id
+    (nulls last), then the smallest row."""
     found = written(features(docs, words), "features")
-    classes = written(found.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
-    component = links_of(docs, classes.where("id is not null"), words, percent)
-    final = written(classes.join(component, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component")), "class-components")
-    out = found.join(final, ["n", "s1", "s2"], "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("least")
+    classes = found.where("n > 0").groupBy("n", "s1", "s2").agg(least, F.first("sig").alias("sig"))
+    classes = classes.select("n", "s1", "s2", "sig", F.col("least.doc_id").alias("doc"), F.col("least.row").alias("row"), F.monotonically_increasing_id().alias("id"))
+    classes = written(classes, "classes")
+    component = links_of(docs, classes, words, percent)
+    labelled = written(classes.drop("sig").join(component, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    heads = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("null"), "doc", "row")).alias("head"))
+    final = labelled.join(heads, "component").select("n", "s1", "s2", F.col("head.doc").alias("head_doc"), F.col("head.row").alias("head_row"), F.lit(True).alias("linked"))
+    out = found.join(written(final, "class-components"), ["n", "s1", "s2"], "left")
+    alone = F.col("linked").isNull()  # without a word
+    return out.select(
+        "doc_id",
+        "row",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("head_doc")).alias("component_id"),
+        (alone | F.col("doc_id").eqNullSafe(F.col("head_doc")) & (F.col("row") == F.col("head_row"))).alias("first"),
+    )

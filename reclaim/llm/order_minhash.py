@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MOST_PARTITIONS, partitions, shards, text_or_empty
+from .common import MOST_PARTITIONS, partitions, shards, text_or_empty, tidy
 
 K, HASHES, TUPLE = 6, 24, 2
 RANGE_MB = 2  # text of a doc_id range
@@ -227,4 +227,4 @@ def edited(docs: DataFrame, k: int = K, hashes: int = HASHES, take: int = TUPLE,
 
     arrow = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
     parts = count if count == MOST_PARTITIONS else max(1, -(-count // 4))
-    return rows.repartition(parts, "range").sortWithinPartitions("range", "own", F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, schema)
+    return rows.repartition(parts, "range").sortWithinPartitions("range", "own", F.col("doc_id").asc_nulls_first(), "text").mapInArrow(tidy(run), schema)

@@ -4,7 +4,10 @@ Encoding is a score-ordered agenda of adjacent symbol pairs: all pairs whose
 concatenation is a vocabulary piece enter an agenda keyed (score descending,
 position ascending); the best pair is merged, its two new neighbours enter.
 White space only ever starts a piece of such a vocabulary, so words are
-independent and each distinct word is merged once per worker (bounded cache).
+independent and each distinct word is merged once per worker process: the codec
+and its cache outlive the tasks.  The cache has two generations of at most half
+of ``CACHE_BYTES`` each; a word found in the older one moves to the newer, so
+frequent words stay when the older is dropped.
 Words met for the first time in a batch are merged together: the agenda of a
 short word is one row of a score-rank matrix, whose leftmost minimum is the
 next merge; long words use a heap.  Every Arrow batch checks those words
@@ -22,7 +25,7 @@ import hashlib
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import in_worker, text_or_empty, tidy
 
 SPACE = "▁"
-CACHE_WORDS = 400_000  # cached words of one Python worker, about 100 MB
+CACHE_BYTES = 160 << 20  # of cached words and ids in one worker process
+ENTRY = 200  # bytes of a cached word beside its letters and ids
 STEP = 512  # documents encoded together
 ROW = 32  # longest word merged in a matrix row
 NEVER = np.iinfo(np.int32).max
@@ -69,7 +73,7 @@ class Codec:
 
     NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
-    def __init__(self, model: bytes, cache_words: int = CACHE_WORDS):
+    def __init__(self, model: bytes, cache_bytes: int = CACHE_BYTES):
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_proto=model)
@@ -104,7 +108,8 @@ class Codec:
         # A space after another character inside a piece would tie words together.
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if all(re.fullmatch(f"{SPACE}*[^{SPACE}]*", p) for p in self.ids) else r"(?s).+")
         self.cache: dict[str, bytes] = {}
-        self.cache_words = cache_words
+        self.older: dict[str, bytes] = {}
+        self.cache_bytes, self.held = cache_bytes, 0
         self._pair_table()
 
     def _pair_table(self) -> None:
@@ -254,8 +259,6 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         """Merge words not seen yet and check them against the library."""
-        if len(self.cache) + len(words) > self.cache_words:
-            self.cache.clear()
         groups: dict[int, list[str]] = {}
         for w in words:
             n = len(w)
@@ -269,16 +272,23 @@ class Codec:
             if not same or np.fromiter(chain.from_iterable(theirs), np.int32).tobytes() != b"".join(ids):
                 wrong = next(w for w, x, y in zip(group, ids, theirs) if np.array(y, np.int32).tobytes() != x)
                 raise ValueError(f"the library encodes {wrong!r} differently")
-            self.cache.update(zip(group, ids))
+            self.keep(zip(group, ids))
+
+    def keep(self, found: Iterable[tuple[str, bytes]]) -> None:
+        for word, ids in found:
+            self.cache[word] = ids
+            self.held += ENTRY + 4 * len(word) + len(ids)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
+        if self.held > self.cache_bytes // 2:
+            self.older, self.cache, self.held = self.cache, {}, 0
         split = [self.words(text) for text in texts]
-        fresh = {w for words in split for w in words if w not in self.cache}
+        fresh = set(chain.from_iterable(split)).difference(self.cache)
         if fresh:
-            if len(self.cache) + len(fresh) > self.cache_words:
-                fresh = {w for words in split for w in words}
-            self.learn(fresh)
+            known = fresh.intersection(self.older)
+            self.keep((w, self.older[w]) for w in known)
+            self.learn(fresh - known if known else fresh)
         end = np.int32(self.end).tobytes()
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, words)) + end, np.int32) for words in split]
@@ -287,11 +297,11 @@ class Codec:
         return self.library.decode(ids)
 
 
-def encode_decode(docs: DataFrame, model: bytes, cache_words: int = CACHE_WORDS) -> DataFrame:
+def encode_decode(docs: DataFrame, model: bytes, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """One row per document: ids (end id last) and the text decoded from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, cache_words)
+        codec = in_worker(("sentencepiece", hashlib.sha256(model).digest(), cache_bytes), lambda: Codec(model, cache_bytes))
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
@@ -307,7 +317,7 @@ def encode_decode(docs: DataFrame, model: bytes, cache_words: int = CACHE_WORDS)
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, ids array<int>, decoded string"
+        tidy(run), "doc_id long, ids array<int>, decoded string"
     )
 
 

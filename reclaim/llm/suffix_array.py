@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MB, partitions, total_bytes, written
+from .common import MB, partitions, tidy, total_bytes, written
 
 LENGTH = 100
 GRAM = 32  # bytes of an anchor's k-gram
@@ -456,7 +456,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return with_spans(rows).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return with_spans(rows).mapInArrow(tidy(run), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
 def whole_characters(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -493,7 +493,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
                 columns[at_text] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], [*names, "n_removed"])
 
-    return with_spans(docs.select(*names)).mapInArrow(run, schema)
+    return with_spans(docs.select(*names)).mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -46,6 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import delete_tables, ensure_checkpoint_dir, materialize
+from .common import tidy
 from .warc import store
 
 K, ROUNDS, SEED = 8, 10, 3
@@ -130,7 +131,7 @@ def build(kept: DataFrame, folder: str, high: np.ndarray, dim: int) -> DataFrame
         if out is not None:
             out.close()
 
-    return kept.mapInArrow(run, PLACES)
+    return kept.mapInArrow(tidy(run), PLACES)
 
 
 class Fetcher:
@@ -247,7 +248,7 @@ class VaFile:
                 ["cluster", "n", "total", "fetched"],
             )
 
-        parts = self.places.select("path", "place", "cells").mapInArrow(run, "cluster long, n long, total array<long>, fetched long")
+        parts = self.places.select("path", "place", "cells").mapInArrow(tidy(run), "cluster long, n long, total array<long>, fetched long")
         exact = F.posexplode("total").alias("d", "x")
         table = parts.select("cluster", "n", "fetched", exact).groupBy("cluster", "d").agg(
             F.sum("n").alias("n"), F.sum(F.col("x").cast("decimal(38,0)")).alias("x"), F.sum("fetched").alias("fetched")
@@ -275,7 +276,7 @@ class VaFile:
                     yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(cluster.astype(np.int32)), pa.array(distance)], ["vec_id", "cluster", "distance"])
             fetch.close()
 
-        return self.places.mapInArrow(run, "vec_id long, cluster int, distance long")
+        return self.places.mapInArrow(tidy(run), "vec_id long, cluster int, distance long")
 
 
 def va_file(kept: DataFrame, dim: int = DIM, bits: int = BITS) -> VaFile | None:

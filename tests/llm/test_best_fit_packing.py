@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -5,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from cases import SF_TINY, clashing_docs, empty_docs, odd_docs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reclaim.llm import best_fit_packing as bf
@@ -15,7 +17,6 @@ with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
 
 def check(docs, **kw):
     tok = Tokenizer.from_str(FILE.decode())
-    tok.encode_special_tokens = True
     rows = bf.packed(docs, FILE, **kw).collect()
     want = []
     for r in docs.select("doc_id", "text").collect():
@@ -49,6 +50,26 @@ def test_shards_are_packed_apart(spark):
     check(docs, shard=20)
 
 
+def test_strings_of_added_tokens(spark):
+    texts = ["hello <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext| >", "<|ENDOFTEXT|>"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    check(docs)
+    assert {r.doc_id: r.ids[:-1] for r in bf.pieces(docs, FILE).collect()}[0] == [31373, 220, 50256, 2124]
+
+
+def test_one_row_repeated_fills_many_shards(spark):
+    for doc in (None, 7):
+        docs = spark.createDataFrame([(doc, "one text again and again")], "doc_id long, text string").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000))))
+        sequences = [r.sequence_id for r in bf.packed(docs, FILE, shard=100).collect()]
+        assert len(sequences) == 2000 and len({s >> 32 for s in sequences}) == 20
+
+
+def test_long_documents_follow_the_pieces(spark):
+    docs = spark.createDataFrame([(i, "word " * 30_000) for i in range(4)], "doc_id long, text string")
+    n, tokens = check(docs, shard=20)
+    assert len({r.sequence_id >> 32 for r in bf.packed(docs, FILE, shard=20).collect()}) > 3
+
+
 def test_empty_table(spark):
     assert bf.packed(empty_docs(spark), FILE).collect() == []
 
@@ -72,6 +93,42 @@ def greedy(lengths, limit):
     return bins
 
 
+def plain_two_fit(lengths, limit):
+    """Best-two-fit by trying every piece and every pair."""
+    left, bins = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)), []
+    while left:
+        held = [left.pop(0)]
+        gap = limit - lengths[held[0]]
+        while fits := [i for i in left if lengths[i] <= gap]:
+            held.append(fits[0])
+            left.remove(fits[0])
+            gap -= lengths[fits[0]]
+        while gap > 0 and len(held) > 1:
+            out = min(held, key=lambda i: lengths[i])
+            pairs = [(lengths[i] + lengths[j], i, j) for i, j in itertools.combinations(left, 2) if lengths[out] < lengths[i] + lengths[j] <= gap + lengths[out]]
+            if not pairs:
+                break
+            total = max(pairs)[0]
+            # Of the tightest pairs the one with the shortest piece.
+            _, i, j = min((p for p in pairs if p[0] == total), key=lambda p: min(lengths[p[1]], lengths[p[2]]))
+            held = [x for x in held if x != out] + [i, j]
+            left = sorted([x for x in left if x not in (i, j)] + [out], key=lambda x: (-lengths[x], x))
+            gap += lengths[out] - total
+        bins.append(sorted(lengths[i] for i in held))
+    return bins
+
+
+def test_like_the_plain_version():
+    rng = random.Random(11)
+    for _ in range(60):
+        lengths = [rng.randint(1, 60) for _ in range(rng.randint(1, 60))]
+        sequence, _ = bf.two_fit(lengths, 64, slack=0)
+        bins = {}
+        for s, n in zip(sequence, lengths):
+            bins.setdefault(s, []).append(n)
+        assert [sorted(b) for _, b in sorted(bins.items())] == plain_two_fit(lengths, 64)
+
+
 def test_two_replace_one():
     # 6 + 3 leaves 1 free; 3 gives way to 2 + 2, which fill the gap.
     sequence, offset = bf.two_fit([6, 3, 2, 2], 10, slack=0)

@@ -61,6 +61,58 @@ def test_cleared_elements_do_not_displace_text_beside_them(spark, start, end):
     assert all(t.startswith(f"Short {i} Story {i}") for i, t in texts(spark, rows).items())
 
 
+@pytest.mark.parametrize("mark", ['class="related-work"', 'id="search-algorithms"', 'class="share-of-votes"'])
+def test_names_with_other_words_are_no_noise(spark, mark):
+    rows = [(i, "http://n.o", page(i, f"<article><h1>Head {i}</h1><section {mark}><p>Text {i}</p></section></article>")) for i in range(4)]
+    assert texts(spark, rows) == {i: f"Head {i} Text {i}" for i in range(4)}
+
+
+@pytest.mark.parametrize("mark", ['class="comments-list"', 'id="ad-slot-3"', 'class="newsletter-signup box"', 'class="x related-posts"'])
+def test_names_of_noise_and_place_words_are(spark, mark):
+    rows = [(i, "http://n.o", page(i, f"<article><p>Text {i}</p><div {mark}><p>Noise {i}</p></div></article>")) for i in range(4)]
+    assert texts(spark, rows) == {i: f"Text {i}" for i in range(4)}
+
+
+def test_text_that_all_pages_share_goes(spark):
+    """A marked element with one text on all pages is the template's; a bare
+    heading is not, nor is anything where nothing varies."""
+    body = '<article><header><h1>Head {0}</h1></header><h2>Summary</h2><p>Text {0}</p><div class="x1">Read our letter now</div></article>'
+    rows = [(i, "http://n.o", page(i, body.format(i))) for i in range(4)]
+    assert texts(spark, rows) == {i: f"Summary Text {i}" for i in range(4)}
+    same = [(i, "http://p.q", page(i, '<article><div class="story"><p>One text</p></div></article>')) for i in range(4)]
+    assert set(texts(spark, same).values()) == {"One text"}
+
+
+def test_deep_pages(spark):
+    deep = lambda i: "<div>" * 5000 + f"<p>Deep {i}</p><nav>gone</nav>" + "</div>" * 2500 + f"<p>less {i}</p>" + "</div>" * 2500 + f"<p>Flat {i}</p>"
+    rows = [(i, "http://d.e", f"<html><body><article>{deep(i)}</article></body></html>") for i in range(3)]
+    assert texts(spark, rows) == {i: f"Deep {i} less {i} Flat {i}" for i in range(3)}
+
+
+def test_wide_pages_take_linear_time(spark):
+    import time
+
+    wide = lambda i, n: "".join(f"<p id=p{i}x{k}>Text {k}</p><b class=c{k % 7}>{i}</b>" for k in range(n))
+    rows = [(i, "http://w.i", f"<html><body><article>{wide(i, 20_000)}</article></body></html>") for i in range(3)]
+    begun = time.time()
+    got = texts(spark, rows)
+    assert all(got[i].startswith(f"Text 0 {i} Text 1 {i}") and got[i].count("Text") == 20_000 for i in range(3))
+    assert time.time() - begun < 60
+
+
+def test_common_subsequences():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(400):
+        x, y = ([rng.choice("abcdefghij") for _ in range(rng.randrange(12))] for _ in range(2))
+        found = hw.common(x, y)
+        assert all(x[i] == y[j] for i, j in found)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:]))
+    assert len(hw.common(list("abcxdef"), list("abcyydef"))) == 6
+    assert hw.common(list("xaybzc"), list("paqbrc")) == [(1, 1), (3, 3), (5, 5)]
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, "", ""), (3, "no url", "plain <b>text"), (4, "http://a.b/x", "<article>Lone"), (5, "HTTP://A.B:80/y", "<article>&lt;x&gt; &am &amp A&nbsp;B</article>"),

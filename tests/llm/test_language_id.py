@@ -73,4 +73,45 @@ def test_long_texts_count_every_gram_once():
 def test_scored_keeps_columns(spark):
     docs = labelled(spark, 60).withColumn("lang_score", F.lit("old"))
     out = li.scored(docs)
-    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "lang_score"] and out.count() == 60
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "lang_score", "lang_letters", "lang_labels"] and out.count() == 60
+
+
+def test_repeated_learning_rows(spark):
+    for doc in (0, 1, 7):
+        one = spark.createDataFrame([(doc, "the river runs under stone", "aa")], "doc_id long, text string, lang string")
+        docs = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(5000))))
+        learned = not li.identify(one).first().held_out
+        assert {(r.lang_pred, r.score) for r in li.identify(docs).distinct().collect()} == {("aa", 1.0) if learned else ("und", 0.0)}
+        other = docs.union(labelled(spark, 60).withColumn("n", F.lit(0)))
+        assert {r.lang_pred for r in li.identify(other).collect()} <= set(WORDS)
+
+
+def test_ftrl_like_a_loop_over_coordinates():
+    """Each coordinate's update as the algorithm states it, in plain floats."""
+    import math
+
+    rng = random.Random(4)
+    buckets, classes = 10, 3
+    rows = [(np.array(sorted(rng.sample(range(9), 4))), np.array([rng.random() for _ in range(4)]), rng.randrange(classes)) for _ in range(25)]
+    rows.append((np.array([9]), np.array([0.004]), 0))  # too little for a weight
+    z, n = ([[0.0] * classes for _ in range(buckets + 1)] for _ in range(2))
+
+    def weight(i, c):
+        if abs(z[i][c]) <= li.L1:
+            return 0.0
+        return -(z[i][c] - math.copysign(li.L1, z[i][c])) / ((li.BETA + math.sqrt(n[i][c])) / li.ALPHA + li.L2)
+
+    for _ in range(li.EPOCHS):
+        for bucket, value, label in rows:
+            x = [*zip(bucket.tolist(), value.tolist()), (buckets, 1.0)]
+            w = {(i, c): weight(i, c) for i, _ in x for c in range(classes)}
+            e = [math.exp(sum(v * w[i, c] for i, v in x)) for c in range(classes)]
+            for c in range(classes):
+                error = e[c] / sum(e) - (c == label)
+                for i, v in x:
+                    g = error * v
+                    sigma = (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / li.ALPHA
+                    z[i][c] += g - sigma * w[i, c]
+                    n[i][c] += g * g
+    want = np.array([[weight(i, c) for c in range(classes)] for i in range(buckets + 1)])
+    assert np.allclose(li.fit(rows, buckets, classes), want, atol=1e-12) and (want == 0).any() and (want != 0).any()

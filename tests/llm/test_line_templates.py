@@ -43,6 +43,17 @@ def test_below_the_threshold_nothing_goes(spark):
     assert not any(dropped.values())
 
 
+def test_fields_alone_make_no_template(spark):
+    rows = [(i, f"{1990 + i} {i}.5 {i}\nheader {i}\n\u8fd9\u662f{chr(0x4E00 + i) * 30}1{chr(0x5E00 + i) * 40}") for i in range(12)]
+    assert not any(check(spark.createDataFrame(rows, "doc_id long, text string")).values())
+
+
+def test_long_lines_recur_from_two_documents_on(spark):
+    long = "word of a long line " * 12
+    rows = [(i, f"{long}\n{long} {i}\n  {long}") for i in range(3)] + [(9, "a\n" + long[:100]), (10, long[:100])]
+    assert check(spark.createDataFrame(rows, "doc_id long, text string")) == {0: 1, 1: 2, 2: 2, 9: 0, 10: 0}
+
+
 def test_repeats_inside_one_document_do_not_recur(spark):
     rows = [(1, "\n".join(["the same line of text"] * 40)), (2, "the same line of text")]
     assert check(spark.createDataFrame(rows, "doc_id long, text string")) == {1: 0, 2: 0}
@@ -71,4 +82,4 @@ def test_columns_are_kept_and_no_python_runs(spark):
 
 def test_masking(spark):
     df = spark.createDataFrame([("  a  b12 c\t\td ", ), ("12:30 x9y z", ), ("no digits", ), ("é1 2", )], "line string")
-    assert [r[0] for r in df.select(lt.masked("line")).collect()] == ["a <*> c d", "<*> <*> z", "no digits", "<*> <*>"]
+    assert [r[0] for r in df.select(lt.masked(lt.flattened(F.col("line")))).collect()] == ["a <*> c d", "<*> <*> z", "no digits", "<*> <*>"]

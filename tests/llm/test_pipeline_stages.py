@@ -81,3 +81,34 @@ def test_lines_of_fields_are_not_templates(spark):
     got = {r.doc_id: r.text for r in cp.lines(spark, spark.createDataFrame(rows, DOCS), SF_TINY).collect()}
     assert got[0] == rows[0][1]
     assert all(got[r[0]] == r[1].rpartition("\n")[0] for r in rows[1:])
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    rng = random.Random(2)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, a), (None, sentence(rng, 40))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = sorted(((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SF_TINY).collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), rows[5]], key=repr)
+
+
+def test_without_labels_documents_with_letters_stay(spark):
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(["some words", "12 34", None, "more"])], DOCS)
+    assert {r.doc_id for r in cp.language(spark, docs, SF_TINY).collect()} == {0, 3}
+
+
+def test_one_label_and_many_labels(spark):
+    letters = "abcdefghij"
+    for k in (1, 10):
+        rows = [(i, " ".join(letters[i % k] * 3 + c for c in random.Random(i).choices("xyz", k=12)), f"l{i % k}", "s", 0) for i in range(400)]
+        assert cp.language(spark, spark.createDataFrame(rows, DOCS), SF_TINY).count() == 400
+
+
+def test_repeated_long_lines_go_with_the_repeats(spark):
+    rng = random.Random(8)
+    passage, short = sentence(rng, 60), "a short line that stands twice"
+    rows = [(i, f"{sentence(rng, 20)}\n{passage}\n{short}", "en", "s", 0) for i in range(3)]
+    lines = cp.lines(spark, spark.createDataFrame(rows, DOCS), SF_TINY)
+    assert all(passage in r.text for r in lines.collect())
+    got = {r.doc_id: r.text for r in cp.repeats(spark, lines, SF_TINY).collect()}
+    assert [passage in got[i] for i in range(3)] == [True, False, False]

@@ -29,7 +29,7 @@ def test_empty_table(spark):
 
 
 def test_heap_and_rows_agree_and_the_cache_may_be_tiny(spark):
-    codec = sc.Codec(MODEL, cache_words=50)
+    codec = sc.Codec(MODEL, cache_bytes=20_000)
     text = "thinking about wonderful rivers and " * 30 + "zz" * 100 + " " + "é😀" * 20
     sp = SentencePieceProcessor(model_proto=MODEL)
     assert codec.encode_batch([text, text])[1].tolist() == sp.encode(text, add_eos=True)
