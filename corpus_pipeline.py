@@ -5,20 +5,24 @@ predecessor kept and applies one operator of ``reclaim.llm`` to them.  All but
 the last return the columns of documents (n_chars follows the text where a
 stage changes it).
 
-1. language: documents without a letter, or whose language is less likely
-   than ``LEAST_SCORE``, go.
+1. language: documents without a letter go, and those whose language is less
+   likely than ``LEAST_SCORE``, or with many labels than ``LEAST_LIFT`` times a
+   guess among them.  Where nothing could be learned, only letters count.
 2. lines: lines of recurring templates go, but for their first occurrence; a
-   document all of whose text went with them goes.  Fields alone make no
-   template (``line_templates.FIXED``).
-3. near_duplicates: of each component of near-duplicates the document with the
-   smallest doc_id stays.
+   document all of whose text went with them goes.  Long lines that repeat
+   without a template are left to stages 3 and 4, which see whole documents and
+   cut every repeated 100 bytes: dropped here, they would leave fragments of
+   near copies that stage 3 could no longer tell.
+3. near_duplicates: of each component of near-duplicates the row with the
+   smallest doc_id stays (nulls last; of one doc_id, one text).
 4. repeats: byte strings that start earlier elsewhere are cut out, to whole
    characters; a document of which nothing is left goes.
 5. packing: the rest is tokenized and packed into sequences.
 
 Cases: a null text has no letter, so it goes in stage 1; an empty table gives
-no rows in every stage; repeated rows of one document are near-duplicates of
-themselves and stay together.
+no rows in every stage; rows with one doc_id and different texts are judged one
+by one; rows with equal doc_id and text are one document and stay or go
+together.
 """
 
 from __future__ import annotations
@@ -28,33 +32,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reclaim.llm import best_fit_packing, language_id, line_templates, minhash_hamming, suffix_array
-from reclaim.llm.common import table, written
+from reclaim.llm.common import prepare, table, written
 from reclaim.llm.queries import tokenizer_file
 
-LEAST_SCORE = 0.3  # short clean texts score low; under this hardly any label is likelier than the rest
+LEAST_SCORE, LEAST_LIFT = 0.3, 1.2  # short clean texts score low; under this hardly any label is likelier than the rest
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     found = language_id.scored(docs)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*docs.columns)
+    sure = F.col("lang_score") >= F.least(F.lit(LEAST_SCORE), F.lit(LEAST_LIFT) / F.greatest(F.lit(1), F.col("lang_labels")))
+    return found.where(F.col("lang_letters") & (sure | (F.col("lang_labels") == 0))).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_templates.drop_recurring(docs, fixed=line_templates.FIXED)
+    prepare(spark)
+    left = line_templates.drop_recurring(docs, long=None)
     return sized(left.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash_hamming.components(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(written(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+    prepare(spark)
+    gone = minhash_hamming.rows_of(docs).where(~F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (minhash_hamming.text_hash() == F.col("gone_row"))
+    return docs.join(written(gone, "near-duplicates"), same, "left_anti").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     left = suffix_array.cut_texts(docs)
     return sized(left.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     with open(tokenizer_file("byte_bpe_50k.json"), "rb") as f:
         return best_fit_packing.packed(docs, f.read())
 
