@@ -75,6 +75,15 @@ def attach(df, one_row):
     return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
+def latest_per(df, key: str, order: str, **values: Column):
+    """One row per key: its largest ``order`` and the values of that row.  With
+    numeric values all buffers are fixed-width, so this is a hash aggregate
+    with map-side partial results, not a window over all rows of a key.  Rows
+    with a NULL order come last; filter ``df`` for a point in time."""
+    latest = [F.max_by(value, F.col(order)).alias(name) for name, value in values.items()]
+    return df.groupBy(key).agg(F.max(order).alias(order), *latest)
+
+
 PRECISE = "decimal(38,12)"
 
 
@@ -88,3 +97,8 @@ def precise_sum(c: str | Column) -> Column:
 def precise_avg(c: str | Column) -> Column:
     """Order-independent mean of an arbitrary double (see precise_sum)."""
     return F.sum(col(c).cast(PRECISE)).cast("double") / F.count(col(c))
+
+
+def lazy(df, name: str, metrics: list[Column]):
+    """One-row totals as a plan (see ``plans.totals`` for collected ones)."""
+    return df.agg(*metrics)

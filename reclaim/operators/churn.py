@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dims import RISK_BINS
 from ..functions.exprs import attach, precise_sum, rnd
+from ..session import delete_tables, ensure_checkpoint_dir
 
 LOGIT_CLIP = 35.0
 TRAIN_SHARE = 78  # percent of customers in the training split
@@ -251,7 +252,23 @@ def train_churn_model(customers: DataFrame, reg: float = 0.01, max_iter: int = 2
         fitted = lr.fit(train)
     finally:
         train.unpersist()
-    return PipelineModel(stages=[*features.stages, fitted])
+    return PipelineModel(stages=[*features.stages, _without_summary(fitted)])
+
+
+def _without_summary(fitted):
+    """The fitted regression, written to the checkpoint folder and read back.
+    A model fresh from training holds its training summary, and with it the
+    session, which cannot go to tasks once metrics have been observed."""
+    import uuid
+
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.sql import SparkSession
+
+    path = f"{ensure_checkpoint_dir(SparkSession.active()).rstrip('/')}/reclaim-tables/model-{uuid.uuid4().hex}"
+    fitted.write().overwrite().save(path)
+    out = LogisticRegressionModel.load(path)
+    delete_tables(SparkSession.active(), [path])
+    return out
 
 
 def feature_names(model) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
+from ..functions.bitmaps import distinct_ids
 from ..functions.exprs import exact_sum, precise_avg, precise_sum, rnd
 from .actions import issue_list
 
@@ -46,20 +47,25 @@ def decision_label(net, roi):
     )
 
 
-def playbook_roi(queue: DataFrame) -> DataFrame:
+def playbook_roi(queue: DataFrame, made: DataFrame | None = None) -> DataFrame:
     """Per issue roll-up joined to its playbook; ranked by net
-    impact then ROI.  Issues without a playbook are dropped."""
+    impact then ROI.  Issues without a playbook are dropped.  Distinct customers
+    come from the queue's customer bitmaps (``segments.customer_bitmaps``) where
+    these are ``made``."""
     spark = queue.sparkSession
+    distinct = [F.count_distinct("customer_id").alias("eligible_customers")] if made is None else []
     grouped = (
         explode_issues(queue)
         .groupBy("issue_type")
         .agg(
-            F.count_distinct("customer_id").alias("eligible_customers"),
+            *distinct,
             precise_sum("allocated_value").alias("gross_value"),
             precise_avg("allocated_value").alias("avg_customer_value"),
             F.array_join(F.array_sort(F.collect_set("brand")), ", ").alias("brands"),
         )
     )
+    if made is not None:
+        grouped = grouped.join(distinct_ids(made, ["issue_type"], "eligible_customers"), "issue_type")
     pb = F.broadcast(dims.playbooks(spark))
     j = grouped.join(pb, "issue_type")
     total_cost = F.col("eligible_customers") * F.col("cost_per_action")

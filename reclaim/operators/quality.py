@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import attach
+from ..functions.exprs import attach, lazy
 from ..sources.schemas import CUSTOMER_REQUIRED
 
 GATE_NAMES = [
@@ -94,6 +94,28 @@ def validate_customers(customers: DataFrame) -> list[str]:
     return list(GATE_NAMES)
 
 
+MOST_MALFORMED = 0.01  # share of an input's lines
+
+
+def quarantine_gate(inputs: dict, most: float = MOST_MALFORMED) -> DataFrame:
+    """One row per input (``sources.io.Checked``): lines, rows read, lines set
+    apart as malformed, and whether these are few enough."""
+    spark = next(iter(inputs.values())).rows.sparkSession
+    rows = []
+    for table, checked in inputs.items():
+        # Both read the parsed table; counts need no column of it.
+        read, bad = checked.rows.count(), checked.quarantine.count()
+        rows.append((table, read + bad, read, bad, bad <= most * (read + bad)))
+    return spark.createDataFrame(rows, "table string, lines long, rows_read long, quarantined long, passed boolean")
+
+
+def check_quarantine(inputs: dict, most: float = MOST_MALFORMED) -> None:
+    """Raise if an input has too many malformed lines."""
+    failed = [r["table"] for r in quarantine_gate(inputs, most).collect() if not r["passed"]]
+    if failed:
+        raise ValueError(f"malformed lines over the limit: {sorted(failed)}")
+
+
 # Scorecard thresholds (parameters with these defaults).
 MIN_CUSTOMER_ROWS = 2500
 MIN_MONTHS = 12
@@ -102,6 +124,29 @@ MIN_SKU_ROWS = 12
 CAMPAIGN_INPUTS = ["spend", "attributed_revenue", "conversions"]
 
 
+# Totals of each input that the scorecard needs.  Rows of a customer_id are
+# counted first (``by_customer``): no DISTINCT, one read.
+INPUT_TOTALS = {
+    "customers": lambda: [
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("customer_rows"),
+        F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("customer_dups"),
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("customer_nulls"),
+    ],
+    # One entry per calendar month at most.
+    "monthly_revenue": lambda: [F.size(F.collect_set("month")).cast("long").alias("months")],
+    "campaigns": lambda: [F.count(F.lit(1)).alias("campaign_rows")],
+    "payment_events": lambda: [F.count(F.lit(1)).alias("payment_rows")],
+    "fulfillment_events": lambda: [F.count(F.lit(1)).alias("fulfillment_rows")],
+    "sku_inventory": lambda: [F.count(F.lit(1)).alias("sku_rows")],
+}
+
+
+def by_customer(customers: DataFrame) -> DataFrame:
+    """Rows and missing cells of each customer_id (NULL counts as one id)."""
+    nulls = F.coalesce(_null_count(customers, customers.columns), F.lit(0)).alias("nulls")
+    return customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("rows"), nulls)
+
+
 def quality_scorecard(
     customers: DataFrame,
     monthly: DataFrame,
@@ -113,24 +158,18 @@ def quality_scorecard(
     min_months: int = MIN_MONTHS,
     min_fulfillment: int = MIN_FULFILLMENT_ROWS,
     min_skus: int = MIN_SKU_ROWS,
+    total=lazy,
 ) -> DataFrame:
     """Eight checks -> check, value, status, owner, expectation.
 
-    Each table contributes one single-row aggregate; the one-row results are
-    joined on a constant key (broadcast), never a data-sized product.
+    Each table contributes one row of totals (``INPUT_TOTALS``) by
+    ``total(df, name, metrics)``: a plan, or what was observed when the table
+    was written.
     """
-    c = customers.agg(
-        F.count(F.lit(1)).alias("customer_rows"),
-        _duplicates(customers).alias("customer_dups"),
-        F.coalesce(_null_count(customers, customers.columns), F.lit(0)).alias("customer_nulls"),
-    )
-    m = monthly.agg(F.count_distinct("month").alias("months"))
-    k = campaigns.agg(F.count(F.lit(1)).alias("campaign_rows"))
-    p = payments.agg(F.count(F.lit(1)).alias("payment_rows"))
-    f = fulfillment.agg(F.count(F.lit(1)).alias("fulfillment_rows"))
-    s = skus.agg(F.count(F.lit(1)).alias("sku_rows"))
-    one = c
-    for part in (m, k, p, f, s):
+    tables = {"customers": by_customer(customers), "monthly_revenue": monthly, "campaigns": campaigns,
+              "payment_events": payments, "fulfillment_events": fulfillment, "sku_inventory": skus}
+    one, *parts = [total(df, name, INPUT_TOTALS[name]()) for name, df in tables.items()]
+    for part in parts:
         one = attach(one, part)
     has_campaign_inputs = set(CAMPAIGN_INPUTS).issubset(campaigns.columns)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import exact_avg, precise_sum, rnd, safe_div
+from ..functions.exprs import attach, exact_avg, exact_sum, lazy, precise_sum, rnd, safe_div
 
 FORECAST_PERIODS = 6
 BAND_WIDTH = 1.15
@@ -81,48 +81,55 @@ def revenue_forecast(monthly: DataFrame, periods: int = FORECAST_PERIODS, band:
     )
 
 
-def run_kpis(customers: DataFrame, gates: DataFrame, brief: DataFrame, queue: DataFrame, report: DataFrame,
-             playbooks: DataFrame, experiments: DataFrame, opportunities: DataFrame, monitor: DataFrame,
-             scenario_summary: DataFrame, metrics: DataFrame) -> DataFrame:
+# Totals of each table and report that the KPIs are made of.
+KPI_TOTALS = {
+    "kpi_customers": lambda: [
+        F.count(F.lit(1)).alias("rows_processed"),
+        rnd(F.avg("churned"), 4).alias("overall_churn_rate"),
+        rnd(precise_sum("monthly_revenue"), 2).alias("total_monthly_revenue"),
+    ],
+    "quality_gates": lambda: [
+        F.count_if("passed").alias("validation_checks_passed"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("passed"), F.col("check")))), ", ").alias("validation_checks"),
+    ],
+    "leakage_report": lambda: [
+        rnd(exact_sum("revenue_at_risk"), 2).alias("total_revenue_at_risk"),
+        F.count(F.lit(1)).alias("leakage_categories"),
+    ],
+    "queue": lambda: [F.count(F.lit(1)).alias("action_queue_items")],
+    "playbook_roi": lambda: [
+        rnd(exact_sum("net_impact"), 2).alias("playbook_net_impact"),
+        F.count(F.lit(1)).alias("playbooks_recommended"),
+    ],
+    "experiment_backlog": lambda: [F.count(F.lit(1)).alias("experiments_ready")],
+    "segment_opportunity": lambda: [
+        F.count(F.lit(1)).alias("priority_segments"),
+        F.coalesce(F.max("expected_value"), F.lit(0.0)).alias("top_segment_expected_value"),
+    ],
+    "scenario_plan": lambda: [
+        F.coalesce(rnd(F.max("net_impact"), 2), F.lit(0.0)).alias("scenario_max_net_impact"),
+        F.coalesce(F.max("selected_actions"), F.lit(0)).alias("scenario_max_actions"),
+    ],
+}
+
+
+def run_kpis(customers: DataFrame, gates: DataFrame, report: DataFrame, queue: DataFrame, playbooks: DataFrame,
+             experiments: DataFrame, opportunities: DataFrame, scenarios: DataFrame, monitor: DataFrame,
+             metrics: DataFrame, total=lazy) -> DataFrame:
     """C4: the run's headline numbers, the ten model metrics and the names of
-    the passed gates in one row (every input reduces to a one-row aggregate
-    first)."""
-    from ..functions.exprs import attach, exact_sum
-
-    parts = [
-        customers.agg(
-            F.count(F.lit(1)).alias("rows_processed"),
-            rnd(F.avg("churned"), 4).alias("overall_churn_rate"),
-            rnd(precise_sum("monthly_revenue"), 2).alias("total_monthly_revenue"),
-        ),
-        gates.agg(F.count_if("passed").alias("validation_checks_passed")),
-        brief.select("total_revenue_at_risk"),
-        queue.agg(F.count(F.lit(1)).alias("action_queue_items")),
-        report.agg(F.count(F.lit(1)).alias("leakage_categories")),
-        playbooks.agg(
-            rnd(exact_sum("net_impact"), 2).alias("playbook_net_impact"),
-            F.count(F.lit(1)).alias("playbooks_recommended"),
-        ),
-        experiments.agg(F.count(F.lit(1)).alias("experiments_ready")),
-        opportunities.agg(
-            F.count(F.lit(1)).alias("priority_segments"),
-            F.coalesce(F.max("expected_value"), F.lit(0.0)).alias("top_segment_expected_value"),
-        ),
-        monitor.select(
-            F.col("open_alerts").alias("open_monitoring_alerts"),
-            F.col("critical_alerts").alias("critical_monitoring_alerts"),
-        ),
-        scenario_summary.select(
-            F.col("max_net_impact").alias("scenario_max_net_impact"),
-            F.col("max_actions").alias("scenario_max_actions"),
-        ),
-        metrics,
-        gates.where("passed").agg(F.array_join(F.array_sort(F.collect_list("check")), ", ").alias("validation_checks")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = attach(out, p)
-    return out
+    the passed gates in one row.  Every table and report contributes its row
+    of ``KPI_TOTALS`` by ``total(df, name, metrics)``: a plan, or what was
+    observed when it was written."""
+    tables = {"kpi_customers": customers, "quality_gates": gates, "leakage_report": report, "queue": queue,
+              "playbook_roi": playbooks, "experiment_backlog": experiments, "segment_opportunity": opportunities,
+              "scenario_plan": scenarios}
+    one, *parts = [total(df, name, KPI_TOTALS[name]()) for name, df in tables.items()]
+    monitor = monitor.select(F.col("open_alerts").alias("open_monitoring_alerts"), F.col("critical_alerts").alias("critical_monitoring_alerts"))
+    # The metrics are one row already.
+    model = total(metrics, "kpi_model", [F.first(c).alias(c) for c in metrics.columns])
+    for part in [*parts, monitor, model]:
+        one = attach(one, part)
+    return one
 
 
 MODEL_METRICS = [

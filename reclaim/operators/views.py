@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims
-from ..functions.exprs import attach, exact_avg, exact_sum, precise_sum, rnd
+from ..functions.exprs import attach, exact_avg, exact_sum, lazy, precise_sum, rnd
 from .actions import issue_list
 
 ALL = "All"
@@ -75,18 +75,28 @@ def issue_mix(queue: DataFrame, owner: str | None = None, urgency: str | None =
     )
 
 
-def headline_kpis(payment_summary: DataFrame, skus: DataFrame, playbooks: DataFrame, queue: DataFrame) -> DataFrame:
-    """K5-K6: one row of headline numbers; blended ROI = saved / cost."""
-    p = payment_summary.agg(F.coalesce(F.sum("open_failed"), F.lit(0)).alias("open_failed_payments"))
-    s = skus.agg(rnd(precise_sum("margin_at_risk"), 2).alias("sku_exposure"))
-    b = playbooks.agg(
+# Totals of each report that the headline is made of.
+HEADLINE_TOTALS = {
+    "payment_recovery": lambda: [F.coalesce(F.sum("open_failed"), F.lit(0)).alias("open_failed_payments")],
+    "sku_risk": lambda: [rnd(precise_sum("margin_at_risk"), 2).alias("sku_exposure")],
+    "headline_playbooks": lambda: [
         F.count(F.lit(1)).alias("playbooks"),
         exact_sum("net_impact").alias("net"),
         exact_sum("expected_saved_value").alias("saved"),
         exact_sum("total_cost").alias("cost"),
-    )
-    q = queue.agg(F.count(F.lit(1)).alias("queue_items"))
-    one = attach(attach(attach(p, s), b), q)
+    ],
+    "headline_queue": lambda: [F.count(F.lit(1)).alias("queue_items")],
+}
+
+
+def headline_kpis(payment_summary: DataFrame, skus: DataFrame, playbooks: DataFrame, queue: DataFrame, total=lazy) -> DataFrame:
+    """K5-K6: one row of headline numbers; blended ROI = saved / cost.  Each
+    report contributes its row of ``HEADLINE_TOTALS`` by ``total(df, name,
+    metrics)``."""
+    tables = {"payment_recovery": payment_summary, "sku_risk": skus, "headline_playbooks": playbooks, "headline_queue": queue}
+    one, *parts = [total(df, name, HEADLINE_TOTALS[name]()) for name, df in tables.items()]
+    for part in parts:
+        one = attach(one, part)
     return one.select(
         "open_failed_payments",
         "sku_exposure",

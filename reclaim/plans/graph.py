@@ -14,6 +14,7 @@ from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.exprs import lazy
 from ..operators import (
     actions,
     churn,
@@ -26,7 +27,9 @@ from ..operators import (
     summaries,
     views,
 )
+from ..session import materialize
 from ..sources import tpch
+from .totals import Totals
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -53,35 +56,67 @@ class ModelScorer:
         return churn.model_holdout(customers, self.model)
 
 
+# Tables that join on customer_id.
+BY_CUSTOMER = ("enriched", "payment_events", "fulfillment_events")
+
+
 class Graph:
     def __init__(self, inputs: dict[str, DataFrame], scorer: Scorer = fixed_scorer,
                  queue_limit: int | None = actions.QUEUE_LIMIT, pin: Callable[[DataFrame, str], DataFrame] | None = None,
-                 pin_inputs: Iterable[str] = (), pin_queue: bool = True, pin_reports: bool | Iterable[str] = False):
+                 pin_inputs: Iterable[str] = (), pin_queue: bool = True, pin_reports: bool | Iterable[str] = False,
+                 pin_by_key: Callable[[DataFrame, str, str], DataFrame] | None = None):
         """``pin(df, name)`` materializes the shared intermediates (the
         enriched customer table, which also serves as the scored table, and
         the action queue); ``None`` leaves every node lazy.  ``pin_inputs``
         names the input tables to materialize on first use (those the
         requested outputs read more than once).  ``pin_reports`` materializes
-        short reports that other reports are made of: those named, or all."""
+        short reports that other reports are made of: those named, or all.
+        ``pin_by_key(df, name, key)`` materializes the customer-keyed tables
+        (``BY_CUSTOMER``), so that they join without a shuffle; by default they
+        are pinned like others."""
         self.inputs = inputs
         self.scorer = scorer
         self.queue_limit = queue_limit
         self._pin = pin
         self._pin_inputs = set(pin_inputs) if pin is not None else set()
         self._pin_queue = pin_queue
+        self._pin_by_key = pin_by_key
+        self.totals = Totals(pin) if pin is not None else None
         self._pin_reports = pin_reports if isinstance(pin_reports, bool) else set(pin_reports)
 
     def _report(self, df: DataFrame, name: str) -> DataFrame:
         wanted = self._pin_reports if isinstance(self._pin_reports, bool) else name in self._pin_reports
-        return self._pin(df, name) if wanted and self._pin is not None else df
+        return self._written(df, name) if wanted and self._pin is not None else df
+
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a written table, its totals observed on the way."""
+        if name == "customers" or self._pin_by_key is not None and name in BY_CUSTOMER:
+            # Customers are counted by id, and tables by customer are looked at
+            # before they are written: their totals come from the written table.
+            return self._keyed_pin(df, name)
+        metrics = quality.INPUT_TOTALS | summaries.KPI_TOTALS | views.HEADLINE_TOTALS
+        return self.totals.write(df, name, metrics.get(name, list)())
+
+    def _keyed_pin(self, df: DataFrame, name: str) -> DataFrame:
+        if self._pin_by_key is not None and name in BY_CUSTOMER:
+            return self._pin_by_key(df, name, "customer_id")
+        return self._pin(df, name)
+
+    def total(self, df: DataFrame, name: str, metrics: list) -> DataFrame:
+        """One-row totals: observed or collected once, where tables are written;
+        else a plan."""
+        return self.totals.of(df, name, metrics) if self.totals else lazy(df, name, metrics)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return (self._pin or materialize)(df, name)
 
     def _input(self, name: str) -> DataFrame:
         df = self.inputs[name]
-        return self._pin(df, name) if name in self._pin_inputs else df
+        return self._written(df, name) if name in self._pin_inputs else df
 
     @classmethod
-    def from_warehouse(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
-        return cls(tpch.load(spark, sf_dir, share=kw.get("pin")), **kw)
+    def from_warehouse(cls, spark: SparkSession, sf_dir: str, dates: tpch.Dates = tpch.Dates(), **kw) -> "Graph":
+        return cls(tpch.load(spark, sf_dir, share=kw.get("pin"), dates=dates), **kw)
 
     # -- inputs -------------------------------------------------------------
     @cached_property
@@ -124,7 +159,7 @@ class Graph:
     @cached_property
     def quality_scorecard(self) -> DataFrame:
         return self._report(quality.quality_scorecard(
-            self.scored, self.monthly, self.campaigns, self.payments, self.fulfillment, self.skus
+            self.scored, self.monthly, self.campaigns, self.payments, self.fulfillment, self.skus, total=self.total
         ), "quality_scorecard")
 
     # -- B ------------------------------------------------------------------
@@ -162,9 +197,9 @@ class Graph:
     @cached_property
     def run_kpis(self) -> DataFrame:
         return self._report(summaries.run_kpis(
-            self.customers_shared, self.quality_gates, self.weekly_brief, self.queue, self.leakage_report,
-            self.playbook_roi, self.experiment_backlog, self.segment_opportunity, self.monitoring_summary,
-            self.scenario_summary, self.model_metrics,
+            self.customers_shared, self.quality_gates, self.leakage_report, self.queue, self.playbook_roi,
+            self.experiment_backlog, self.segment_opportunity, self.scenario_plan, self.monitoring_summary,
+            self.model_metrics, total=self.total,
         ), "run_kpis")
 
     # -- C ------------------------------------------------------------------
@@ -183,8 +218,8 @@ class Graph:
     # -- D ------------------------------------------------------------------
     @cached_property
     def enriched(self) -> DataFrame:
-        out = leakage.margin_at_risk(self._scored_lazy, self.skus)
-        return self._pin(out, "enriched") if self._pin else out
+        out = leakage.margin_at_risk(self._scored_lazy, self.skus, write=self.write)
+        return self._keyed_pin(out, "enriched") if self._pin else out
 
     @cached_property
     def open_failed(self) -> DataFrame:
@@ -247,8 +282,8 @@ class Graph:
 
     @cached_property
     def queue(self) -> DataFrame:
-        out = actions.roll_up(self.reduced_items, self.queue_limit)
-        return self._pin(out, "queue") if self._pin and self._pin_queue else out
+        out = actions.roll_up(self.reduced_items, self.queue_limit, self.write)
+        return self._written(out, "queue") if self._pin and self._pin_queue else out
 
     # -- F ------------------------------------------------------------------
     @cached_property
@@ -257,7 +292,9 @@ class Graph:
 
     @cached_property
     def playbook_roi(self) -> DataFrame:
-        return self._report(playbooks.playbook_roi(self.queue), "playbook_roi")
+        # By bitmaps where others of the run need them as well.
+        made = self.customer_bitmaps if self._pin_reports is True else None
+        return self._report(playbooks.playbook_roi(self.queue, made), "playbook_roi")
 
     @cached_property
     def experiment_backlog(self) -> DataFrame:
@@ -276,9 +313,18 @@ class Graph:
     def queue_context(self) -> DataFrame:
         return segments.queue_context(self.queue, self.scored)
 
+    @cached_property
+    def customer_bitmaps(self) -> DataFrame | None:
+        """Customers of each segment and issue, for runs over the whole queue
+        and batch runs; a short queue is counted as it is."""
+        if self._pin is None or self.queue_limit is not None and self._pin_reports is not True:
+            return None
+        made = segments.customer_bitmaps(self.queue_context)
+        return None if made is None else self._pin(made, "customer_bitmaps")
+
     @cached_property
     def queue_by_segment(self) -> DataFrame:
-        return segments.queue_by_segment(self.queue_context)
+        return segments.queue_by_segment(self.queue_context, self.customer_bitmaps)
 
     @cached_property
     def dominant_issue(self) -> DataFrame:
@@ -286,11 +332,11 @@ class Graph:
 
     @cached_property
     def segment_opportunity(self) -> DataFrame:
-        return self._report(segments.segment_opportunity(self.base_segments, self.queue_context), "segment_opportunity")
+        return self._report(segments.segment_opportunity(self.base_segments, self.queue_context, write=self.write, made=self.customer_bitmaps), "segment_opportunity")
 
     @cached_property
     def issue_matrix(self) -> DataFrame:
-        return segments.issue_matrix(self.queue_context)
+        return segments.issue_matrix(self.queue_context, made=self.customer_bitmaps)
 
     # -- H ------------------------------------------------------------------
     @cached_property
@@ -323,15 +369,26 @@ class Graph:
         return monitoring.inventory_alerts(self.skus)
 
     @cached_property
-    def alert_list(self) -> DataFrame:
-        return self._report(monitoring.alert_list(
+    def alert_sources(self) -> list[DataFrame]:
+        return [
             self.revenue_alerts, self.churn_alerts, self.campaign_alerts,
             self.payment_alerts, self.fulfillment_alerts, self.inventory_alerts,
-        ), "alert_list")
+        ]
+
+    @cached_property
+    def alert_list(self) -> DataFrame:
+        return self._report(monitoring.alert_list(*self.alert_sources, write=self.write), "alert_list")
 
     @cached_property
     def monitoring_summary(self) -> DataFrame:
-        return monitoring.monitoring_summary(self.alert_list, self.quality_scorecard)
+        """From the written list where there is one, else from the sources:
+        the summary needs no ranks."""
+        alerts = self.alert_list if "alert_list" in self.__dict__ else monitoring.all_alerts(*self.alert_sources)
+        return monitoring.monitoring_summary(alerts, self.quality_scorecard, self.total)
+
+    @cached_property
+    def headline_kpis(self) -> DataFrame:
+        return views.headline_kpis(self.payment_recovery, self.sku_risk, self.playbook_roi, self.queue, self.total)
 
     # -- J ------------------------------------------------------------------
     @cached_property

@@ -131,7 +131,7 @@ def cte(name: str, body: str) -> None:
 cte("run_day", "SELECT CAST(max(o_orderdate) AS DATE) + 1 AS d FROM orders")
 cte("ob", f"SELECT * FROM orders WHERE o_orderdate < {AS_OF}")
 cte("wl", f"SELECT * FROM lineitem WHERE l_shipdate >= {RECENT}")
-cte("rl", "SELECT wl.*, o.o_custkey FROM wl JOIN orders o ON wl.l_orderkey = o.o_orderkey")
+cte("rl", "SELECT wl.*, o.o_custkey FROM wl JOIN ob o ON wl.l_orderkey = o.o_orderkey")
 cte("ot", f"""SELECT o_custkey AS ck, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order,
   count(*) AS n_orders, count_if(o_orderstatus = 'O') AS n_open,
   sum({CENTS.format(x='o_totalprice')}) AS price_cents,
@@ -171,7 +171,7 @@ cte("t_campaigns", f"""SELECT c.c_mktsegment AS brand, {CHANNEL} AS acquisition_
   GROUP BY c.c_mktsegment, {CHANNEL}""")
 cte("last_order", """SELECT *, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'failed'
   WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'recovered' ELSE 'paid' END AS st
-  FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
+  FROM ob QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
 cte("t_payments", f"""SELECT o_orderkey AS invoice_id, o_custkey AS customer_id, o_totalprice / 1000e0 AS invoice_amount,
   st AS payment_status,
   CASE WHEN st <> 'paid' THEN {CASE_MOD('o_orderkey', tpch.DECLINE_REASONS)} ELSE 'none' END AS decline_reason,
@@ -461,8 +461,8 @@ cte("dominant_issue", f"""SELECT {SEG_KEYS}, issue_type AS dominant_issue, issue
 cte("opp", f"""SELECT o.*, d.dominant_issue, d.dominant_issue_value,
   coalesce(p.owner, {S(dims.DEFAULT_OWNER)}) AS owner,
   coalesce(p.playbook, {S(dims.DEFAULT_PLAYBOOK)}) AS recommended_playbook,
-  'Run ' || coalesce(p.playbook, {S(dims.DEFAULT_PLAYBOOK)}) || ' in ' || o.segment_name || '; track '
-    || lower(coalesce(p.primary_metric, {S(dims.DEFAULT_METRIC)})) || '.' AS suggested_action
+  coalesce(p.playbook, {S(dims.DEFAULT_PLAYBOOK)}) || ' [' || o.segment_name || '] -> '
+    || lower(coalesce(p.primary_metric, {S(dims.DEFAULT_METRIC)})) AS suggested_action
   FROM (SELECT b.*, r.action_customers, r.expected_value,
           CAST(r.action_customers AS DOUBLE) / b.customers AS action_rate,
           r.expected_value / b.customers AS value_per_customer
@@ -686,19 +686,47 @@ cte("open_failed_payments", "SELECT * FROM open_failed")
 cte("support_escalation", "SELECT * FROM support_leak")
 
 
+cte("csv_scan", " UNION ALL ".join(
+    f"SELECT {S(t)} AS \"table\", count(*) AS lines, count(*) AS rows_read, CAST(0 AS BIGINT) AS quarantined, true AS passed FROM {c}"
+    for t, c in [("customers", "t_customers"), ("monthly_revenue", "t_monthly"), ("campaigns", "t_campaigns"),
+                 ("payment_events", "t_payments"), ("fulfillment_events", "t_fulfillment"), ("sku_inventory", "t_skus")]))
+cte("csv_channel_summary", "SELECT * FROM channel_summary")
+
+
 # -- assembly -----------------------------------------------------------------
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
 # Full-queue variants: the same statements over the queue without its limit.
-FULL_QUEUE = {f"{n}_full": n for n in ("playbook_roi", "segment_opportunity", "scenario_plan")}
+FULL_QUEUE = {f"{n}_full": n for n in ("playbook_roi", "segment_opportunity", "scenario_plan", "queue_by_segment", "issue_matrix")}
+
+
+# The same statements as of a past run day.
+PAST_DAYS = 90
+PAST = {"payment_recovery_past": "payment_recovery", "customers_past": "t_customers", "leakage_report_past": "leakage_report"}
+
+
+def _day_change() -> str:
+    values = ", ".join(f"a.{v} AS {v}_before, b.{v} AS {v}_after, b.{v} - a.{v} AS {v}_delta" for v in ("affected_count", "revenue_at_risk"))
+    return f"""SELECT coalesce(a.leak_area, b.leak_area) AS leak_area,
+  CASE WHEN a.rank IS NULL THEN 'new' WHEN b.rank IS NULL THEN 'gone'
+       WHEN a.affected_count IS NOT DISTINCT FROM b.affected_count AND a.revenue_at_risk IS NOT DISTINCT FROM b.revenue_at_risk THEN 'same'
+       ELSE 'changed' END AS change, {values}
+FROM ({sql("leakage_report_past")}) a FULL JOIN ({sql("leakage_report")}) b ON a.leak_area IS NOT DISTINCT FROM b.leak_area"""
+
+
+COMPOSED = {"leakage_day_change": _day_change}
 
 
 def sql(name: str) -> str:
     """``WITH`` the CTEs ``name`` depends on (dependencies first), then
     ``SELECT * FROM name``."""
-    full, name = name in FULL_QUEUE, FULL_QUEUE.get(name, name)
+    if name in COMPOSED:
+        return COMPOSED[name]()
+    full, past, name = name in FULL_QUEUE, name in PAST, FULL_QUEUE.get(name, PAST.get(name, name))
     ctes = CTES | ({"queue": "SELECT * FROM queue_all"} if full else {})
+    if past:
+        ctes |= {"run_day": f"SELECT CAST(max(o_orderdate) AS DATE) + 1 - {PAST_DAYS} AS d FROM orders"}
     place = {n: i for i, n in enumerate(ctes)}
     ordered: list[str] = []
     done: set[str] = set()
@@ -718,4 +746,8 @@ def sql(name: str) -> str:
 
 
 def oracle_sql(names) -> dict[str, str]:
-    return {n: sql(n) for n in names if n in CTES or n in FULL_QUEUE}
+    return {n: sql(n) for n in names if known(n)}
+
+
+def known(name: str) -> bool:
+    return any(name in x for x in (CTES, FULL_QUEUE, PAST, COMPOSED))

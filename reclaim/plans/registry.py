@@ -3,12 +3,16 @@ DataFrame of one operator, computed over the whole warehouse."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import churn, leakage, monitoring, scenarios, views
-from ..session import configure, materialize
+from ..operators import churn, history, leakage, monitoring, quality, scenarios, summaries, views
+from ..session import configure, ensure_checkpoint_dir, materialize, materialize_by_key
+from ..sources import io, schemas
+from ..sources.tpch import Dates
 from .graph import Graph
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,15 +25,17 @@ REUSED_INPUTS = {
     "run_kpis": ALL_INPUTS,
     "monitoring_summary": ALL_INPUTS,
     "alert_headline": ALL_INPUTS,
-    "metric_changes": ("monthly_revenue",),
-    "revenue_alerts": ("monthly_revenue",),
-    "churn_alerts": ("monthly_revenue",),
     "leakage_report": ("sku_inventory",),
     "weekly_brief": ("sku_inventory",),
     "leak_share": ("sku_inventory",),
     "headline_kpis": ("sku_inventory", "payment_events"),
     "classification_metrics": ("customers",),
+    # Customer-keyed tables that are joined: written by customer.
+    "open_failed_payments": ("payment_events",),
+    "late_orders": ("fulfillment_events",),
+    "action_items": ("payment_events", "fulfillment_events"),
 }
+BY_KEY = {"open_failed_payments", "late_orders", "action_items"}
 
 
 def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, name: str = "", **kw) -> Graph:
@@ -39,7 +45,8 @@ def _graph(spark: SparkSession, sf_dir: str, shared: bool = True, name: str = ""
     folder instead of being re-derived from the warehouse at every use."""
     configure(spark)
     kw.setdefault("pin_inputs", REUSED_INPUTS.get(name, ()))
-    return Graph.from_warehouse(spark, sf_dir, pin=materialize if shared else None, **kw)
+    by_key = materialize_by_key if name in BY_KEY else None
+    return Graph.from_warehouse(spark, sf_dir, pin=materialize if shared else None, pin_by_key=by_key, **kw)
 
 
 def _attr(name: str, qname: str = "", **kw) -> Query:
@@ -54,10 +61,10 @@ def _attr(name: str, qname: str = "", **kw) -> Query:
 
 # Queries whose plan uses each intermediate once: nothing to share.
 SINGLE_USE = {
-    "scored", "brand_summary", "channel_summary", "revenue_forecast", "enriched", "open_failed", "late_orders",
+    "scored", "brand_summary", "channel_summary", "revenue_forecast", "enriched",
     "discount_leak", "channel_quality", "weak_campaigns", "sku_risk", "support_leak", "payment_recovery",
     "base_segments", "campaign_alerts", "payment_alerts",
-    "fulfillment_alerts", "inventory_alerts", "quality_gates", "quality_scorecard",
+    "fulfillment_alerts", "inventory_alerts", "quality_gates", "metric_changes", "revenue_alerts", "churn_alerts",
 }
 
 
@@ -159,8 +166,7 @@ def _issue_mix(spark, sf_dir):
 
 
 def _headline(spark, sf_dir):
-    g = _graph(spark, sf_dir, name="headline_kpis")
-    return views.headline_kpis(g.payment_recovery, g.sku_risk, g.playbook_roi, g.queue)
+    return _graph(spark, sf_dir, name="headline_kpis").headline_kpis
 
 
 def _scenario_detail(spark, sf_dir):
@@ -188,6 +194,55 @@ def _top_issue_segments(spark, sf_dir):
     return views.top_issue_segments(_graph(spark, sf_dir).issue_matrix)
 
 
+PAST_DAYS = 90  # the past run day of the queries below, before the last one
+
+
+def _past(name: str, qname: str = "") -> Query:
+    """A query as of a past run day: later orders count nowhere."""
+
+    def run(spark, sf_dir):
+        return getattr(_graph(spark, sf_dir, name=qname, dates=Dates(days_back=PAST_DAYS)), name)
+
+    return run
+
+
+def _folder(spark: SparkSession, kind: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/reclaim-{kind}/{uuid.uuid4().hex}"
+
+
+def _leakage_day_change(spark, sf_dir):
+    """The leakage report of two run days, written as day partitions of one CSV
+    report, read back by its stored schema and compared."""
+    configure(spark)
+    out, days = _folder(spark, "reports"), []
+    for back in (PAST_DAYS, 0):
+        g = _graph(spark, sf_dir, name="leakage_report", dates=Dates(days_back=back))
+        days.append(g.inputs.wh.as_of)
+        io.put_report(g.leakage_report, out, "leakage_report", "csv", days[-1])
+    before, after = (io.get_report(spark, out, "leakage_report", "csv", day) for day in days)
+    return history.day_changes(before, after, ["leak_area"], ["affected_count", "revenue_at_risk"])
+
+
+def _as_csv(spark: SparkSession, sf_dir: str, tables) -> str:
+    """Input tables of the warehouse written as CSV extracts."""
+    inputs, folder = _graph(spark, sf_dir).inputs, _folder(spark, "extracts")
+    for table in tables:
+        cast = [F.col(f.name).cast(f.dataType) for f in schemas.INPUTS[table].fields]
+        io.write_table(inputs[table].select(*cast), f"{folder}/{table}.csv", "csv")
+    return folder
+
+
+def _csv_scan(spark, sf_dir):
+    """Lines read and set apart of the six inputs as CSV extracts."""
+    return quality.quarantine_gate(io.read_inputs_checked(spark, _as_csv(spark, sf_dir, ALL_INPUTS)))
+
+
+def _csv_channel_summary(spark, sf_dir):
+    folder = _as_csv(spark, sf_dir, ["campaigns"])
+    return summaries.channel_summary(io.read_csv_checked(spark, f"{folder}/campaigns.csv", "campaigns").rows)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # sources (warehouse -> six input tables)
@@ -218,8 +273,8 @@ def queries() -> dict[str, Query]:
         "run_kpis": _run_kpis,
         # D
         "margin_at_risk": _attr("enriched"),
-        "open_failed_payments": _attr("open_failed"),
-        "late_orders": _attr("late_orders"),
+        "open_failed_payments": _attr("open_failed", "open_failed_payments"),
+        "late_orders": _attr("late_orders", "late_orders"),
         "discount_leak": _attr("discount_leak"),
         "channel_quality": _attr("channel_quality"),
         "weak_campaigns": _attr("weak_campaigns"),
@@ -230,7 +285,7 @@ def queries() -> dict[str, Query]:
         "weekly_brief": _attr("weekly_brief", "weekly_brief"),
         "weekly_brief_items": _brief_items,
         # E
-        "action_items": _attr("action_items"),
+        "action_items": _attr("action_items", "action_items"),
         "action_queue": _attr("queue"),
         "action_queue_full": _attr("queue", queue_limit=None),
         # F
@@ -242,10 +297,12 @@ def queries() -> dict[str, Query]:
         # G
         "base_segments": _attr("base_segments"),
         "queue_by_segment": _attr("queue_by_segment"),
+        "queue_by_segment_full": _attr("queue_by_segment", queue_limit=None),
         "dominant_issue": _attr("dominant_issue"),
         "segment_opportunity": _attr("segment_opportunity"),
         "segment_opportunity_full": _attr("segment_opportunity", queue_limit=None),
         "issue_matrix": _attr("issue_matrix"),
+        "issue_matrix_full": _attr("issue_matrix", queue_limit=None),
         # H
         "metric_changes": _attr("metric_changes", "metric_changes"),
         "revenue_alerts": _attr("revenue_alerts", "revenue_alerts"),
@@ -281,6 +338,13 @@ def queries() -> dict[str, Query]:
         "issue_share": _issue_share,
         "top_skus": _top_skus,
         "top_issue_segments": _top_issue_segments,
+        # run days, CSV extracts, report partitions
+        "payment_recovery_past": _past("payment_recovery"),
+        "customers_past": _past("customers"),
+        "leakage_report_past": _past("leakage_report", "leakage_report"),
+        "leakage_day_change": _leakage_day_change,
+        "csv_scan": _csv_scan,
+        "csv_channel_summary": _csv_channel_summary,
     }
     return q
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import cents
+from ..functions.exprs import cents, latest_per
 
 RECENT_DAYS = 181
 TICKET_DAYS = 90
@@ -33,13 +33,15 @@ class Dates:
     """The run day and the windows before it, in days.
 
     ``as_of``: first day that is not part of the run; ``None`` takes the day
-    after the last order.  ``recent_days``: shipments read for fulfillment
+    after the last order, less ``days_back`` days.  Orders of that day and later
+    count nowhere, nor do their shipments.  ``recent_days``: shipments read for fulfillment
     events, discount rates and part demand.  ``ticket_days``: shipments behind
     the 90-day ticket and late-shipment counts.  ``churn_days``: a customer
     whose last order is older has churned.  ``campaign_days``: orders that
     campaigns are credited with."""
 
     as_of: dt.date | None = None
+    days_back: int = 0
     recent_days: int = RECENT_DAYS
     ticket_days: int = TICKET_DAYS
     churn_days: int = CHURN_DAYS
@@ -106,7 +108,7 @@ class Warehouse:
         """The run day; read once from the orders when it is not given."""
         if self._as_of is None:
             last = self.table("orders").agg(F.max("o_orderdate").cast("date")).first()[0]
-            self._as_of = (last or dt.date(1970, 1, 1)) + dt.timedelta(days=1)
+            self._as_of = (last or dt.date(1970, 1, 1)) + dt.timedelta(days=1 - self.dates.days_back)
         return self._as_of
 
     def days_before(self, days: int) -> Column:
@@ -122,13 +124,13 @@ class Warehouse:
         return self.table("lineitem").where(F.col("l_shipdate") >= self.days_before(self.dates.recent_days))
 
     def recent_lines(self) -> DataFrame:
-        """Window lineitems with the customer of their order."""
+        """Window lineitems of the orders of the run, with their customer."""
         if self._recent is None:
             lines = self.window_lines().select(
                 "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus",
                 "l_shipdate",
             )
-            orders = self.table("orders").select("o_orderkey", "o_custkey")
+            orders = self.orders_before().select("o_orderkey", "o_custkey")
             joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
             self._recent = self._share(joined, "recent_lines") if self._share else joined
         return self._recent
@@ -239,22 +241,17 @@ def campaigns(wh: Warehouse) -> DataFrame:
 
 
 def payment_events(wh: Warehouse) -> DataFrame:
-    """Each customer's latest order (largest key, any date) as the current
-    invoice.  The status is encoded as a number before aggregating so every
-    ``max_by`` buffer is fixed-width: the roll-up runs as a hash aggregate
-    with map-side partial results instead of sorting all orders."""
-    o = wh.table("orders")
+    """Each customer's latest order (largest key) before the run day as the
+    current invoice.  The status is encoded as a number before aggregating, so
+    the roll-up (``latest_per``) hashes."""
+    o = wh.orders_before()
     is_f = F.col("o_orderstatus") == "F"
     code = (
         F.when(is_f & (F.col("o_orderpriority") == "1-URGENT"), 2)
         .when(is_f & (F.col("o_orderpriority") == "2-HIGH"), 1)
         .otherwise(0)
     )
-    last = o.groupBy("o_custkey").agg(
-        F.max("o_orderkey").alias("key"),
-        F.max_by("o_totalprice", "o_orderkey").alias("price"),
-        F.max_by(code, "o_orderkey").alias("code"),
-    )
+    last = latest_per(o, "o_custkey", "o_orderkey", price=F.col("o_totalprice"), code=code).withColumnRenamed("o_orderkey", "key")
     key = F.col("key")
     status = F.when(F.col("code") == 2, "failed").when(F.col("code") == 1, "recovered").otherwise("paid")
     declined = F.col("code") > 0

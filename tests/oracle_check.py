@@ -113,7 +113,7 @@ def main(argv: list[str]) -> int:
     for name, fn in queries().items():
         if only and name not in only:
             continue
-        if name not in oracle.CTES:
+        if not oracle.known(name):
             print(f"{name:28s} (rows only)", flush=True)
             continue
         try:
