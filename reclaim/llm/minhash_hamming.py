@@ -313,9 +313,9 @@ def links_in_clusters(clusters: DataFrame, sets: DataFrame, percent: int = PERCE
 def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Components (id, component) of the classes that are linked."""
     # Sets of one or two shingles are linked with equal sets only.  Lists are
-    # counted and summed up on the map side first, and joined as written
+    # counted and summed up on the map side first, and joined with written
     # tables, so that a list with a third of all classes can be split.
-    every = written(listed(classes.where("n > 2")), "every-list")
+    every = listed(classes.where("n > 2"))
     several = written(every.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "several")
     lists = written(every.join(several, "key", "left_semi"), "lists")
     sets = whole_sets(docs, classes.join(lists.select("id").distinct(), "id", "left_semi"), words)
@@ -326,7 +326,7 @@ def links_of(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: i
         return written(some.select("id", "n", "c", "sig"), "linkable")
 
     members = with_common(common_counts(sets))
-    lists = written(lists.join(members.select("id", (F.col("n") - F.col("c")).alias("own")), "id"), "linkable-lists")
+    lists = lists.join(members.select("id", (F.col("n") - F.col("c")).alias("own")), "id")
     # The most central member of each list, and the most central of all its
     # lists; own and id as one number, so that the aggregates hash.
     central = F.col("own").cast("decimal(38,0)") * F.lit(str(TEN_19)).cast("decimal(20,0)") + F.col("id")
@@ -359,7 +359,7 @@ def rows_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     classes = classes.select("n", "s1", "s2", "sig", F.col("least.doc_id").alias("doc"), F.col("least.row").alias("row"), F.monotonically_increasing_id().alias("id"))
     classes = written(classes, "classes")
     component = links_of(docs, classes, words, percent)
-    labelled = written(classes.drop("sig").join(component, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    labelled = classes.drop("sig").join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
     heads = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("null"), "doc", "row")).alias("head"))
     final = labelled.join(heads, "component").select("n", "s1", "s2", F.col("head.doc").alias("head_doc"), F.col("head.row").alias("head_row"), F.lit(True).alias("linked"))
     out = found.join(written(final, "class-components"), ["n", "s1", "s2"], "left")
