@@ -109,11 +109,11 @@ def support(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "doc_id").distinct().groupBy(key).agg(F.count("*").alias("docs"))
 
 
-def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, like: float, fixed: float) -> DataFrame:
+def generalised(rows: DataFrame, depth: int, min_docs: int, like: float, fixed: float) -> DataFrame:
     """(pattern, template) of the lines that follow their leaf's template."""
     mixed = rows.groupBy("leaf").agg(F.min("pattern").alias("low"), F.max("pattern").alias("high")).where("low <> high").select("leaf")
     busy = written(support(rows, "leaf").where(F.col("docs") >= min_docs).select("leaf").join(mixed, "leaf", "left_semi"), "leaves")
-    lines = parsed(lines_of(docs, fixed), depth).where(F.col("n_tokens") > depth).join(busy, "leaf", "left_semi")
+    lines = rows.where(F.col("n_tokens") > depth).join(busy, "leaf", "left_semi")
     if fixed:  # unmasked lines stand for themselves
         lines = lines.where(~F.col("form").rlike("[0-9]"))
     # One row per different line of a busy leaf, with its number of documents.
@@ -139,8 +139,9 @@ def generalised(docs: DataFrame, rows: DataFrame, depth: int, min_docs: int, lik
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE, fixed: float = FIXED, long: int | None = LONG) -> DataFrame:
     """(doc_id, line) of every line to drop; a line may be listed twice."""
-    rows = written(parsed(lines_of(docs, fixed, long), depth).select("doc_id", "line", "pattern", "leaf", "exact"), "lines")
-    general = written(generalised(docs, rows, depth, min_docs, like, fixed), "templates")
+    # Forms are written too: masked once, and read for busy leaves only.
+    rows = written(parsed(lines_of(docs, fixed, long), depth).select("doc_id", "line", "pattern", "leaf", "exact", "n_tokens", "form"), "lines")
+    general = written(generalised(rows, depth, min_docs, like, fixed), "templates")
     assigned = rows.select("doc_id", "line", "pattern").join(general, "pattern", "left").select("doc_id", "line", F.coalesce("template", "pattern").alias("template"))
     if not long:
         return again(written(assigned, "assigned"), min_docs)
