@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dims
 from ..functions.exprs import attach, exact_avg, exact_sum, max0, precise_avg, precise_sum, rnd, safe_div
-from ..session import broadcast_if_small, materialize
+from ..session import bounded
 from .summaries import campaign_roi
 
 DEFAULT_MARGIN = 0.48
@@ -41,14 +41,14 @@ def brand_margins(skus: DataFrame) -> DataFrame:
 
 
 def margin_at_risk(scored: DataFrame, skus: DataFrame, default_margin: float = DEFAULT_MARGIN,
-                   months: int = MARGIN_MONTHS, write=materialize) -> DataFrame:
+                   months: int = MARGIN_MONTHS) -> DataFrame:
     """Customers + brand margin (default when unknown) + the
     six-month margin at risk = revenue x months x margin x score.
 
-    The margins are one row per brand: they are written once and broadcast
-    when their row count allows it, so customers are not shuffled onto a
-    handful of brand keys.  That job runs at once, by ``write(df, name)``."""
-    margins = broadcast_if_small(write(brand_margins(skus), "brand_margins"))
+    The margins are one row per brand: they are read at once (one job) and
+    broadcast when their row count allows it, so customers are not shuffled
+    onto a handful of brand keys."""
+    margins = bounded(brand_margins(skus))
     enriched = scored.join(margins, "brand", "left").withColumn(
         "gross_margin_rate", F.coalesce(F.col("brand_margin"), F.lit(default_margin))
     )

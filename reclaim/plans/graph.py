@@ -1,8 +1,9 @@
 """The operator graph: every derived table of the engine, built lazily
 from the six inputs.
 
-Each attribute is a DataFrame plan; nothing runs until an action.  The
-query registry builds one graph per query; the batch pipeline builds one
+Each attribute is a DataFrame plan; building it runs only the jobs of its
+inputs: brand margins are read (one row per brand), shared intermediates and
+totals are written or collected once.  The query registry builds one graph per query; the batch pipeline builds one
 graph and pins the shared intermediates (scored customers, the queue) so
 their consumers do not recompute them.
 """
@@ -218,7 +219,7 @@ class Graph:
     # -- D ------------------------------------------------------------------
     @cached_property
     def enriched(self) -> DataFrame:
-        out = leakage.margin_at_risk(self._scored_lazy, self.skus, write=self.write)
+        out = leakage.margin_at_risk(self._scored_lazy, self.skus)
         return self._keyed_pin(out, "enriched") if self._pin else out
 
     @cached_property

@@ -65,6 +65,15 @@ def broadcast_if_small(df, rows: int = BROADCAST_ROWS):
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded(df, rows: int = BROADCAST_ROWS):
+    """``df`` as a broadcast local frame if it has at most ``rows`` rows (read
+    once, by one job), else unchanged."""
+    from pyspark.sql import functions as F
+
+    head = df.limit(rows + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema)) if len(head) <= rows else df
+
+
 def materialize(df, name: str = "table", made: list[str] | None = None):
     """Write ``df`` as a Parquet table under the session's checkpoint folder
     and read it back: the lineage is cut, a lost executor costs a re-read

@@ -12,7 +12,7 @@ from reclaim import session
 from reclaim.functions import bitmaps
 from reclaim.operators import actions, history, monitoring, quality
 from reclaim.plans import pipeline, registry
-from reclaim.plans.graph import Graph
+from reclaim.plans.graph import Graph, fixed_scorer
 from reclaim.plans.totals import Totals
 from reclaim.sources import io, schemas, tpch
 
@@ -182,7 +182,7 @@ def test_five_reports_across_two_days(spark):
     for back in (30, 0):
         inputs = tpch.load(spark, SF_SMALL, share=session.materialize, dates=tpch.Dates(days_back=back))
         days.append(inputs.wh.as_of)
-        pipeline.run(spark, inputs, out_dir=out, reports=list(pipeline.COMPARED), fmt="csv", run_day=days[-1], validate=False)
+        pipeline.run(spark, inputs, out_dir=out, reports=list(pipeline.COMPARED), fmt="csv", run_day=days[-1], validate=False, scorer=fixed_scorer)
     changed = pipeline.day_changes(spark, out, *days, fmt="csv")
     assert len(changed) == 5
     reports = [{n: io.get_report(spark, out, n, "csv", d) for n in changed} for d in days]
@@ -215,7 +215,7 @@ def test_extracts_with_broken_lines_run_to_the_end(spark):
         if table == "sku_inventory":
             with open(path, "a") as f:
                 f.write("broken line\n")
-    pipeline.run_extracts(spark, folder, out, most_malformed=0.05, reports=["sku_risk_report", "brand_summary"])
+    pipeline.run_extracts(spark, folder, out, most_malformed=0.05, reports=["sku_risk_report", "brand_summary"], scorer=fixed_scorer)
     assert [r.line for r in io.get_report(spark, out, "quarantined_lines").collect()] == ["broken line"]
     assert io.get_report(spark, out, "sku_risk_report").count() == inputs["sku_inventory"].count()
     with pytest.raises(ValueError, match="sku_inventory"):
