@@ -70,14 +70,14 @@ def test_few_equal_and_no_vectors(spark):
     one = [(5, [0.5, -0.25])]
     for rows in (one, one * 20, [(i, [1.0, 1.0]) for i in range(30)], [(1, None), (2, [])], []):
         docs = spark.createDataFrame([(i, e, 0) for i, e in rows], VECTORS)
-        assert collected(va.cluster(docs, dim=2)) == plain_version(rows, 2)
+        assert collected(va.cluster(docs, dim=2, rounds=3)) == plain_version(rows, 2, rounds=3)
 
 
 def test_clashing_columns_and_too_large(spark):
     rows = mixed(np.random.default_rng(4), 40, 3)
     docs = spark.createDataFrame([(i, e, 0) for i, e in rows], VECTORS)
     clashing = docs.withColumn("cluster", F.lit("x")).withColumn("path", F.lit(1)).withColumn("v", F.lit(2)).withColumn("distance", F.lit(2))
-    assert collected(va.cluster(clashing, dim=3)) == plain_version(rows, 3)
+    assert collected(va.cluster(clashing, dim=3, rounds=3)) == plain_version(rows, 3, rounds=3)
     with pytest.raises(ValueError, match="must lie between"):
         va.cluster(spark.createDataFrame([(1, [1e30, 0.0], 0)], VECTORS), dim=2)
 
@@ -89,7 +89,7 @@ def test_nothing_left_in_the_vector_folder(spark, tmp_path):
 
     root = ensure_checkpoint_dir(spark).removeprefix("file:")
     docs = spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(20)], VECTORS)
-    va.cluster(docs, dim=2).collect()
+    va.cluster(docs, dim=2, rounds=1).collect()
     assert not glob.glob(f"{root}/reclaim-vectors/*/*")
 
 
